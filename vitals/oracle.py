@@ -1,0 +1,134 @@
+"""DuckDB oracle texts: an independent SQL statement per registered query.
+
+The driver registers the parquet tables as views; these statements are
+written by hand against them (no text is generated from the Spark plans).
+"""
+
+from __future__ import annotations
+
+# Shared CTEs: the adapter spelled in SQL (see vitals/adapter.py).
+GEO = """geo AS (
+  SELECT n.n_nationkey AS nationkey, r.r_name AS departamento, n.n_name AS municipio
+  FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey)"""
+
+ORDER_GEO = GEO + """,
+og AS (
+  SELECT o.o_orderkey, CAST(year(o.o_orderdate) AS INTEGER) AS anio,
+         CAST(month(o.o_orderdate) AS INTEGER) AS mes, g.departamento, g.municipio
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN geo g ON c.c_nationkey = g.nationkey)"""
+
+DEATHS = ORDER_GEO + """,
+deaths AS (
+  SELECT l.l_orderkey, l.l_linenumber, og.anio, og.mes, og.departamento, og.municipio,
+         l.l_returnflag AS sexo, l.l_quantity AS edad,
+         CAST((l.l_linenumber - 1) % 4 + 1 AS INTEGER) AS unidad,
+         chr(CAST(65 + l.l_partkey % 26 AS INTEGER)) || lpad(CAST(l.l_suppkey % 100 AS VARCHAR), 2, '0') AS causa,
+         l.l_quantity AS casos
+  FROM lineitem l JOIN og ON l.l_orderkey = og.o_orderkey)"""
+
+COUNTS = DEATHS + """,
+counts AS (
+  SELECT departamento, municipio, anio, mes, CAST(COUNT(*) AS BIGINT) AS total_casos
+  FROM deaths GROUP BY departamento, municipio, anio, mes)"""
+
+OBSERVED = COUNTS + """,
+observed AS (
+  SELECT departamento, anio, mes,
+         CAST(SUM(total_casos) AS BIGINT) AS muertes_observadas,
+         CAST(COUNT(DISTINCT municipio) AS BIGINT) AS municipios_con_datos
+  FROM counts
+  WHERE anio BETWEEN 1995 AND 2001 AND mes BETWEEN 1 AND 12
+    AND total_casos IS NOT NULL AND departamento IS NOT NULL
+  GROUP BY departamento, anio, mes)"""
+
+LABELLED = OBSERVED + """,
+base AS (
+  SELECT departamento, mes, AVG(muertes_observadas) AS promedio_pre_covid,
+         COALESCE(STDDEV_SAMP(muertes_observadas), 0) AS desviacion_pre_covid
+  FROM observed WHERE anio BETWEEN 1995 AND 1998 GROUP BY departamento, mes),
+labelled AS (
+  SELECT o.*, b.promedio_pre_covid, b.desviacion_pre_covid,
+         (o.muertes_observadas - b.promedio_pre_covid) / NULLIF(b.promedio_pre_covid, 0) AS exceso_pct,
+         CASE WHEN (o.muertes_observadas - b.promedio_pre_covid) / NULLIF(b.promedio_pre_covid, 0) >= 0.15
+              THEN 1 ELSE 0 END AS exceso_mortalidad,
+         (o.muertes_observadas - b.promedio_pre_covid) / NULLIF(b.promedio_pre_covid, 0) * 100 AS exceso_pct_display
+  FROM observed o JOIN base b ON o.departamento = b.departamento AND o.mes = b.mes)"""
+
+LABELLED_NATION = COUNTS + """,
+nobs AS (
+  SELECT municipio, anio, mes, CAST(SUM(total_casos) AS BIGINT) AS muertes_observadas,
+         CAST(COUNT(DISTINCT municipio) AS BIGINT) AS municipios_con_datos
+  FROM counts
+  WHERE anio BETWEEN 1995 AND 2001 AND mes BETWEEN 1 AND 12 AND total_casos IS NOT NULL AND municipio IS NOT NULL
+  GROUP BY municipio, anio, mes),
+nbase AS (
+  SELECT municipio, mes, AVG(muertes_observadas) AS promedio_pre_covid
+  FROM nobs WHERE anio BETWEEN 1995 AND 1998 GROUP BY municipio, mes),
+nregion AS (SELECT DISTINCT municipio, departamento AS region FROM counts),
+nlabelled AS (
+  SELECT o.municipio, r.region,
+         (o.muertes_observadas - b.promedio_pre_covid) / NULLIF(b.promedio_pre_covid, 0) AS exceso_pct,
+         CASE WHEN (o.muertes_observadas - b.promedio_pre_covid) / NULLIF(b.promedio_pre_covid, 0) >= 0.15
+              THEN 1 ELSE 0 END AS exceso_mortalidad
+  FROM nobs o JOIN nbase b ON o.municipio = b.municipio AND o.mes = b.mes
+  LEFT JOIN nregion r ON o.municipio = r.municipio)"""
+
+
+ORACLE: dict[str, str] = {}
+
+ORACLE["monthly_observed"] = f"""WITH {OBSERVED}
+SELECT * FROM observed ORDER BY departamento, anio, mes"""
+
+ORACLE["baseline"] = f"""WITH {OBSERVED}
+SELECT departamento, mes, ROUND(AVG(muertes_observadas), 6) AS promedio_pre_covid,
+       ROUND(COALESCE(STDDEV_SAMP(muertes_observadas), 0), 6) AS desviacion_pre_covid
+FROM observed WHERE anio BETWEEN 1995 AND 1998 GROUP BY departamento, mes"""
+
+ORACLE["excess_label"] = f"""WITH {LABELLED}
+SELECT departamento, mes, anio, muertes_observadas, municipios_con_datos,
+       ROUND(promedio_pre_covid, 6) AS promedio_pre_covid, ROUND(desviacion_pre_covid, 6) AS desviacion_pre_covid,
+       ROUND(exceso_pct, 6) AS exceso_pct, exceso_mortalidad, ROUND(exceso_pct_display, 6) AS exceso_pct_display
+FROM labelled"""
+
+ORACLE["class_distribution"] = f"""WITH {LABELLED}
+SELECT exceso_mortalidad, CAST(COUNT(*) AS BIGINT) AS n,
+       ROUND(COUNT(*) * 100.0 / SUM(COUNT(*)) OVER (), 6) AS porcentaje
+FROM labelled GROUP BY exceso_mortalidad"""
+
+ORACLE["excess_by_region"] = f"""WITH {LABELLED_NATION}
+SELECT COALESCE(region, 'Sin región') AS region,
+       CAST(COUNT(exceso_mortalidad) AS BIGINT) AS total_observaciones,
+       CAST(SUM(exceso_mortalidad) AS BIGINT) AS casos_exceso,
+       ROUND(AVG(exceso_pct) * 100, 6) AS promedio_exceso_pct,
+       ROUND(SUM(exceso_mortalidad) * 100.0 / COUNT(exceso_mortalidad), 6) AS porcentaje_con_exceso
+FROM nlabelled GROUP BY COALESCE(region, 'Sin región')
+ORDER BY porcentaje_con_exceso DESC, region"""
+
+ORACLE["annual_excess"] = f"""WITH {LABELLED},
+yr AS (
+  SELECT departamento, anio, CAST(SUM(muertes_observadas) AS BIGINT) AS total_muertes_observadas,
+         SUM(promedio_pre_covid) AS promedio_historico_pre_covid
+  FROM labelled GROUP BY departamento, anio)
+SELECT departamento, anio, total_muertes_observadas,
+       ROUND(promedio_historico_pre_covid, 6) AS promedio_historico_pre_covid,
+       ROUND((total_muertes_observadas - promedio_historico_pre_covid) / NULLIF(promedio_historico_pre_covid, 0), 6)
+         AS exceso_pct_anual,
+       total_muertes_observadas > promedio_historico_pre_covid AS supera_promedio
+FROM yr"""
+
+ORACLE["year_profile"] = f"""WITH {OBSERVED}
+SELECT anio, CAST(SUM(muertes_observadas) AS BIGINT) AS total_muertes,
+       CAST(COUNT(DISTINCT departamento) AS BIGINT) AS departamentos,
+       CAST(COUNT(DISTINCT mes) AS BIGINT) AS meses
+FROM observed GROUP BY anio"""
+
+ORACLE["entity_series"] = f"""WITH {LABELLED}
+SELECT departamento, anio, mes, make_date(anio, mes, 1) AS fecha, muertes_observadas,
+       ROUND(promedio_pre_covid, 6) AS promedio_pre_covid,
+       ROUND(promedio_pre_covid * 1.15, 6) AS umbral_exceso, exceso_mortalidad
+FROM labelled WHERE upper(departamento) = upper('america') ORDER BY fecha"""
+
+ORACLE["available_entities"] = f"""WITH {GEO}
+SELECT DISTINCT departamento, municipio FROM geo WHERE departamento IS NOT NULL
+ORDER BY departamento, municipio"""
