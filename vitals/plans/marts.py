@@ -62,6 +62,25 @@ def excess(observed: DataFrame, base: DataFrame, entity: str = "departamento",
             .withColumn("exceso_pct_display", F.col("exceso_pct") * 100))
 
 
+def excess_one_pass(observed: DataFrame, entity: str = "departamento",
+                    years: tuple[int, int] = (2018, 2019), threshold: float = 0.15) -> DataFrame:
+    """M2+M3 without a self-join: the baseline is a window over (entity, month).
+
+    ``observed`` is read once, so the wide scan/join/aggregate below it runs a
+    single time; the window partitions hold one entity-month's years only.
+    """
+    w = Window.partitionBy(entity, "mes")
+    ref = F.when(F.col("anio").between(*years), F.col("muertes_observadas"))
+    pct = R.excess_pct("muertes_observadas", "promedio_pre_covid")
+    return (observed
+            .withColumn("promedio_pre_covid", F.avg(ref).over(w))
+            .withColumn("desviacion_pre_covid", F.coalesce(F.stddev_samp(ref).over(w), F.lit(0.0)))
+            .where(F.col("promedio_pre_covid").isNotNull())
+            .withColumn("exceso_pct", pct)
+            .withColumn("exceso_mortalidad", R.excess_label("exceso_pct", threshold))
+            .withColumn("exceso_pct_display", F.col("exceso_pct") * 100))
+
+
 def class_distribution(labelled: DataFrame, label: str = "exceso_mortalidad") -> DataFrame:
     """Class counts and share of total (window over the 2-row result)."""
     counts = labelled.groupBy(label).agg(F.count(F.lit(1)).cast("bigint").alias("n"))

@@ -1,27 +1,13 @@
-"""Registered queries: name → callable(spark, sf_dir) → DataFrame.
-
-Each query reads the driver tables (or frames Spark derives from them) so its
-work grows with the data. Floating measures are reported to 6 decimals.
-"""
+"""Mart queries: observed series, baseline, excess label and summaries."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitals import adapter as A
 from vitals.plans import marts as M
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-
-
-def query(name: str):
-    def deco(fn):
-        QUERIES[name] = fn
-        return fn
-    return deco
+from vitals.queries import query
 
 
 # ---------------------------------------------------------------- marts
@@ -31,8 +17,7 @@ def observed_by_department(spark, d) -> DataFrame:
 
 
 def labelled_by_department(spark, d) -> DataFrame:
-    obs = observed_by_department(spark, d)
-    return M.excess(obs, M.baseline(obs, years=A.TEST_BASELINE_YEARS))
+    return M.excess_one_pass(observed_by_department(spark, d), years=A.TEST_BASELINE_YEARS)
 
 
 def labelled_by_nation(spark, d) -> DataFrame:
@@ -40,9 +25,9 @@ def labelled_by_nation(spark, d) -> DataFrame:
     counts = A.monthly_death_counts(spark, d)
     obs = M.monthly_observed(counts.withColumn("miembro", F.col("municipio")),
                              entity="municipio", member="miembro", years=A.TEST_YEARS)
-    regions = counts.select("municipio", F.col("departamento").alias("region")).distinct()
-    base = M.baseline(obs, entity="municipio", years=A.TEST_BASELINE_YEARS)
-    return M.excess(obs, base, entity="municipio").join(regions, "municipio", "left")
+    regions = A.geo_catalogue(spark, d).select("municipio", F.col("departamento").alias("region"))
+    labelled = M.excess_one_pass(obs, entity="municipio", years=A.TEST_BASELINE_YEARS)
+    return labelled.join(F.broadcast(regions), "municipio", "left")
 
 
 @query("monthly_observed")
