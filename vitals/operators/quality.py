@@ -78,3 +78,29 @@ def sorted_distinct(df: DataFrame, col: str) -> DataFrame:
     """
     return df.select(col).where(F.col(col).isNotNull()).distinct().agg(
         F.sort_array(F.collect_list(col)).alias(f"{col}_valores"))
+
+
+def contract_report(df: DataFrame, contract: list[tuple[str, str, bool, int | None]]) -> DataFrame:
+    """K6: check a frame against (column, type, nullable, max length) rules.
+
+    Schema rules (missing column, wrong type) come from the schema; data rules
+    (NULL in a non-nullable column, text longer than allowed) are counted in
+    one aggregate. Output: columna, regla, infracciones (one row per rule).
+    """
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    aggs, rows = [], []
+    for i, (col, typ, nullable, max_len) in enumerate(contract):
+        if col not in types:
+            rows.append((col, "faltante", F.lit(1).cast("bigint")))
+            continue
+        rows.append((col, "tipo", F.lit(0 if types[col] == typ else 1).cast("bigint")))
+        if not nullable:
+            aggs.append(F.count_if(F.col(col).isNull()).alias(f"_n{i}"))
+            rows.append((col, "nulos", F.col(f"_n{i}")))
+        if max_len is not None:
+            aggs.append(F.count_if(F.length(F.col(col)) > max_len).alias(f"_l{i}"))
+            rows.append((col, "longitud", F.col(f"_l{i}")))
+    base = df.agg(*(aggs or [F.count(F.lit(1)).alias("_rows")]))
+    parts = [F.struct(F.lit(c).alias("columna"), F.lit(r).alias("regla"), v.cast("bigint").alias("infracciones"))
+             for c, r, v in rows]
+    return base.select(F.explode(F.array(*parts)).alias("r")).select("r.*")

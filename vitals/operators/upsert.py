@@ -45,16 +45,14 @@ def scd2_merge(current: DataFrame, incoming: DataFrame, key: list[str], attrs: l
     start = F.lit(as_of).cast("date")
     history = current.where(~F.col("es_version_actual"))
     open_rows = current.where(F.col("es_version_actual"))
-    inc = incoming.select(*key, *[F.col(a).alias(f"_new_{a}") for a in attrs])
+    inc = incoming.select(*key, *[F.col(a).alias(f"_new_{a}") for a in attrs], F.lit(True).alias("_in"))
     joined = open_rows.join(inc, key, "full_outer")
     same = None
     for a in attrs:
         c = F.col(a).eqNullSafe(F.col(f"_new_{a}"))
         same = c if same is None else same & c
     has_old = F.col(id_col).isNotNull()
-    has_new = F.col(f"_new_{attrs[0]}").isNotNull() | F.lit(False)
-    for a in attrs[1:]:
-        has_new = has_new | F.col(f"_new_{a}").isNotNull()
+    has_new = F.col("_in").isNotNull()
     changed = has_old & has_new & ~same
     cols = current.columns
     kept = joined.where(has_old & ~changed).select(*cols)

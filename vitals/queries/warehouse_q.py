@@ -1,3 +1,229 @@
-"""warehouse queries."""
+"""Warehouse queries: dimensions, upsert, SCD2, facts, FK/uniqueness/contract reports, drill-across."""
 
 from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from vitals import adapter as A
+from vitals import catalogues as C
+from vitals.functions import rules as R
+from vitals.operators import quality
+from vitals.operators.keys import sequential_ids
+from vitals.operators.upsert import scd2_merge, upsert_ignore
+from vitals.plans import dims as D
+from vitals.plans import facts as H
+from vitals.queries import query
+from vitals.queries import stage_q as SQ
+
+FACT_CASES_MIN_YEAR = 1997
+
+
+def _stages(spark, d, *names):
+    build = {"deaths": SQ.stage_deaths_df, "cases": SQ.stage_cases_df, "covid_local": SQ.stage_covid_local_df,
+             "world": SQ.stage_mortality_world_df, "covid_world": SQ.stage_covid_world_df}
+    return {n: build[n](spark, d) for n in names}
+
+
+def _dim_time(st):
+    return D.dim_time(D.time_members(**st), A.TEST_COVID_START, A.TEST_COVID_END)
+
+
+@query("dim_time")
+def q_dim_time(spark, d):
+    return _dim_time(_stages(spark, d, "deaths", "cases", "covid_local", "world", "covid_world"))
+
+
+@query("dim_geo")
+def q_dim_geo(spark, d):
+    st = _stages(spark, d, "deaths", "cases", "covid_local")
+    return D.dim_geo(D.geo_members(**st))
+
+
+@query("dim_country")
+def q_dim_country(spark, d):
+    return D.dim_country(**_stages(spark, d, "world", "covid_world"))
+
+
+@query("dim_cause")
+def q_dim_cause(spark, d):
+    return D.dim_cause(spark, **_stages(spark, d, "cases", "deaths"))
+
+
+@query("dim_static")
+def q_dim_static(spark, d):
+    """Static catalogues with the number of stage rows that use each member."""
+    st = _stages(spark, d, "deaths", "cases")
+    sd, sc = st["deaths"], st["cases"]
+    s = D.dim_static(spark)
+    sex_use = sd.groupBy(R.sex_id(F.col("sexo")).alias("id")).agg(F.count(F.lit(1)).alias("filas"))
+    age_use = (sd.withColumn("rango", R.age_label_to_dim(F.col("grupo_etario")))
+               .join(s["dim_grupo_etario"].select("rango", F.col("id_grupo_etario").alias("id")), "rango")
+               .groupBy("id").agg(F.count(F.lit(1)).alias("filas")))
+    src_use = (sd.select(F.lit(1).alias("id")).unionByName(sc.select(F.lit(2).alias("id")))
+               .groupBy("id").agg(F.count(F.lit(1)).alias("filas")))
+
+    def report(dim, id_col, label, name, use):
+        return (dim.select(F.lit(name).alias("dimension"), F.col(id_col).alias("id"), F.col(label).alias("etiqueta"))
+                .join(F.broadcast(use), "id", "left")
+                .select("dimension", "id", "etiqueta", F.coalesce("filas", F.lit(0)).cast("bigint").alias("filas")))
+
+    return (report(s["dim_sexo"], "id_sexo", "descripcion", "dim_sexo", sex_use)
+            .unionByName(report(s["dim_grupo_etario"], "id_grupo_etario", "rango", "dim_grupo_etario", age_use))
+            .unionByName(report(s["dim_fuente"], "id_fuente", "nombre", "dim_fuente", src_use)))
+
+
+def _month_members(spark, d, before=None):
+    o = A.read(spark, d, "orders")
+    if before:
+        o = o.where(F.col("o_orderdate") < F.lit(before).cast("timestamp_ntz"))
+    return o.select(F.year("o_orderdate").cast("int").alias("anio"),
+                    F.month("o_orderdate").cast("int").alias("mes")).distinct()
+
+
+@query("dim_upsert_ignore")
+def q_dim_upsert_ignore(spark, d):
+    first = upsert_ignore(None, _month_members(spark, d, "1998-01-01"), ["anio", "mes"], "id_tiempo")
+    full = _month_members(spark, d)
+    second = upsert_ignore(first, full, ["anio", "mes"], "id_tiempo")
+    return upsert_ignore(second, full, ["anio", "mes"], "id_tiempo")  # idempotent re-load
+
+
+@query("scd2_merge")
+def q_scd2_merge(spark, d):
+    c = A.read(spark, d, "customer")
+    base = c.where(F.col("c_custkey") % 7 != 3).select(
+        "c_custkey", F.col("c_mktsegment").alias("segmento"), F.col("c_nationkey").alias("nacion"),
+        F.lit(dt.date(2015, 1, 1)).alias("fecha_inicio_vigencia"),
+        F.lit(None).cast("date").alias("fecha_fin_vigencia"),
+        F.lit(True).alias("es_version_actual"), F.lit(1).alias("version"))
+    current = sequential_ids(base, "id_cliente", ["c_custkey"])
+    incoming = c.select("c_custkey",
+                        F.when(F.col("c_custkey") % 10 == 0, F.concat(F.col("c_mktsegment"), F.lit("_2")))
+                        .otherwise(F.col("c_mktsegment")).alias("segmento"),
+                        F.col("c_nationkey").alias("nacion"))
+    return scd2_merge(current, incoming, ["c_custkey"], ["segmento", "nacion"], dt.date(2020, 1, 1), "id_cliente")
+
+
+def _time_nat(dim_time):
+    return (dim_time, "id_tiempo", ["anio", "mes"])
+
+
+def _geo_nat(dim_geo):
+    return (dim_geo, "id_geografia", ["nombre_departamento", "nombre_municipio"])
+
+
+def _cause_nat(dim_cause):
+    return (dim_cause, "id_causa", ["codigo_cie10"])
+
+
+def fact_deaths_build(spark, d):
+    sd = _stages(spark, d, "deaths")["deaths"]
+    dt_, dg, dc = _dim_time({"deaths": sd}), D.dim_geo(D.geo_members(deaths=sd)), D.dim_cause(spark, deaths=sd)
+    fb = H.fact_deaths(sd, dt_, dg, dc, C.age_group_df(spark), C.source_df(spark))
+    return fb, dt_, dg, dc
+
+
+@query("fact_deaths")
+def q_fact_deaths(spark, d):
+    fb, dt_, dg, dc = fact_deaths_build(spark, d)
+    return H.denormalise(fb.fact, {"t": _time_nat(dt_), "g": _geo_nat(dg), "c": _cause_nat(dc)})
+
+
+@query("fact_cases")
+def q_fact_cases(spark, d):
+    sc = _stages(spark, d, "cases")["cases"]
+    dt_, dg, dc = _dim_time({"cases": sc}), D.dim_geo(D.geo_members(cases=sc)), D.dim_cause(spark, cases=sc)
+    fb = H.fact_cases(sc, dt_, dg, dc, C.age_group_df(spark), min_year=FACT_CASES_MIN_YEAR)
+    return H.denormalise(fb.fact, {"t": _time_nat(dt_), "g": _geo_nat(dg), "c": _cause_nat(dc)})
+
+
+@query("fact_covid_local")
+def q_fact_covid_local(spark, d):
+    cl = _stages(spark, d, "covid_local")["covid_local"]
+    dt_, dg, dc = (_dim_time({"covid_local": cl}), D.dim_geo(D.geo_members(covid_local=cl)),
+                   D.dim_cause(spark))
+    fb = H.fact_covid_local(cl, dt_, dg, dc, C.source_df(spark))
+    return H.denormalise(fb.fact, {"t": _time_nat(dt_), "g": _geo_nat(dg), "c": _cause_nat(dc)})
+
+
+@query("fact_mortality_world")
+def q_fact_mortality_world(spark, d):
+    mw = _stages(spark, d, "world")["world"]
+    dt_, dp = _dim_time({"world": mw}), D.dim_country(world=mw)
+    fb = H.fact_mortality_world(mw, dt_, dp)
+    return H.denormalise(fb.fact, {"t": _time_nat(dt_), "p": (dp.withColumnRenamed("id_pais", "id_geografia_mundial"),
+                                                              "id_geografia_mundial", ["iso3c"])})
+
+
+@query("fact_covid_world")
+def q_fact_covid_world(spark, d):
+    cw = _stages(spark, d, "covid_world")["covid_world"]
+    dt_, dp = _dim_time({"covid_world": cw}), D.dim_country(covid_world=cw)
+    fb = H.fact_covid_world(cw, dt_, dp)
+    return H.denormalise(fb.fact, {"t": _time_nat(dt_), "p": (dp.withColumnRenamed("id_pais", "id_geografia_mundial"),
+                                                              "id_geografia_mundial", ["iso3c"])})
+
+
+@query("fk_null_report")
+def q_fk_null_report(spark, d):
+    """NULL FKs of the deaths fact when the dimensions come from other sources."""
+    st = _stages(spark, d, "deaths", "cases", "covid_local")
+    dt_ = _dim_time({"cases": st["cases"]})
+    dg = D.dim_geo(D.geo_members(covid_local=st["covid_local"]))
+    dc = D.dim_cause(spark, cases=st["cases"])
+    fb = H.fact_deaths(st["deaths"], dt_, dg, dc, C.age_group_df(spark), C.source_df(spark))
+    return fb.null_report()
+
+
+@query("fk_violations")
+def q_fk_violations(spark, d):
+    """Cases-fact rows whose cause is missing from a dimension loaded with chapters A–M only."""
+    sc = _stages(spark, d, "cases")["cases"]
+    dt_, dg, dc = _dim_time({"cases": sc}), D.dim_geo(D.geo_members(cases=sc)), D.dim_cause(spark, cases=sc)
+    fact = H.fact_cases(sc, dt_, dg, dc, C.age_group_df(spark), min_year=FACT_CASES_MIN_YEAR).fact
+    loaded = dc.where(F.substring("codigo_cie10", 1, 1) <= "M")
+    bad = quality.fk_violations(fact, loaded, "id_causa", "id_causa")
+    return bad.agg(F.lit("id_causa").alias("fk"), F.count(F.lit(1)).cast("bigint").alias("violaciones"))
+
+
+@query("unique_violations")
+def q_unique_violations(spark, d):
+    """Country candidates (both sources, before the one-per-ISO3 rule) sharing a key."""
+    st = _stages(spark, d, "world", "covid_world")
+    iso2_to_iso3 = R.literal_map([(r[0], r[1]) for r in C.SELECTED_COUNTRIES])
+    a = st["world"].select("iso3c", "country_name").distinct()
+    b = (st["covid_world"].select(F.element_at(iso2_to_iso3, F.col("country_code")).alias("iso3c"), "country_name")
+         .distinct())
+    return quality.unique_violations(a.unionByName(b).where(F.col("iso3c").isNotNull()), ["iso3c"])
+
+
+CONTRACT_COVID_LOCAL = [
+    ("fecha_fallecimiento", "date", False, None),
+    ("anio", "int", False, None),
+    ("departamento", "string", True, 6),
+    ("municipio", "string", True, 8),
+    ("poblacion", "bigint", False, None),
+    ("fallecidos", "int", False, None),
+    ("tasa_por_100k", "double", True, None),
+    ("region", "string", True, None),
+]
+
+
+@query("contract_check")
+def q_contract_check(spark, d):
+    return quality.contract_report(_stages(spark, d, "covid_local")["covid_local"], CONTRACT_COVID_LOCAL)
+
+
+@query("drill_across")
+def q_drill_across(spark, d):
+    st = _stages(spark, d, "deaths", "covid_local")
+    dt_ = _dim_time({"deaths": st["deaths"], "covid_local": st["covid_local"]})
+    dg = D.dim_geo(D.geo_members(deaths=st["deaths"], covid_local=st["covid_local"]))
+    dc = D.dim_cause(spark, deaths=st["deaths"])
+    deaths = H.fact_deaths(st["deaths"], dt_, dg, dc, C.age_group_df(spark), C.source_df(spark)).fact
+    covid = H.fact_covid_local(st["covid_local"], dt_, dg, dc, C.source_df(spark)).fact
+    keys = ["id_tiempo", "id_geografia"]  # the dimensions both facts share (H.shared_dimensions)
+    both = H.drill_across(deaths, "total_casos", covid, "fallecidos", keys)
+    return H.denormalise(both, {"t": _time_nat(dt_), "g": _geo_nat(dg)})
