@@ -1,5 +1,27 @@
-"""Oracle SQL for quality queries."""
+"""Oracle SQL for profiling queries."""
 
 from __future__ import annotations
 
 ORACLE: dict[str, str] = {}
+
+ORACLE["profile_table"] = """
+SELECT CAST(COUNT(*) AS BIGINT) AS filas, CAST(COUNT(DISTINCT o_custkey) AS BIGINT) AS clientes_distintos,
+       MIN(o_orderdate) AS fecha_min, MAX(o_orderdate) AS fecha_max, ROUND(SUM(o_totalprice), 2) AS total,
+       CAST(COUNT(*) FILTER (WHERE o_orderpriority IS NULL) AS BIGINT) AS nulos_prioridad,
+       list_sort(list_distinct(list(o_orderstatus))) AS estados
+FROM orders"""
+
+ORACLE["value_counts"] = "SELECT lang, CAST(COUNT(*) AS BIGINT) AS n FROM documents GROUP BY lang"
+
+ORACLE["null_counts"] = """
+WITH j AS (SELECT d.doc_id, d.lang, d.n_chars, l.quality, l.toxic
+           FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
+SELECT 'doc_id' AS columna, CAST(COUNT(*) FILTER (WHERE doc_id IS NULL) AS BIGINT) AS nulos FROM j
+UNION ALL SELECT 'lang', CAST(COUNT(*) FILTER (WHERE lang IS NULL) AS BIGINT) FROM j
+UNION ALL SELECT 'n_chars', CAST(COUNT(*) FILTER (WHERE n_chars IS NULL) AS BIGINT) FROM j
+UNION ALL SELECT 'quality', CAST(COUNT(*) FILTER (WHERE quality IS NULL) AS BIGINT) FROM j
+UNION ALL SELECT 'toxic', CAST(COUNT(*) FILTER (WHERE toxic IS NULL) AS BIGINT) FROM j"""
+
+ORACLE["top_k_groups"] = """
+SELECT source, CAST(SUM(n_chars) AS BIGINT) AS total FROM documents GROUP BY source
+ORDER BY total DESC, source LIMIT 5"""
