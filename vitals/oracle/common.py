@@ -56,11 +56,12 @@ nobs AS (
   WHERE anio BETWEEN 1995 AND 2001 AND mes BETWEEN 1 AND 12 AND total_casos IS NOT NULL AND municipio IS NOT NULL
   GROUP BY municipio, anio, mes),
 nbase AS (
-  SELECT municipio, mes, AVG(muertes_observadas) AS promedio_pre_covid
+  SELECT municipio, mes, AVG(muertes_observadas) AS promedio_pre_covid,
+         COALESCE(STDDEV_SAMP(muertes_observadas), 0) AS desviacion_pre_covid
   FROM nobs WHERE anio BETWEEN 1995 AND 1998 GROUP BY municipio, mes),
 nregion AS (SELECT DISTINCT municipio, departamento AS region FROM counts),
 nlabelled AS (
-  SELECT o.municipio, r.region,
+  SELECT o.municipio, r.region, o.anio, o.mes, b.promedio_pre_covid, b.desviacion_pre_covid,
          (o.muertes_observadas - b.promedio_pre_covid) / NULLIF(b.promedio_pre_covid, 0) AS exceso_pct,
          CASE WHEN (o.muertes_observadas - b.promedio_pre_covid) / NULLIF(b.promedio_pre_covid, 0) >= 0.15
               THEN 1 ELSE 0 END AS exceso_mortalidad
