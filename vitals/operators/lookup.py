@@ -51,12 +51,13 @@ def decode(df: DataFrame, dictionary: DataFrame, mapping: dict[str, tuple[str, s
     be unique per (variable, codigo) (see ``normalised_dictionary``).
     """
     out = df
+    small = dictionary.limit(max_rows + 1).count() <= max_rows  # one check covers every slice
     for target, (source, variable) in mapping.items():
         part = dictionary.where(F.col("variable") == variable).select(
             F.col("codigo").alias(f"_k_{target}"), F.col("etiqueta").alias(f"_v_{target}"))
         key = R.normalise_code(F.col(source))
         out = out.withColumn(f"_c_{target}", key).join(
-            bounded(part, max_rows), F.col(f"_c_{target}") == F.col(f"_k_{target}"), "left")
+            F.broadcast(part) if small else part, F.col(f"_c_{target}") == F.col(f"_k_{target}"), "left")
         out = out.withColumn(target, F.when(F.col(source).isNull(), F.lit(C.NULL_CODE_LABEL))
                              .otherwise(F.coalesce(F.col(f"_v_{target}"),
                                                    F.concat(F.lit(C.MISSING_CODE_PREFIX), F.col(f"_c_{target}")))))

@@ -16,14 +16,17 @@ from vitals.plans import dims as D
 from vitals.plans import facts as H
 from vitals.queries import query
 from vitals.queries import stage_q as SQ
+from vitals.session import materialize
 
 FACT_CASES_MIN_YEAR = 1997
 
 
 def _stages(spark, d, *names):
+    """Stage tables, each written once to the shared folder (as the stage layer is)
+    and read back, so dimensions and facts do not recompute the stage jobs."""
     build = {"deaths": SQ.stage_deaths_df, "cases": SQ.stage_cases_df, "covid_local": SQ.stage_covid_local_df,
              "world": SQ.stage_mortality_world_df, "covid_world": SQ.stage_covid_world_df}
-    return {n: build[n](spark, d) for n in names}
+    return {n: materialize(build[n](spark, d), f"stage-{n}") for n in names}
 
 
 def _dim_time(st):

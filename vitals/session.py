@@ -83,3 +83,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame once as a Parquet table in the shared folder and read it back.
+
+    Used where one derived table feeds several plans (stage → dimensions and
+    facts): later reads get column pruning and filter pushdown, and a lost
+    executor recomputes nothing upstream of the written table.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
