@@ -6,16 +6,14 @@ passes through the driver.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def clean_header(name: str) -> str:
-    """Strip and drop embedded line breaks."""
-    return re.sub(r"[\r\n]+", " ", name).strip()
+    """Drop embedded line breaks, then strip."""
+    return name.replace("\n", "").replace("\r", "").strip()
 
 
 def align(df: DataFrame, target: T.StructType, renames: dict[str, str] | None = None,
@@ -35,15 +33,17 @@ def align(df: DataFrame, target: T.StructType, renames: dict[str, str] | None =
     cols = []
     for f in target.fields:
         if f.name in df.columns:
-            cols.append(F.col(f"`{f.name}`").cast(f.dataType).alias(f.name))
+            cols.append(F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name))
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
     return df.select(*cols)
 
 
-def drift(df_columns: list[str], target: T.StructType, source: str) -> list[tuple[str, str, str]]:
-    """U4/Q7: (source, kind, column) rows for missing and extra columns."""
-    have = [clean_header(c) for c in df_columns]
+def drift(df_columns: list[str], target: T.StructType, source: str,
+          renames: dict[str, str] | None = None) -> list[tuple[str, str, str]]:
+    """U4/Q7: (source, kind, column) rows for missing and extra columns (after header
+    cleaning and known renames)."""
+    have = [(renames or {}).get(clean_header(c), clean_header(c)) for c in df_columns]
     want = [f.name for f in target.fields]
     missing = [c for c in want if c not in have]
     extra = [c for c in have if c not in want]

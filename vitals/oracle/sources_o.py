@@ -61,3 +61,16 @@ SELECT 'region' AS tabla, 1 AS orden, CAST(COUNT(*) AS BIGINT) AS filas_origen,
 UNION ALL SELECT 'nation', 2, CAST(COUNT(*) AS BIGINT), CAST(COUNT(*) AS BIGINT), 'ok' FROM nation
 UNION ALL SELECT 'dim_missing', 3, CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), 'error:AnalysisException'
 UNION ALL SELECT 'orders', 4, CAST(COUNT(*) AS BIGINT), CAST(COUNT(*) AS BIGINT), 'ok' FROM orders"""
+
+ORACLE["align_schema"] = """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer WHERE c_custkey % 3 = 0
+UNION ALL
+SELECT c_custkey, CAST(c_custkey AS VARCHAR), c_nationkey, c_acctbal, c_mktsegment FROM customer WHERE c_custkey % 3 = 1
+UNION ALL
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, CAST(NULL AS VARCHAR) FROM customer WHERE c_custkey % 3 = 2"""
+
+ORACLE["schema_drift_report"] = """
+WITH n AS (SELECT c_custkey % 3 AS g, CAST(COUNT(*) AS BIGINT) AS filas FROM customer GROUP BY 1),
+r AS (SELECT * FROM (VALUES ('grupo1', 1, 'faltante', 'c_name'), ('grupo2', 2, 'faltante', 'c_mktsegment'),
+                            ('grupo2', 2, 'extra', 'Cantidad'), ('grupo2', 2, 'extra', 'extra')) v(archivo, g, tipo, columna))
+SELECT r.archivo, r.tipo, r.columna, n.filas FROM r JOIN n ON r.g = n.g"""

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from vitals.functions import rules as R
 from vitals.operators.keys import sequential_ids
+from vitals.session import scratch_path
 
 
 def feature_table(labelled: DataFrame, features: list[str], target: str = "exceso_mortalidad") -> DataFrame:
@@ -95,7 +96,7 @@ def fit_logreg(train: DataFrame, categorical: list[str], numeric: list[str], lab
     indexers = [StringIndexer(inputCol=c, outputCol=f"_i_{c}", handleInvalid="keep", stringOrderType="alphabetAsc")
                 for c in categorical]
     encoder = OneHotEncoder(inputCols=[f"_i_{c}" for c in categorical], outputCols=[f"_o_{c}" for c in categorical],
-                            dropLast=True, handleInvalid="keep")
+                            dropLast=True)  # the unknown bucket (last index) is dropped → zeros
     assembler = VectorAssembler(inputCols=[f"_o_{c}" for c in categorical] + [f"_z_{c}" for c in numeric],
                                 outputCol="features")
     lr = LogisticRegression(featuresCol="features", labelCol=label, weightCol="w", maxIter=max_iter,
@@ -104,7 +105,11 @@ def fit_logreg(train: DataFrame, categorical: list[str], numeric: list[str], lab
     fm = FittedModel(None, means, stds, categorical, numeric)  # type: ignore[arg-type]
     model = Pipeline(stages=[*indexers, encoder, assembler, lr]).fit(
         fm.prepare(weighted).withColumn(label, F.col(label).cast("double")))
-    fm.pipeline = model
+    # persist and reload: the reloaded model is what scoring ships to executors
+    # (a freshly fitted one drags its training summary and session along)
+    path = scratch_path(train.sparkSession, "logreg")
+    model.write().save(path)
+    fm.pipeline = PipelineModel.load(path)
     return fm
 
 

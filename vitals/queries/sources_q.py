@@ -200,3 +200,52 @@ def q_replicate_table(spark, d):
     for name in ("region", "nation", "orders"):
         layers.write_replace(A.read(spark, d, name), src, "dw", name)
     return layers.replicate(spark, src, dst, "dw", dims=["region", "nation", "dim_missing"], facts=["orders"])
+
+
+CUSTOMER_TARGET = T.StructType([
+    T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()),
+    T.StructField("c_nationkey", T.IntegerType()), T.StructField("c_acctbal", T.DoubleType()),
+    T.StructField("c_mktsegment", T.StringType())])
+RENAMES = {"CUSTKEY": "c_custkey"}
+
+
+def _drifted_files(spark, d) -> str:
+    """customer written as three yearly-style files with drifting layouts."""
+    root = scratch_path(spark, "drift")
+    c = A.read(spark, d, "customer")
+    g = F.col("c_custkey") % 3
+    c.where(g == 0).write.option("header", True).csv(f"{root}/grupo0")
+    (c.where(g == 1).select(F.col("c_custkey").alias("CUSTKEY"), F.col("c_nationkey").alias("c_nation\nkey"),
+                            "c_acctbal", "c_mktsegment")
+     .write.option("header", True).csv(f"{root}/grupo1"))
+    (c.where(g == 2).select("c_custkey", "c_name", "c_nationkey", "c_acctbal",
+                            F.lit(1).alias("Cantidad"), F.col("c_mktsegment").alias("extra"))
+     .write.option("header", True).csv(f"{root}/grupo2"))
+    return root
+
+
+def _read_group(spark, root, g):
+    return spark.read.option("header", True).option("multiLine", True).csv(f"{root}/grupo{g}")
+
+
+@query("align_schema")
+def q_align_schema(spark, d):
+    from vitals.operators.align import align
+    root = _drifted_files(spark, d)
+    parts = [align(_read_group(spark, root, g), CUSTOMER_TARGET, renames=RENAMES, drop=["Cantidad"],
+                   copy_if_absent={"c_name": "c_custkey"}) for g in range(3)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("schema_drift_report")
+def q_schema_drift_report(spark, d):
+    from vitals.operators.align import drift, drift_report
+    root = _drifted_files(spark, d)
+    rows = []
+    for g in range(3):
+        rows += drift(_read_group(spark, root, g).columns, CUSTOMER_TARGET, f"grupo{g}", RENAMES)
+    # the report carries header names only; row counts per file come from the data
+    counts = {f"grupo{g}": _read_group(spark, root, g).count() for g in range(3)}
+    return drift_report(spark, rows).withColumn(
+        "filas", F.element_at(F.create_map(*[F.lit(x) for kv in counts.items() for x in kv]), F.col("archivo"))
+        .cast("bigint"))
