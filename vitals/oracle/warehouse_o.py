@@ -272,3 +272,13 @@ SELECT COALESCE(d.anio, c.anio) AS anio, COALESCE(d.mes, c.mes) AS mes,
        CAST(d.n AS BIGINT) AS total_casos, CAST(c.f AS BIGINT) AS fallecidos
 FROM d FULL OUTER JOIN c ON d.anio = c.anio AND d.mes = c.mes AND d.nombre_departamento = c.nombre_departamento
      AND d.nombre_municipio = c.nombre_municipio"""
+
+ORACLE["star_observed"] = f"""
+WITH {stages('sd')},
+a AS (SELECT CAST(anio_ocurrencia AS INTEGER) AS anio, CAST(COALESCE(mes_ocurrencia, 0) AS INTEGER) AS mes,
+             {geo('nombre_depto_ocurrencia')} AS d, {geo('nombre_muni_ocurrencia')} AS m, COUNT(*) AS n
+      FROM st_sd WHERE anio_ocurrencia IS NOT NULL GROUP BY ALL)
+SELECT d AS departamento, anio, mes, CAST(SUM(n) AS BIGINT) AS muertes_observadas,
+       CAST(COUNT(DISTINCT m) AS BIGINT) AS municipios_con_datos
+FROM a WHERE anio BETWEEN 1995 AND 2001 AND mes BETWEEN 1 AND 12 AND d IS NOT NULL
+GROUP BY d, anio, mes"""

@@ -230,3 +230,12 @@ def q_drill_across(spark, d):
     keys = ["id_tiempo", "id_geografia"]  # the dimensions both facts share (H.shared_dimensions)
     both = H.drill_across(deaths, "total_casos", covid, "fallecidos", keys)
     return H.denormalise(both, {"t": _time_nat(dt_), "g": _geo_nat(dg)})
+
+
+@query("star_observed")
+def q_star_observed(spark, d):
+    """The monthly series read back from the star (fact ⋈ time ⋈ geography)."""
+    from vitals.plans import marts as M
+    fb, dt_, dg, _ = fact_deaths_build(spark, d)
+    fact = materialize(fb.fact, "fact-deaths")  # the loaded fact table
+    return M.star_observed(fact, dt_, dg, years=A.TEST_YEARS)
