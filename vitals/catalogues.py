@@ -202,6 +202,18 @@ DIM_SOURCE = [
     (6, "OMS_COVID_MUNDIAL", "Internacional", "Global", "2020-2024"),
 ]
 
+# FIXED VALUES — source tags written by the stage jobs and the regional loaders
+STAGE_TAG_DEATHS = "INE_STAGE"
+STAGE_TAG_CASES = "MSPAS_MEC_STAGE"
+STAGE_TAG_COVID_LOCAL = "MSPAS_COVID_STAGE"
+STAGE_TAG_COVID_WORLD = "OMS_COVID_MUNDIAL_STAGE"
+STAGE_TAG_WORLD = "WORLD_MORTALITY"
+REGIONAL_SOURCES = [("Panama", "CONTRALORIA_PANAMA"), ("Costa Rica", "INEC_COSTA_RICA")]
+REGIONAL_REGION = "Centroamérica"
+
+# FIXED VALUES — constants of the national geography dimension
+GEO_COUNTRY, GEO_ISO3, GEO_VALID_FROM = "Guatemala", "GTM", "2015-01-01"
+
 # FIXED VALUES — default labels of the cleaning rules
 NULL_CODE_LABEL = "Ignorado / No especificado"
 MISSING_CODE_PREFIX = "Código no encontrado: "

@@ -68,11 +68,11 @@ def geo_members(deaths=None, cases=None, covid_local=None) -> DataFrame:
                     R.strip(F.coalesce(F.col("m"), F.lit(C.GEO_MISS))).alias("nombre_municipio")).distinct()
 
 
-def dim_geo(members: DataFrame, valid_from: dt.date = dt.date(2015, 1, 1)) -> DataFrame:
+def dim_geo(members: DataFrame, valid_from: dt.date = dt.date.fromisoformat(C.GEO_VALID_FROM)) -> DataFrame:
     """National geography with SCD2 columns (version 1, open)."""
     d = members.select(
         "nombre_departamento", "nombre_municipio",
-        F.lit("Guatemala").alias("region"), F.lit("Guatemala").alias("pais"), F.lit("GTM").alias("iso3c"),
+        F.lit(C.GEO_COUNTRY).alias("region"), F.lit(C.GEO_COUNTRY).alias("pais"), F.lit(C.GEO_ISO3).alias("iso3c"),
         F.lit(valid_from).cast("date").alias("fecha_inicio_vigencia"),
         F.lit(None).cast("date").alias("fecha_fin_vigencia"),
         F.lit(True).alias("es_version_actual"), F.lit(1).alias("version"))

@@ -47,7 +47,7 @@ def stage_deaths(raw: DataFrame, dictionary: DataFrame, icd_catalogue: DataFrame
         F.col("Mesocu").cast("int").alias("mes_ocurrencia"),
         "nombre_depto_ocurrencia", "nombre_muni_ocurrencia", "sexo", "edad_anios",
         "grupo_etario", "codigo_cie10", "descripcion_causa", "periodo",
-        F.lit("INE_STAGE").alias("fuente_origen"))
+        F.lit(C.STAGE_TAG_DEATHS).alias("fuente_origen"))
 
 
 def icd_catalogue(raw: DataFrame, code: str = "codigo_cie10", description: str = "descripcion",
@@ -87,7 +87,7 @@ def stage_cases(raw: DataFrame, years=(2012, 2024), order=("l_orderkey", "l_line
         R.sex_normalise(F.col("Sexo")).alias("sexo"),
         R.truncated_int(F.col("Casos")).alias("casos"),
         R.classify_period(F.col("Año"), covid_start, covid_end).alias("periodo"),
-        F.lit("MSPAS_MEC_STAGE").alias("fuente_origen"))
+        F.lit(C.STAGE_TAG_CASES).alias("fuente_origen"))
 
 
 def covid_local_rules(years=(2020, 2024)):
@@ -120,27 +120,27 @@ def stage_covid_local(raw: DataFrame, years=(2020, 2024), covid_end: int = 2021,
         fall.alias("fallecidos"),
         R.rate_per_100k(fall, pob).alias("tasa_por_100k"),
         R.classify_period_covid(F.year("fecha_fallecimiento"), covid_end).alias("periodo"),
-        F.lit("MSPAS_COVID_STAGE").alias("fuente_origen"))
+        F.lit(C.STAGE_TAG_COVID_LOCAL).alias("fuente_origen"))
 
 
 def homologate_regional(panama: DataFrame, costa_rica: DataFrame) -> DataFrame:
     """P16/U2 (L5): two layouts → one 12-column layout with typed structural NULLs."""
     pa = panama.select(
-        F.lit("Panama").alias("pais"), "anio", "defunciones_general",
+        F.lit(C.REGIONAL_SOURCES[0][0]).alias("pais"), "anio", "defunciones_general",
         "defunciones_infantil_menores_de_un_anio", "defunciones_menores_de_5_anios",
         "defunciones_materna", "defunciones_de_mujeres_en_edad_fertil",
         F.lit(None).cast("bigint").alias("poblacion_total"),
         F.lit(None).cast("double").alias("tasa_bruta_mortalidad_por_mil"),
-        F.lit("CONTRALORIA_PANAMA").alias("fuente_origen"))
+        F.lit(dict(C.REGIONAL_SOURCES)["Panama"]).alias("fuente_origen"))
     cr = costa_rica.select(
-        F.lit("Costa Rica").alias("pais"), "anio", F.col("defunciones").alias("defunciones_general"),
+        F.lit(C.REGIONAL_SOURCES[1][0]).alias("pais"), "anio", F.col("defunciones").alias("defunciones_general"),
         F.lit(None).cast("bigint").alias("defunciones_infantil_menores_de_un_anio"),
         F.lit(None).cast("bigint").alias("defunciones_menores_de_5_anios"),
         F.lit(None).cast("bigint").alias("defunciones_materna"),
         F.lit(None).cast("bigint").alias("defunciones_de_mujeres_en_edad_fertil"),
         F.col("poblacion_total_al_30_de_junio").alias("poblacion_total"),
         F.col("tasa_bruta_de_mortalidad_por_mil_habitantes").alias("tasa_bruta_mortalidad_por_mil"),
-        F.lit("INEC_COSTA_RICA").alias("fuente_origen"))
+        F.lit(dict(C.REGIONAL_SOURCES)["Costa Rica"]).alias("fuente_origen"))
     return pa.unionByName(cr)
 
 
@@ -159,12 +159,12 @@ def stage_mortality_world(world: DataFrame, regional: DataFrame, min_year: int =
                   F.col("year").cast("int").alias("anio"), mes.alias("mes"), semana.alias("semana"),
                   F.col("deaths").cast("double").alias("deaths"), "time_unit",
                   R.classify_period(F.col("year"), covid_start, covid_end).alias("periodo"),
-                  F.lit("WORLD_MORTALITY").alias("fuente")))
+                  F.lit(C.STAGE_TAG_WORLD).alias("fuente")))
     iso = F.element_at(R.literal_map(C.REGIONAL_NAME_TO_ISO3), F.col("pais"))
     ca = (regional.withColumn("iso3c", iso)
           .where(F.col("iso3c").isNotNull() & (F.col("anio") >= min_year)
                  & F.col("defunciones_general").isNotNull())
-          .select("iso3c", F.col("pais").alias("country_name"), F.lit("Centroamérica").alias("region"),
+          .select("iso3c", F.col("pais").alias("country_name"), F.lit(C.REGIONAL_REGION).alias("region"),
                   F.col("anio").cast("int").alias("anio"),
                   F.lit(None).cast("int").alias("mes"), F.lit(None).cast("int").alias("semana"),
                   F.col("defunciones_general").cast("double").alias("deaths"),
@@ -196,7 +196,7 @@ def stage_covid_world(weekly: DataFrame, covid_start: int = 2020, covid_end: int
         F.col("Cumulative_deaths_fin").alias("cum_deaths_fin"),
         "semanas_reporte",
         R.classify_period(F.col("anio"), covid_start, covid_end).alias("periodo"),
-        F.lit("OMS_COVID_MUNDIAL_STAGE").alias("fuente_origen"))
+        F.lit(C.STAGE_TAG_COVID_WORLD).alias("fuente_origen"))
 
 
 def overlap_entities(world: DataFrame, regional: DataFrame, key: str = "iso3c") -> DataFrame:
