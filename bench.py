@@ -44,7 +44,7 @@ def main() -> None:
     sf = float(m.group(1)) if m else None
     from vitals.session import get_session
     spark = get_session(f"local[{cpus}]", int(cpus) * 2, app_name="vitals-bench",
-                        extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
+                        extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "4g"),
                                "spark.ui.showConsoleProgress": "false"})
     import pyarrow.parquet as pq
 
