@@ -31,10 +31,31 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+SMALL_TABLE_ROWS = 100_000
+_SMALL: dict[str, bool] = {}
+
+
+def checked(key: str, df: DataFrame, max_rows: int = SMALL_TABLE_ROWS) -> DataFrame:
+    """``df`` as a broadcast side when it holds ≤ max_rows rows, else as is.
+
+    The count runs once per ``key`` (built from the read-only input folder),
+    so a reference frame used by many joins of a run is checked once.
+    """
+    if key not in _SMALL:
+        _SMALL[key] = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if _SMALL[key] else df
+
+
+def small(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A reference table (nation, region): broadcast only when its row count
+    (answered from the Parquet footers) is within SMALL_TABLE_ROWS."""
+    return checked(table_path(sf_dir, name), read(spark, sf_dir, name))
+
+
 def geo_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """nation ⋈ region: 25 rows in every scale factor (fixed by the schema)."""
-    nation = read(spark, sf_dir, "nation")
-    region = read(spark, sf_dir, "region")
+    nation = small(spark, sf_dir, "nation")
+    region = small(spark, sf_dir, "region")
     return (nation.join(region, nation.n_regionkey == region.r_regionkey)
             .select(F.col("n_nationkey").alias("nationkey"),
                     F.col("r_regionkey").alias("regionkey"),
@@ -46,7 +67,7 @@ def order_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders with their place (customer → nation → region) and month."""
     orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customer = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    geo = F.broadcast(geo_catalogue(spark, sf_dir))
+    geo = checked(f"{sf_dir}#geo", geo_catalogue(spark, sf_dir))
     cust_geo = customer.join(geo, customer.c_nationkey == geo.nationkey).select(
         "c_custkey", "nationkey", "regionkey", "departamento", "municipio")
     return (orders.join(cust_geo, orders.o_custkey == cust_geo.c_custkey)
@@ -105,8 +126,8 @@ def nation_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vitals.functions.rules import literal_map
     sel = spark.createDataFrame([(i, *row) for i, row in enumerate(C.SELECTED_COUNTRIES)],
                                 "idx int, iso2 string, iso3 string, country string, region string")
-    nation = read(spark, sf_dir, "nation")
-    region = read(spark, sf_dir, "region")
+    nation = small(spark, sf_dir, "nation")
+    region = small(spark, sf_dir, "region")
     z = F.char((F.lit(65) + F.col("n_nationkey")).cast("int"))
     return (nation.join(region, nation.n_regionkey == region.r_regionkey)
             .join(F.broadcast(sel), nation.n_nationkey + COUNTRY_OFFSET == sel.idx, "left")
@@ -122,7 +143,7 @@ def order_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate",
                                                   "o_orderstatus", "o_orderpriority")
     customer = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    nc = F.broadcast(nation_countries(spark, sf_dir))
+    nc = checked(f"{sf_dir}#countries", nation_countries(spark, sf_dir))
     return (orders.join(customer, orders.o_custkey == customer.c_custkey)
             .join(nc, F.col("c_nationkey") == nc.nationkey)
             .drop("c_custkey"))
@@ -194,15 +215,15 @@ def covid_local_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     orders = read(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderstatus")
     customer = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    geo = F.broadcast(read(spark, sf_dir, "nation").join(
-        read(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")))
+    geo = small(spark, sf_dir, "nation").join(
+        small(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     pop = customer.groupBy(F.col("c_nationkey").alias("pk")).agg(
         (F.count(F.lit(1)) * 1000).cast("bigint").alias("poblacion"))
     g = (orders.join(customer, orders.o_custkey == customer.c_custkey)
          .groupBy("c_nationkey", "o_orderdate", "o_orderstatus")
          .agg(F.count(F.lit(1)).cast("bigint").alias("n")))
     return (g.join(geo, g.c_nationkey == geo.n_nationkey)
-            .join(F.broadcast(pop), g.c_nationkey == pop.pk)
+            .join(pop, g.c_nationkey == pop.pk)  # shuffle join; AQE splits a hot nation
             .select(F.upper(F.col("r_name")).alias("departamento"),
                     F.col("r_regionkey").cast("bigint").alias("codigo_departamento"),
                     F.when(F.col("o_orderstatus") == "F", F.concat(F.lower("n_name"), F.lit(" ")))
@@ -272,8 +293,8 @@ def ine_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Nations with key % 5 = 0 are defined twice; the later definition wins.
     """
-    region = read(spark, sf_dir, "region")
-    nation = read(spark, sf_dir, "nation")
+    region = small(spark, sf_dir, "region")
+    nation = small(spark, sf_dir, "nation")
     dep = region.select(F.lit("Departamento de ocurrencia").alias("variable"),
                         F.concat(F.col("r_regionkey").cast("string"), F.lit(".0")).alias("codigo"),
                         F.col("r_name").alias("etiqueta"), F.col("r_regionkey").cast("bigint").alias("pos"))

@@ -17,9 +17,10 @@ from vitals.functions import rules as R
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-def bounded(side: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only when the side is proven to hold ≤ max_rows rows."""
-    n = side.limit(max_rows + 1).count()
+def bounded(side: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, proof: DataFrame | None = None) -> DataFrame:
+    """Broadcast hint only when the side — or ``proof``, a frame it is a filter or
+    projection of — is proven to hold ≤ max_rows rows."""
+    n = (proof if proof is not None else side).limit(max_rows + 1).count()
     return F.broadcast(side) if n <= max_rows else side
 
 

@@ -28,16 +28,17 @@ def star_observed(fact: DataFrame, dim_time: DataFrame, dim_geo: DataFrame,
                   years: tuple[int, int] = (2018, 2024)) -> DataFrame:
     """The same series read from the star (fact ⋈ time ⋈ geography).
 
-    Both dimensions are bounded by calendar and geography; they are joined
-    by broadcast and the predicates reach the dimension scans.
+    Both dimensions are bounded by calendar and geography; they are broadcast
+    after a size check and the predicates reach the dimension scans.
     """
     t = dim_time.where(F.col("anio").between(*years) & F.col("mes").between(1, 12)) \
         .select("id_tiempo", "anio", "mes")
     g = dim_geo.where(F.col("nombre_departamento").isNotNull()) \
         .select("id_geografia", "nombre_departamento", "nombre_municipio")
+    from vitals.operators.lookup import bounded
     return (fact.where(F.col("total_casos").isNotNull())
-            .join(F.broadcast(t), "id_tiempo")
-            .join(F.broadcast(g), "id_geografia")
+            .join(bounded(t, proof=dim_time), "id_tiempo")
+            .join(bounded(g, proof=dim_geo), "id_geografia")
             .groupBy(F.col("nombre_departamento").alias("departamento"), "anio", "mes")
             .agg(F.sum("total_casos").cast("bigint").alias("muertes_observadas"),
                  F.countDistinct("nombre_municipio").cast("bigint").alias("municipios_con_datos")))

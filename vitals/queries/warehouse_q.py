@@ -69,7 +69,7 @@ def q_dim_static(spark, d):
 
     def report(dim, id_col, label, name, use):
         return (dim.select(F.lit(name).alias("dimension"), F.col(id_col).alias("id"), F.col(label).alias("etiqueta"))
-                .join(F.broadcast(use), "id", "left")
+                .join(F.broadcast(use), "id", "left")  # keyed by dimension ids: ≤ 8 rows
                 .select("dimension", "id", "etiqueta", F.coalesce("filas", F.lit(0)).cast("bigint").alias("filas")))
 
     return (report(s["dim_sexo"], "id_sexo", "descripcion", "dim_sexo", sex_use)

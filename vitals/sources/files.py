@@ -117,22 +117,25 @@ def with_file_name(df: DataFrame, name: str = "archivo_origen", level: str = "fo
     return df.withColumn(name, value)
 
 
+def _probe_header(spark: SparkSession, path: str) -> tuple[str, list[str] | None, str | None]:
+    try:
+        cols = spark.read.option("header", True).csv(path).columns  # reads the first line only
+        return path, [c.strip().lstrip(BOM) for c in cols], None
+    except Exception as e:  # noqa: BLE001 - an unreadable file is a reported outcome
+        return path, None, type(e).__name__
+
+
 def read_tolerant(spark: SparkSession, files: list[str], expected: list[str],
-                  schema: T.StructType) -> tuple[DataFrame | None, list[tuple[str, str]]]:
-    """Each file's header is probed (its first line only); files whose
-    header does not carry the expected columns are rejected and listed; the
-    good set is read in one scan. Fails only when no file is readable."""
-    good, bad = [], []
-    for f in files:
-        try:
-            cols = [c.strip().lstrip(BOM) for c in spark.read.option("header", True).csv(f).columns]
-        except Exception as e:  # noqa: BLE001 - unreadable file is a reported outcome
-            bad.append((f, type(e).__name__))
-            continue
-        if cols == expected:
-            good.append(f)
-        else:
-            bad.append((f, "cabecera_inesperada"))
+                  schema: T.StructType, parallel: int = 16) -> tuple[DataFrame | None, list[tuple[str, str]]]:
+    """Each file's header is probed (its first line only, probes submitted
+    concurrently); files whose header does not carry the expected columns are
+    rejected and listed; the good set is read in one scan. Fails only when no
+    file is readable."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(files)))) as pool:
+        probes = list(pool.map(lambda f: _probe_header(spark, f), files))
+    good = [p for p, cols, _ in probes if cols == expected]
+    bad = [(p, err or "cabecera_inesperada") for p, cols, err in probes if cols != expected]
     if not good:
         raise ValueError(f"no readable file among {len(files)}")
     return spark.read.schema(schema).option("header", True).csv(good), bad
