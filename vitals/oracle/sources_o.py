@@ -74,3 +74,10 @@ WITH n AS (SELECT c_custkey % 3 AS g, CAST(COUNT(*) AS BIGINT) AS filas FROM cus
 r AS (SELECT * FROM (VALUES ('grupo1', 1, 'faltante', 'c_name'), ('grupo2', 2, 'faltante', 'c_mktsegment'),
                             ('grupo2', 2, 'extra', 'Cantidad'), ('grupo2', 2, 'extra', 'extra')) v(archivo, g, tipo, columna))
 SELECT r.archivo, r.tipo, r.columna, n.filas FROM r JOIN n ON r.g = n.g"""
+
+ORACLE["land_parquet_parts"] = """
+SELECT CAST(o_custkey AS VARCHAR) AS iso3c, CAST(o_custkey AS VARCHAR) AS country_name,
+       CAST(year(o_orderdate) AS BIGINT) AS year, o_orderstatus AS time, o_orderpriority AS time_unit,
+       CASE WHEN o_orderkey % 13 = 0 THEN 0 ELSE CAST(trunc(o_totalprice) AS BIGINT) END AS deaths,
+       'partes' AS archivo_origen, 'OMS_PARQUET' AS fuente_origen
+FROM orders"""

@@ -249,3 +249,35 @@ def q_schema_drift_report(spark, d):
     return drift_report(spark, rows).withColumn(
         "filas", F.element_at(F.create_map(*[F.lit(x) for kv in counts.items() for x in kv]), F.col("archivo"))
         .cast("bigint"))
+
+
+@query("land_parquet_parts")
+def q_land_parquet_parts(spark, d):
+    """Multi-part Parquet landing: a part that is really an HTML page is rejected,
+    source columns are renamed to the standard layout (P3), the name column is copied
+    from the code when absent (P17), measures are coerced with NULL → 0 (F18) and the
+    provenance columns are added (P6)."""
+    from vitals.functions import rules as R
+    from vitals.operators.align import align
+    folder = scratch_path(spark, "who-parts")
+    # the source layout: Country, Year, Sex, List, Deaths1 (one part per year group)
+    src = A.read(spark, d, "orders").select(
+        F.col("o_custkey").cast("string").alias("Country"), F.year("o_orderdate").alias("Year"),
+        F.col("o_orderstatus").alias("Sex"), F.col("o_orderpriority").alias("List"),
+        F.when(F.col("o_orderkey") % 13 == 0, F.lit(None)).otherwise(F.col("o_totalprice")).alias("Deaths1"))
+    src.repartition(6, "Year").write.parquet(f"{folder}/partes")
+    A.read(spark, d, "pages").select(F.col("html").alias("value")).write.text(f"{folder}/partes/login")
+    parts = files.data_files(spark, f"{folder}/partes")
+    good, bad = files.read_parquet_parts_tolerant(spark, parts)
+    if not any(why == "html" for _, why in bad):
+        raise AssertionError("the HTML payload should have been rejected")
+    target = T.StructType([T.StructField("iso3c", T.StringType()), T.StructField("country_name", T.StringType()),
+                           T.StructField("year", T.LongType()), T.StructField("time", T.StringType()),
+                           T.StructField("time_unit", T.StringType()), T.StructField("deaths", T.DoubleType()),
+                           T.StructField("archivo_origen", T.StringType())])
+    good = files.with_file_name(good, "archivo_origen", level="folder")
+    aligned = align(good, target, renames={"Country": "iso3c", "Year": "year", "Sex": "time", "List": "time_unit",
+                                           "Deaths1": "deaths"}, copy_if_absent={"country_name": "iso3c"})
+    return (aligned.withColumn("year", R.to_long_or_zero(F.col("year")))
+            .withColumn("deaths", R.to_long_or_zero(F.col("deaths")))
+            .withColumn("fuente_origen", F.lit("OMS_PARQUET")))

@@ -141,6 +141,35 @@ def read_tolerant(spark: SparkSession, files: list[str], expected: list[str],
     return spark.read.schema(schema).option("header", True).csv(good), bad
 
 
+def _probe_parquet(spark: SparkSession, path: str) -> tuple[str, str | None]:
+    try:
+        spark.read.parquet(path).schema  # footer only
+        return path, None
+    except Exception:  # noqa: BLE001 - not a Parquet file: find out what it is
+        try:
+            head = spark.read.text(path).limit(1).first()
+        except Exception as e:  # noqa: BLE001
+            return path, type(e).__name__
+        text = head[0] if head else ""
+        html = text.startswith("<!DOCTYPE") or "<html" in text[:200].lower()
+        return path, "html" if html else "ilegible"
+
+
+def read_parquet_parts_tolerant(spark: SparkSession, paths: list[str],
+                                parallel: int = 16) -> tuple[DataFrame, list[tuple[str, str]]]:
+    """Parquet parts whose footer reads are scanned together; a part that
+    is an HTML page (a login form served instead of data) or unreadable is
+    rejected and listed. Probes are concurrent and touch footers / first lines only."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(paths)))) as pool:
+        probes = list(pool.map(lambda p: _probe_parquet(spark, p), paths))
+    good = [p for p, why in probes if why is None]
+    bad = [(p, why) for p, why in probes if why is not None]
+    if not good:
+        raise ValueError(f"no readable part among {len(paths)}")
+    return spark.read.parquet(*good), bad
+
+
 def looks_like_html(text: Column) -> Column:
     """A payload that is an HTML page (starts with <!DOCTYPE, or <html in the first 200 chars)."""
     return text.startswith("<!DOCTYPE") | F.lower(F.substring(text, 1, 200)).contains("<html")
