@@ -269,17 +269,22 @@ def cases_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def deaths_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """sandbox_ine: coded death records (codes decoded by the dictionary in stage)."""
     li = read(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag")
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus")
     og = order_geo(spark, sf_dir)
     ln = F.col("l_linenumber")
     causa = cause_code("l_partkey", "l_suppkey")
     return (li.join(og, li.l_orderkey == og.o_orderkey)
             .select("l_orderkey", "l_linenumber",
+                    ((F.col("regionkey") + 1) % 5).cast("string").alias("Depreg"),
+                    ((F.col("nationkey") + 3) % 25).cast("string").alias("Mupreg"),
                     F.col("regionkey").cast("string").alias("Depocu"),
                     F.when(ln == 6, F.lit(None)).when(ln == 5, F.col("nationkey") + 30)
                     .otherwise(F.col("nationkey")).cast("string").alias("Mupocu"),
                     F.when(F.col("l_returnflag") == "A", F.lit("1"))
                     .when(F.col("l_returnflag") == "R", F.lit("2")).otherwise(F.lit("9")).alias("Sexo"),
+                    F.when(F.col("l_linestatus") == "O", F.lit("1")).otherwise(F.lit("2")).alias("Asist"),
+                    (ln % 3 + 1).cast("string").alias("Ocur"),
+                    (F.col("l_partkey") % 5).cast("string").alias("Puedif"),
                     F.col("anio").alias("Añoocu"), F.col("mes").alias("Mesocu"),
                     F.col("l_quantity").alias("Edadif"),
                     ((ln - 1) % 4 + 1).cast("int").alias("Perdif"),
@@ -310,7 +315,24 @@ def ine_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("r_regionkey") + 1).cast("string").alias("codigo"),
         F.when(F.col("r_regionkey") == 0, F.lit("Hombre")).otherwise(F.lit("Mujer")).alias("etiqueta"),
         (F.col("r_regionkey") + 300).cast("bigint").alias("pos"))
-    return dep.unionByName(mun).unionByName(redo).unionByName(sex)
+    dreg = region.select(F.lit("Departamento de registro").alias("variable"),
+                         F.col("r_regionkey").cast("string").alias("codigo"), F.col("r_name").alias("etiqueta"),
+                         (F.col("r_regionkey") + 400).cast("bigint").alias("pos"))
+    mreg = nation.select(F.lit("Municipio de registro").alias("variable"),
+                         F.col("n_nationkey").cast("string").alias("codigo"), F.col("n_name").alias("etiqueta"),
+                         (F.col("n_nationkey") + 500).cast("bigint").alias("pos"))
+    asist = region.where(F.col("r_regionkey") < 2).select(
+        F.lit("Asistencia recibida").alias("variable"), (F.col("r_regionkey") + 1).cast("string").alias("codigo"),
+        F.when(F.col("r_regionkey") == 0, F.lit("Con asistencia")).otherwise(F.lit("Sin asistencia")).alias("etiqueta"),
+        (F.col("r_regionkey") + 600).cast("bigint").alias("pos"))
+    sitio = region.where(F.col("r_regionkey") < 3).select(
+        F.lit("Sitio de ocurrencia").alias("variable"), (F.col("r_regionkey") + 1).cast("string").alias("codigo"),
+        F.concat(F.lit("Sitio "), F.col("r_name")).alias("etiqueta"), (F.col("r_regionkey") + 700).cast("bigint").alias("pos"))
+    pueblo = region.where(F.col("r_regionkey") < 4).select(
+        F.lit("Pueblo de pertenencia del difunto(a)").alias("variable"), F.col("r_regionkey").cast("string").alias("codigo"),
+        F.concat(F.lit("Pueblo "), F.lower("r_name")).alias("etiqueta"), (F.col("r_regionkey") + 800).cast("bigint").alias("pos"))
+    return (dep.unionByName(mun).unionByName(redo).unionByName(sex).unionByName(dreg).unionByName(mreg)
+            .unionByName(asist).unionByName(sitio).unionByName(pueblo))
 
 
 def icd_catalogue_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -185,10 +185,15 @@ cases_raw AS (
 DEATHS_RAW = ORDER_GEO + """,
 deaths_raw AS (
   SELECT l.l_orderkey, l.l_linenumber,
+         CAST((og.regionkey + 1) % 5 AS VARCHAR) AS Depreg,
+         CAST((og.nationkey + 3) % 25 AS VARCHAR) AS Mupreg,
          CAST(og.regionkey AS VARCHAR) AS Depocu,
          CAST(CASE WHEN l.l_linenumber = 6 THEN NULL WHEN l.l_linenumber = 5 THEN og.nationkey + 30
                    ELSE og.nationkey END AS VARCHAR) AS Mupocu,
          CASE WHEN l.l_returnflag = 'A' THEN '1' WHEN l.l_returnflag = 'R' THEN '2' ELSE '9' END AS Sexo,
+         CASE WHEN l.l_linestatus = 'O' THEN '1' ELSE '2' END AS Asist,
+         CAST(l.l_linenumber % 3 + 1 AS VARCHAR) AS Ocur,
+         CAST(l.l_partkey % 5 AS VARCHAR) AS Puedif,
          og.anio AS "Añoocu", og.mes AS Mesocu, l.l_quantity AS Edadif,
          CAST((l.l_linenumber - 1) % 4 + 1 AS INTEGER) AS Perdif,
          CASE WHEN l.l_linenumber = 7 THEN '9' || {c}
@@ -208,7 +213,21 @@ INE_DICTIONARY = """dict_raw AS (
   UNION ALL
   SELECT 'Sexo del difunto(a)', CAST(r_regionkey + 1 AS VARCHAR),
          CASE WHEN r_regionkey = 0 THEN 'Hombre' ELSE 'Mujer' END, CAST(r_regionkey + 300 AS BIGINT)
-  FROM region WHERE r_regionkey < 2),
+  FROM region WHERE r_regionkey < 2
+  UNION ALL
+  SELECT 'Departamento de registro', CAST(r_regionkey AS VARCHAR), r_name, CAST(r_regionkey + 400 AS BIGINT) FROM region
+  UNION ALL
+  SELECT 'Municipio de registro', CAST(n_nationkey AS VARCHAR), n_name, CAST(n_nationkey + 500 AS BIGINT) FROM nation
+  UNION ALL
+  SELECT 'Asistencia recibida', CAST(r_regionkey + 1 AS VARCHAR),
+         CASE WHEN r_regionkey = 0 THEN 'Con asistencia' ELSE 'Sin asistencia' END, CAST(r_regionkey + 600 AS BIGINT)
+  FROM region WHERE r_regionkey < 2
+  UNION ALL
+  SELECT 'Sitio de ocurrencia', CAST(r_regionkey + 1 AS VARCHAR), 'Sitio ' || r_name, CAST(r_regionkey + 700 AS BIGINT)
+  FROM region WHERE r_regionkey < 3
+  UNION ALL
+  SELECT 'Pueblo de pertenencia del difunto(a)', CAST(r_regionkey AS VARCHAR), 'Pueblo ' || lower(r_name),
+         CAST(r_regionkey + 800 AS BIGINT) FROM region WHERE r_regionkey < 4),
 dict AS (
   SELECT trim(variable) AS variable,
          COALESCE(CAST(CAST(trunc(TRY_CAST(codigo AS DOUBLE)) AS BIGINT) AS VARCHAR), trim(codigo)) AS codigo,

@@ -24,6 +24,8 @@ WITH {DEATHS_RAW}, {INE_DICTIONARY}, {ICD_CATALOGUE},
 f AS (SELECT * FROM deaths_raw
       WHERE Caudef IS NOT NULL AND regexp_matches(upper({strip_sql('Caudef')}), '^[A-Z][0-9]{{2,4}}')),
 k AS (SELECT f.*, {norm_code('Depocu')} AS kd, {norm_code('Mupocu')} AS km, {norm_code('Sexo')} AS ks,
+             {norm_code('Depreg')} AS kdr, {norm_code('Mupreg')} AS kmr, {norm_code('Asist')} AS ka,
+             {norm_code('Ocur')} AS ko, {norm_code('Puedif')} AS kp,
              {age_years_sql('Edadif', 'Perdif')} AS edad_anios, upper({strip_sql('Caudef')}) AS code
       FROM f)
 SELECT k.l_orderkey, k.l_linenumber, CAST(k."Añoocu" AS INTEGER) AS anio_ocurrencia,
@@ -31,6 +33,11 @@ SELECT k.l_orderkey, k.l_linenumber, CAST(k."Añoocu" AS INTEGER) AS anio_ocurre
        {decoded('k.Depocu', 'k.kd', 'd1')} AS nombre_depto_ocurrencia,
        {decoded('k.Mupocu', 'k.km', 'd2')} AS nombre_muni_ocurrencia,
        {decoded('k.Sexo', 'k.ks', 'd3')} AS sexo,
+       {decoded('k.Depreg', 'k.kdr', 'd4')} AS nombre_depto_registro,
+       {decoded('k.Mupreg', 'k.kmr', 'd5')} AS nombre_muni_registro,
+       {decoded('k.Asist', 'k.ka', 'd6')} AS asistencia_medica,
+       {decoded('k.Ocur', 'k.ko', 'd7')} AS lugar_ocurrencia,
+       {decoded('k.Puedif', 'k.kp', 'd8')} AS pueblo_pertenencia,
        k.edad_anios, {age_group_sql('k.edad_anios')} AS grupo_etario, k.code AS codigo_cie10,
        COALESCE(icd.descripcion, 'Sin descripción en catálogo') AS descripcion_causa,
        {period_sql('k."Añoocu"', 1999, 2000)} AS periodo, 'INE_STAGE' AS fuente_origen
@@ -38,6 +45,11 @@ FROM k
 LEFT JOIN dict d1 ON d1.variable = 'Departamento de ocurrencia' AND d1.codigo = k.kd
 LEFT JOIN dict d2 ON d2.variable = 'Municipio de ocurrencia' AND d2.codigo = k.km
 LEFT JOIN dict d3 ON d3.variable = 'Sexo del difunto(a)' AND d3.codigo = k.ks
+LEFT JOIN dict d4 ON d4.variable = 'Departamento de registro' AND d4.codigo = k.kdr
+LEFT JOIN dict d5 ON d5.variable = 'Municipio de registro' AND d5.codigo = k.kmr
+LEFT JOIN dict d6 ON d6.variable = 'Asistencia recibida' AND d6.codigo = k.ka
+LEFT JOIN dict d7 ON d7.variable = 'Sitio de ocurrencia' AND d7.codigo = k.ko
+LEFT JOIN dict d8 ON d8.variable = 'Pueblo de pertenencia del difunto(a)' AND d8.codigo = k.kp
 LEFT JOIN icd ON icd.codigo = k.code"""
 
 CASES_FILTERED = f"""f AS (

@@ -14,11 +14,16 @@ from vitals import catalogues as C
 from vitals.functions import rules as R
 from vitals.operators import dedup, lookup, reshape
 
-# Dictionary variable of each decoded death-record column.
+# FIXED VALUES — dictionary variable of each decoded death-record column
 DEATH_CODES = {
+    "nombre_depto_registro": ("Depreg", "Departamento de registro"),
+    "nombre_muni_registro": ("Mupreg", "Municipio de registro"),
     "nombre_depto_ocurrencia": ("Depocu", "Departamento de ocurrencia"),
     "nombre_muni_ocurrencia": ("Mupocu", "Municipio de ocurrencia"),
     "sexo": ("Sexo", "Sexo del difunto(a)"),
+    "asistencia_medica": ("Asist", "Asistencia recibida"),
+    "lugar_ocurrencia": ("Ocur", "Sitio de ocurrencia"),
+    "pueblo_pertenencia": ("Puedif", "Pueblo de pertenencia del difunto(a)"),
 }
 
 
@@ -45,8 +50,9 @@ def stage_deaths(raw: DataFrame, dictionary: DataFrame, icd_catalogue: DataFrame
         "l_orderkey", "l_linenumber",
         F.col("Añoocu").cast("int").alias("anio_ocurrencia"),
         F.col("Mesocu").cast("int").alias("mes_ocurrencia"),
-        "nombre_depto_ocurrencia", "nombre_muni_ocurrencia", "sexo", "edad_anios",
-        "grupo_etario", "codigo_cie10", "descripcion_causa", "periodo",
+        "nombre_depto_registro", "nombre_muni_registro", "nombre_depto_ocurrencia", "nombre_muni_ocurrencia",
+        "pueblo_pertenencia", "sexo", "edad_anios", "grupo_etario", "codigo_cie10", "descripcion_causa",
+        "asistencia_medica", "lugar_ocurrencia", "periodo",
         F.lit(C.STAGE_TAG_DEATHS).alias("fuente_origen"))
 
 
