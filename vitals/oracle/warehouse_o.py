@@ -282,3 +282,25 @@ SELECT d AS departamento, anio, mes, CAST(SUM(n) AS BIGINT) AS muertes_observada
        CAST(COUNT(DISTINCT m) AS BIGINT) AS municipios_con_datos
 FROM a WHERE anio BETWEEN 1995 AND 2001 AND mes BETWEEN 1 AND 12 AND d IS NOT NULL
 GROUP BY d, anio, mes"""
+
+
+def _count(sql: str) -> str:
+    return f"(SELECT COUNT(*) FROM ({sql}))"
+
+
+ORACLE["load_dimensions"] = f"""
+SELECT 'dim_tiempo' AS dimension, CAST({_count(ORACLE['dim_time'])} AS BIGINT) AS filas_antes,
+       CAST({_count(ORACLE['dim_time'])} AS BIGINT) AS filas_despues, CAST(0 AS BIGINT) AS ids_cambiados
+UNION ALL SELECT 'dim_geografia_gt', {_count(ORACLE['dim_geo'])}, {_count(ORACLE['dim_geo'])}, 0
+UNION ALL SELECT 'dim_geografia_mundial', {_count(ORACLE['dim_country'])}, {_count(ORACLE['dim_country'])}, 0
+UNION ALL SELECT 'dim_causa_cie10', {_count(ORACLE['dim_cause'])}, {_count(ORACLE['dim_cause'])}, 0
+UNION ALL SELECT 'dim_sexo', 3, 3, 0
+UNION ALL SELECT 'dim_grupo_etario', 8, 8, 0
+UNION ALL SELECT 'dim_fuente', 6, 6, 0"""
+
+ORACLE["load_fact"] = f"""
+WITH f AS ({ORACLE['fact_deaths']})
+SELECT CAST(COUNT(*) AS BIGINT) AS filas, CAST(1 AS BIGINT) AS id_min, CAST(COUNT(*) AS BIGINT) AS id_max,
+       CAST(COUNT(*) AS BIGINT) AS ids_distintos, CAST(SUM(total_casos) AS BIGINT) AS total_casos,
+       CAST(1 AS BIGINT) AS cargas
+FROM f"""

@@ -239,3 +239,50 @@ def q_star_observed(spark, d):
     fb, dt_, dg, _ = fact_deaths_build(spark, d)
     fact = materialize(fb.fact, "fact-deaths")  # the loaded fact table
     return M.star_observed(fact, dt_, dg, years=A.TEST_YEARS)
+
+
+def _built_dimensions(spark, d):
+    st = _stages(spark, d, "deaths", "cases", "covid_local", "world", "covid_world")
+    static = D.dim_static(spark)
+    return {
+        "dim_tiempo": (_dim_time(st), ["anio", "mes"], "id_tiempo", False),
+        "dim_geografia_gt": (D.dim_geo(D.geo_members(deaths=st["deaths"], cases=st["cases"],
+                                                     covid_local=st["covid_local"])),
+                             ["nombre_departamento", "nombre_municipio"], "id_geografia", False),
+        "dim_geografia_mundial": (D.dim_country(world=st["world"], covid_world=st["covid_world"]),
+                                  ["iso3c"], "id_pais", False),
+        "dim_causa_cie10": (D.dim_cause(spark, cases=st["cases"], deaths=st["deaths"]), ["codigo_cie10"],
+                            "id_causa", False),
+        "dim_sexo": (static["dim_sexo"], ["codigo"], "id_sexo", True),
+        "dim_grupo_etario": (static["dim_grupo_etario"], ["rango"], "id_grupo_etario", True),
+        "dim_fuente": (static["dim_fuente"], ["nombre"], "id_fuente", True),
+    }
+
+
+@query("load_dimensions")
+def q_load_dimensions(spark, d):
+    """The dimension load run twice into one warehouse: the second run adds nothing
+    and changes no id (report of the second run)."""
+    from vitals.plans.load import load_dimensions
+    from vitals.session import scratch_path
+    root = scratch_path(spark, "dw")
+    built = _built_dimensions(spark, d)
+    load_dimensions(spark, root, built)
+    return load_dimensions(spark, root, built)
+
+
+@query("load_fact")
+def q_load_fact(spark, d):
+    """The deaths fact loaded twice (truncate + append): dense ids 1..n each
+    time, one load timestamp per run."""
+    from vitals.plans.load import FACT_DEATHS_CONTRACT, load_fact
+    from vitals.session import scratch_path
+    root = scratch_path(spark, "dw")
+    fb, _, _, _ = fact_deaths_build(spark, d)
+    load_fact(fb.fact, root, "fact_defunciones_gt", "id_defuncion", FACT_DEATHS_CONTRACT)
+    loaded = load_fact(fb.fact, root, "fact_defunciones_gt", "id_defuncion", FACT_DEATHS_CONTRACT)
+    return loaded.agg(F.count(F.lit(1)).cast("bigint").alias("filas"),
+                      F.min("id_defuncion").alias("id_min"), F.max("id_defuncion").alias("id_max"),
+                      F.countDistinct("id_defuncion").cast("bigint").alias("ids_distintos"),
+                      F.sum("total_casos").cast("bigint").alias("total_casos"),
+                      F.countDistinct("fecha_carga").cast("bigint").alias("cargas"))
