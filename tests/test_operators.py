@@ -95,3 +95,29 @@ def test_contract_report(spark):
     rep = {(r.columna, r.regla): r.infracciones for r in quality.contract_report(
         df, [("a", "int", False, None), ("b", "string", True, 3), ("z", "int", True, None)]).collect()}
     assert rep == {("a", "tipo"): 0, ("a", "nulos"): 1, ("b", "tipo"): 0, ("b", "longitud"): 1, ("z", "faltante"): 1}
+
+
+def test_fact_options(spark):
+    from vitals import catalogues as C
+    from vitals.plans import dims as D
+    from vitals.plans import facts as H
+    st = spark.createDataFrame(
+        [(dt.date(2021, 3, 1), 2021, 3, "Guatemala", "Mixco", 100000, 2, 2.0, "COVID"),
+         (dt.date(2021, 3, 2), 2021, 3, "Guatemala", "Mixco", 100000, 3, 3.0, "COVID")],
+        "fecha_fallecimiento date, anio int, mes int, departamento string, municipio string, poblacion long, "
+        "fallecidos long, tasa_por_100k double, periodo string")
+    dt_ = D.dim_time(D.time_members(covid_local=st))
+    dg = D.dim_geo(D.geo_members(covid_local=st))
+    dc = D.dim_cause(spark)
+    pub = H.fact_covid_local(st, dt_, dg, dc, C.source_df(spark)).fact.first()
+    mon = H.fact_covid_local(st, dt_, dg, dc, C.source_df(spark), rate="monthly").fact.first()
+    assert float(pub.tasa_por_100k) == 3.0 and float(mon.tasa_por_100k) == 5.0
+    w = spark.createDataFrame([("GTM", 2020, None, 10, 5.0, "weekly", "WORLD_MORTALITY", "COVID")],
+                              "iso3c string, anio int, mes int, semana int, deaths double, time_unit string, "
+                              "fuente string, periodo string")
+    members = spark.createDataFrame([(2020, 3), (2020, 0)], "anio int, mes int")
+    dtw = D.dim_time(members)
+    dp = D.dim_country(world=w.withColumn("country_name", F.lit("Guatemala")))
+    default = H.fact_mortality_world(w, dtw, dp).fact.join(dtw, "id_tiempo").first()
+    mapped = H.fact_mortality_world(w, dtw, dp, weeks_to_month=True).fact.join(dtw, "id_tiempo").first()
+    assert default.mes == 0 and mapped.mes == 3

@@ -101,3 +101,11 @@ def test_excess(spark):
 @pytest.mark.parametrize("s", ["a-b", "x1y", "ÁNGEL ñandú", "o'neil  mc-donald", "\tnation_12 "])
 def test_title_matches_python(spark, s):
     assert one(spark, lambda d: R.title_case(d.t), "t string", [(s,)]) == [s.strip().title()]
+
+
+def test_iso_week_month(spark):
+    import datetime as dt
+    rows = [(y, w) for y in (2015, 2020, 2021) for w in (1, 9, 27, 53 if y in (2015, 2020) else 52)]
+    got = one(spark, lambda d: R.iso_week_month(d.y, d.w), "y int, w int", rows)
+    want = [(dt.date.fromisocalendar(y, w, 4)).month for y, w in rows]
+    assert got == want

@@ -199,6 +199,14 @@ def split_time_unit(time, unit) -> tuple[Column, Column]:
             F.when(u == "weekly", t).otherwise(F.lit(None).cast("int")))
 
 
+def iso_week_month(year, week) -> Column:
+    """Month of the Thursday of ISO week ``week`` of ``year`` (the month the week belongs to)."""
+    jan4 = F.make_date(_c(year), F.lit(1), F.lit(4))
+    iso_dow = (F.dayofweek(jan4) + 5) % 7 + 1  # Monday = 1 … Sunday = 7
+    thursday = F.date_add(jan4, ((_c(week) - 1) * 7 + 4 - iso_dow).cast("int"))
+    return F.month(thursday)
+
+
 def who_region_name(code) -> Column:
     """WHO region code → readable name, miss → "Otro"."""
     return F.coalesce(F.element_at(literal_map(C.WHO_REGIONS), _c(code)), F.lit(C.WHO_REGION_MISS))

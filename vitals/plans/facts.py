@@ -107,10 +107,16 @@ def fact_cases(stage: DataFrame, dim_time: DataFrame, dim_geo: DataFrame, dim_ca
 
 
 def fact_covid_local(stage: DataFrame, dim_time: DataFrame, dim_geo: DataFrame, dim_cause: DataFrame,
-                     dim_source: DataFrame) -> FactBuild:
-    """H3: monthly local COVID deaths; the rate is the MAX of the daily rates (kept as published)."""
+                     dim_source: DataFrame, rate: str = "max_daily") -> FactBuild:
+    """H3: monthly local COVID deaths. ``rate="max_daily"`` keeps the published measure
+    (MAX of the daily rates); ``rate="monthly"`` gives deaths of the month per 100k of
+    the place's population."""
     agg = (stage.groupBy("anio", "mes", "departamento", "municipio", "periodo")
-           .agg(F.sum("fallecidos").alias("fallecidos"), F.max("tasa_por_100k").alias("tasa_por_100k")))
+           .agg(F.sum("fallecidos").alias("fallecidos"), F.max("tasa_por_100k").alias("tasa_por_100k"),
+                F.max("poblacion").alias("_pob")))
+    if rate == "monthly":
+        agg = agg.withColumn("tasa_por_100k", R.rate_per_100k(F.col("fallecidos"), F.col("_pob")))
+    agg = agg.drop("_pob")
     df = _geo_keys(agg).withColumn("mes", F.coalesce(F.col("mes"), F.lit(0)))
     df = _time_fk(df, dim_time)
     df = _geo_fk(df, dim_geo)
@@ -126,8 +132,14 @@ def fact_covid_local(stage: DataFrame, dim_time: DataFrame, dim_geo: DataFrame,
 SOURCE_IDS = [("WORLD_MORTALITY", 4), ("CENTROAMERICA_RDS", 5)]
 
 
-def fact_mortality_world(stage: DataFrame, dim_time: DataFrame, dim_country: DataFrame) -> FactBuild:
-    """H4: deaths per country × year × month/week; weekly rows land on the annual member."""
+def fact_mortality_world(stage: DataFrame, dim_time: DataFrame, dim_country: DataFrame,
+                         weeks_to_month: bool = False) -> FactBuild:
+    """H4: deaths per country × year × month/week. Weekly rows carry no month, so by
+    default they land on the annual member (month 0) as published; with
+    ``weeks_to_month`` they land on the month of their ISO week."""
+    if weeks_to_month:
+        stage = stage.withColumn("mes", F.coalesce(
+            F.col("mes"), F.when(F.col("semana").isNotNull(), R.iso_week_month(F.col("anio"), F.col("semana")))))
     agg = (stage.groupBy("iso3c", "anio", "mes", "semana", "time_unit", "fuente", "periodo")
            .agg(F.sum("deaths").alias("deaths")))
     df = (agg.withColumn("mes", F.coalesce(F.col("mes"), F.lit(0)))

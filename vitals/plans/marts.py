@@ -14,10 +14,14 @@ from vitals.functions import rules as R
 
 
 def monthly_observed(counts: DataFrame, entity: str = "departamento", member: str = "municipio",
-                     years: tuple[int, int] = (2018, 2024), measure: str = "total_casos") -> DataFrame:
-    """Observed deaths per entity-month and members with data."""
+                     years: tuple[int, int] = (2018, 2024), measure: str = "total_casos",
+                     months: tuple[int, int] = (1, 12)) -> DataFrame:
+    """Observed deaths per entity-month and members with data.
+
+    ``months=(0, 12)`` reproduces the world notebook, which also sums the annual
+    member (month 0) into the series; the default keeps calendar months only."""
     return (counts
-            .where(F.col("anio").between(*years) & F.col("mes").between(1, 12)
+            .where(F.col("anio").between(*years) & F.col("mes").between(*months)
                    & F.col(measure).isNotNull() & F.col(entity).isNotNull())
             .groupBy(entity, "anio", "mes")
             .agg(F.sum(measure).cast("bigint").alias("muertes_observadas"),
