@@ -98,7 +98,9 @@ class Registry:
     def land(self, spark: SparkSession, name: str) -> DataFrame:
         if name not in self.sources:
             raise ValueError(f"unknown source '{name}'; allowed: {sorted(self.sources)}")
-        return self.sources[name].build(spark).withColumn("fuente_origen", F.lit(name))
+        df = self.sources[name].build(spark)
+        # provenance (P6): sources that already name a per-row origin keep it
+        return df if "fuente_origen" in df.columns else df.withColumn("fuente_origen", F.lit(name))
 
     def run(self, spark: SparkSession, root: str, names: list[str] | None = None,
             layer: str = "sandbox") -> DataFrame:
