@@ -9,9 +9,11 @@ case counts and country series. These views derive them with arithmetic only
               municipio = n_name, sexo = l_returnflag, edad = l_quantity,
               unidad = (l_linenumber-1)%4+1, causa = letter(partkey) || 2 digits(suppkey)
 
-Join order is chosen for scale: nation ⋈ region is a fixed 25-row catalogue
-(broadcast), customer is attached to orders first (orders is ~1/4 of
-lineitem), and lineitem meets the result on the order key.
+Join order is chosen for scale: customer is attached to orders first (orders
+is ~1/4 of lineitem) and lineitem meets the result on the order key; only
+integer keys travel through these two shuffles. Names come from nation ⋈
+region (25 rows, size-checked broadcast) after the big joins or after the
+aggregation.
 """
 
 from __future__ import annotations
@@ -63,18 +65,26 @@ def geo_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("n_name").alias("municipio")))
 
 
-def order_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """orders with their place (customer → nation → region) and month."""
+def order_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders with their month and the customer's nation key (orders ⋈ customer).
+
+    Only integer keys travel through this shuffle join; place names are
+    attached later by ``with_geo`` (a broadcast join after the big joins or
+    after aggregation), so shuffled rows stay narrow.
+    """
     orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customer = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    geo = checked(f"{sf_dir}#geo", geo_catalogue(spark, sf_dir))
-    cust_geo = customer.join(geo, customer.c_nationkey == geo.nationkey).select(
-        "c_custkey", "nationkey", "regionkey", "departamento", "municipio")
-    return (orders.join(cust_geo, orders.o_custkey == cust_geo.c_custkey)
+    return (orders.join(customer, orders.o_custkey == customer.c_custkey)
             .select("o_orderkey",
                     F.year("o_orderdate").cast("int").alias("anio"),
                     F.month("o_orderdate").cast("int").alias("mes"),
-                    "nationkey", "regionkey", "departamento", "municipio"))
+                    F.col("c_nationkey").alias("nationkey")))
+
+
+def with_geo(spark: SparkSession, sf_dir: str, df: DataFrame) -> DataFrame:
+    """Attach regionkey, departamento, municipio by nation key (size-checked broadcast, inner)."""
+    geo = checked(f"{sf_dir}#geo", geo_catalogue(spark, sf_dir))
+    return df.join(geo, "nationkey")
 
 
 def cause_code(partkey, suppkey):
@@ -86,8 +96,8 @@ def deaths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per death record (row grain of the deaths microdata)."""
     li = read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag")
-    og = order_geo(spark, sf_dir).drop("nationkey", "regionkey")
-    return (li.join(og, li.l_orderkey == og.o_orderkey)
+    on = order_nation(spark, sf_dir)
+    return (with_geo(spark, sf_dir, li.join(on, li.l_orderkey == on.o_orderkey))
             .select("l_orderkey", "l_linenumber", "anio", "mes", "departamento", "municipio",
                     F.col("l_returnflag").alias("sexo"),
                     F.col("l_quantity").alias("edad"),
@@ -105,8 +115,11 @@ def monthly_death_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     per_order = (read(spark, sf_dir, "lineitem")
                  .groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n")))
-    og = order_geo(spark, sf_dir).drop("nationkey", "regionkey")
-    return (per_order.join(og, per_order.l_orderkey == og.o_orderkey)
+    on = order_nation(spark, sf_dir)
+    by_nation = (per_order.join(on, per_order.l_orderkey == on.o_orderkey)
+                 .groupBy("nationkey", "anio", "mes").agg(F.sum("n").alias("n")))
+    # names attached to the aggregated rows (nation × month), then rolled up by name
+    return (with_geo(spark, sf_dir, by_nation)
             .groupBy("departamento", "municipio", "anio", "mes")
             .agg(F.sum("n").cast("bigint").alias("total_casos")))
 
@@ -270,10 +283,10 @@ def deaths_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """sandbox_ine: coded death records (codes decoded by the dictionary in stage)."""
     li = read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus")
-    og = order_geo(spark, sf_dir)
+    on = order_nation(spark, sf_dir)
     ln = F.col("l_linenumber")
     causa = cause_code("l_partkey", "l_suppkey")
-    return (li.join(og, li.l_orderkey == og.o_orderkey)
+    return (with_geo(spark, sf_dir, li.join(on, li.l_orderkey == on.o_orderkey))
             .select("l_orderkey", "l_linenumber",
                     ((F.col("regionkey") + 1) % 5).cast("string").alias("Depreg"),
                     ((F.col("nationkey") + 3) % 25).cast("string").alias("Mupreg"),
