@@ -8,7 +8,6 @@ order. Everything else in the library derives from these through Spark.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES — selected countries: ISO2, ISO3, name, region (stage labels)
@@ -235,18 +234,6 @@ def countries_df(spark: SparkSession) -> DataFrame:
     return frame(spark, SELECTED_COUNTRIES, "iso2 string, iso3 string, country string, region string")
 
 
-def who_regions_df(spark: SparkSession) -> DataFrame:
-    return frame(spark, WHO_REGIONS, "who_region string, who_region_desc string")
-
-
-def dim_region_df(spark: SparkSession) -> DataFrame:
-    return frame(spark, DIM_REGION_BY_ISO3, "iso3 string, region string")
-
-
-def letter_map_df(spark: SparkSession, rows, value_col: str) -> DataFrame:
-    return frame(spark, rows, f"letter string, {value_col} string")
-
-
 def age_group_df(spark: SparkSession) -> DataFrame:
     return frame(spark, DIM_AGE_GROUP, "id_grupo_etario int, rango string, edad_min int, edad_max int")
 
@@ -259,5 +246,3 @@ def source_df(spark: SparkSession) -> DataFrame:
     return frame(spark, DIM_SOURCE,
                  "id_fuente int, nombre string, tipo string, pais_cobertura string, cobertura_temporal string")
 
-
-SCHEMA_TYPES = T  # re-export for callers building contracts

@@ -1,4 +1,4 @@
-"""Data-quality reports.
+"""Data-quality reports.
 
 Each report is one aggregate over the table (``count_if`` per rule), so a
 table is read once however many rules are checked.
@@ -70,15 +70,6 @@ def fk_violations(fact: DataFrame, dim: DataFrame, fk: str, pk: str) -> DataFram
     return fact.join(dim.select(F.col(pk).alias(fk)), fk, "left_anti")
 
 
-def sorted_distinct(df: DataFrame, col: str) -> DataFrame:
-    """Sorted distinct values as one array.
-
-    The distinct runs distributed; only the de-duplicated set is gathered,
-    so use it for bounded domains (years, codes), not for ids.
-    """
-    return df.select(col).where(F.col(col).isNotNull()).distinct().agg(
-        F.sort_array(F.collect_list(col)).alias(f"{col}_valores"))
-
 
 def contract_report(df: DataFrame, contract: list[tuple[str, str, bool, int | None]]) -> DataFrame:
     """K6: check a frame against (column, type, nullable, max length) rules.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vitals.oracle.common import COUNTS, GEO, LABELLED, LABELLED_NATION, OBSERVED  # noqa: F401
+from vitals.oracle.common import GEO, LABELLED, LABELLED_NATION, OBSERVED
 
 ORACLE: dict[str, str] = {}
 

@@ -8,7 +8,6 @@ all thresholds at once (no join, no per-threshold pass).
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -181,7 +180,3 @@ def classification_report(scored: DataFrame, label: str, score: str, threshold:
 
 def save(fm: FittedModel, path: str) -> None:
     fm.pipeline.write().overwrite().save(path)
-
-
-def ceil_share(n: int, fraction: float) -> int:
-    return math.ceil(n * fraction)

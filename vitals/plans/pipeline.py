@@ -138,7 +138,9 @@ def run(spark: SparkSession, sf_dir: str, root: str, steps=STEPS, covid_start: i
     """Run the selected steps in order; returns each step's report."""
     out = {}
     if "sandbox" in steps:
-        out["sandbox"] = [r.asDict() for r in run_sandbox(spark, sf_dir, root).collect()]
+        report = run_sandbox(spark, sf_dir, root)
+        out["sandbox"] = [r.asDict() for r in report.collect()]
+        out["sandbox_summary"] = layers.run_summary(report).first().asDict()
     if "stage" in steps:
         out["stage"] = run_stage(spark, root, covid_start, covid_end, years)
     if "dw" in steps:

@@ -8,7 +8,6 @@ from vitals import adapter as A
 from vitals import catalogues as C
 from vitals.functions import rules as R
 from vitals.operators import dedup, lookup, reshape
-from vitals.plans import marts as M
 from vitals.plans import stage as S
 from vitals.queries import query
 
@@ -304,5 +303,3 @@ def q_add_provenance(spark, d):
     return c.select("*", F.lit("TPCH_CUSTOMER").alias("fuente_origen"),
                     F.col("_metadata.file_name").alias("archivo_origen"))
 
-
-_ = M  # marts helpers are used by other query modules
