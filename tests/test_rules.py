@@ -109,3 +109,10 @@ def test_iso_week_month(spark):
     got = one(spark, lambda d: R.iso_week_month(d.y, d.w), "y int, w int", rows)
     want = [(dt.date.fromisocalendar(y, w, 4)).month for y, w in rows]
     assert got == want
+
+
+def test_cluster_conf():
+    from vitals.session import cluster_conf
+    conf = cluster_conf(100 * (1 << 40), 8000)  # 100 TB on 8000 cores
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert int(cluster_conf(1 << 30, 8)["spark.sql.shuffle.partitions"]) == 24

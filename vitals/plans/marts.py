@@ -15,17 +15,20 @@ from vitals.functions import rules as R
 
 def monthly_observed(counts: DataFrame, entity: str = "departamento", member: str = "municipio",
                      years: tuple[int, int] = (2018, 2024), measure: str = "total_casos",
-                     months: tuple[int, int] = (1, 12)) -> DataFrame:
+                     months: tuple[int, int] = (1, 12), approximate: bool = False) -> DataFrame:
     """Observed deaths per entity-month and members with data.
 
     ``months=(0, 12)`` reproduces the world notebook, which also sums the annual
-    member (month 0) into the series; the default keeps calendar months only."""
+    member (month 0) into the series; the default keeps calendar months only.
+    ``approximate`` counts members with HyperLogLog++ (fixed-size sketches,
+    no distinct-expansion shuffle) instead of the exact distinct count."""
+    members = (F.approx_count_distinct(member) if approximate else F.countDistinct(member))
     return (counts
             .where(F.col("anio").between(*years) & F.col("mes").between(*months)
                    & F.col(measure).isNotNull() & F.col(entity).isNotNull())
             .groupBy(entity, "anio", "mes")
             .agg(F.sum(measure).cast("bigint").alias("muertes_observadas"),
-                 F.countDistinct(member).cast("bigint").alias("municipios_con_datos")))
+                 members.cast("bigint").alias("municipios_con_datos")))
 
 
 def star_observed(fact: DataFrame, dim_time: DataFrame, dim_geo: DataFrame,

@@ -24,9 +24,23 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files of ids / splits are removed once no plan references them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Sizing for a cluster run: enough shuffle partitions that the biggest
+    shuffle (about the input size here: the adapter's joins shuffle narrow key
+    columns of the fact tables) gives ~target_partition_bytes per task, at least
+    3 waves of the cluster's cores; AQE coalesces the small stages back down."""
+    parts = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {"spark.sql.shuffle.partitions": str(parts),
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+            "spark.sql.files.maxPartitionBytes": str(256 << 20),
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20)}
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "vitals", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
