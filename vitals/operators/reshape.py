@@ -47,3 +47,48 @@ def weekly_to_monthly(weekly: DataFrame, keys: list[str], date_col: str, flows:
              for c in stocks]
     aggs.append(F.count(date_col).cast("bigint").alias(reports))
     return g.groupBy(*keys, "anio", "mes").agg(*aggs)
+
+
+# one CSV field after a line start or a comma: quoted (with "" escapes) or bare;
+# matched left to right, so tokenising a line is linear in its length
+CSV_FIELD = r'(?:^|,)("(?:[^"]|"")*"|[^,]*)'
+
+
+def wide_csv_to_long(spark, path: str, n_ids: int, id_names: list[str] | None = None,
+                     value_name: str = "n", date_name: str = "fecha"):
+    """S3/P14/P15 for very wide files (one column per date, ~1,000+ columns).
+
+    ``unpivot`` plans one projection per column, so planning and code
+    generation grow with the width. Here every line is split once (quote-aware),
+    its cells are ``posexplode``-d, and positions are mapped to dates through a
+    broadcast table built from the header line: the plan has the same size for
+    10 or 10,000 columns. Only the header line reaches the driver (files with
+    different layouts are read separately). Zero, empty
+    and non-numeric cells are dropped; lines equal to the header (one per part
+    file) are skipped.
+    """
+    from pyspark.sql import functions as F
+    lines = spark.read.text(path)
+    # the header is the line whose last cell names a date column (any part file may hold it)
+    last = F.trim(F.element_at(F.regexp_extract_all(F.col("value"), F.lit(CSV_FIELD), 1), -1))
+    headers = (lines.where(F.regexp_replace(last, '"', "").rlike(DATE_COLUMN.pattern))
+               .select("value").distinct().limit(2).collect())
+    if len(headers) != 1:
+        raise ValueError(f"expected one header layout in {path}, found {len(headers)}")
+    header = headers[0][0]
+    import csv
+    names = [n.strip().lstrip("\ufeff") for n in next(csv.reader([header]))]
+    dates = [(i, n) for i, n in enumerate(names) if i >= n_ids and DATE_COLUMN.match(n)]
+    date_map = spark.createDataFrame(dates, "pos int, col string").select(
+        "pos", F.coalesce(F.try_to_date(F.col("col"), "yyyy-MM-dd"),
+                          F.try_to_date(F.concat(F.col("col"), F.lit("-01")), "yyyy-MM-dd")).alias(date_name))
+    ids = id_names or names[:n_ids]
+    cells = F.regexp_extract_all(F.col("value"), F.lit(CSV_FIELD), 1)
+    rows = (lines.where(F.col("value") != F.lit(header))
+            .select(*[F.regexp_replace(F.trim(cells[i]), '^"|"$', "").alias(ids[i]) for i in range(n_ids)],
+                    F.posexplode(cells).alias("pos", "_cell")))
+    n = F.trim(F.col("_cell")).try_cast("double").try_cast("bigint")
+    return (rows.where(F.col("pos") >= n_ids)
+            .join(F.broadcast(date_map), "pos")  # one row per date column, fixed by the header
+            .select(*ids, date_name, n.alias(value_name))
+            .where(F.col(value_name).isNotNull() & (F.col(value_name) > 0) & F.col(date_name).isNotNull()))

@@ -81,3 +81,8 @@ SELECT CAST(o_custkey AS VARCHAR) AS iso3c, CAST(o_custkey AS VARCHAR) AS countr
        CASE WHEN o_orderkey % 13 = 0 THEN 0 ELSE CAST(trunc(o_totalprice) AS BIGINT) END AS deaths,
        'partes' AS archivo_origen, 'OMS_PARQUET' AS fuente_origen
 FROM orders"""
+
+ORACLE["wide_csv_to_long"] = """
+SELECT o_custkey, CAST(o_orderdate AS DATE) AS fecha, CAST(COUNT(*) AS BIGINT) AS n
+FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1995-01-01' AND DATE '2001-08-31'
+GROUP BY 1, 2"""

@@ -281,3 +281,28 @@ def q_land_parquet_parts(spark, d):
     return (aligned.withColumn("year", R.to_long_or_zero(F.col("year")))
             .withColumn("deaths", R.to_long_or_zero(F.col("deaths")))
             .withColumn("fuente_origen", F.lit("OMS_PARQUET")))
+
+
+@query("wide_csv_to_long")
+def q_wide_csv_to_long(spark, d):
+    """L3: a wide daily file (one column per calendar day, ~2,400 columns) from orders
+    per customer, landed back to one row per customer × day with deaths > 0."""
+    import datetime as _dt
+    from vitals.operators.reshape import wide_csv_to_long
+    first, last = _dt.date(1995, 1, 1), _dt.date(2001, 8, 31)
+    days = [(first + _dt.timedelta(k)).isoformat() for k in range((last - first).days + 1)]
+    o = A.read(spark, d, "orders").select("o_custkey", F.to_date("o_orderdate").alias("dia"))
+    per_day = o.groupBy("o_custkey", "dia").agg(F.count(F.lit(1)).alias("n"))
+    # one line per customer: its days (≤ one per calendar day) as a map, laid out on the calendar
+    by_cust = per_day.groupBy("o_custkey").agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col("dia").cast("string"), F.col("n")))).alias("m"))
+    cal = F.sequence(F.lit(first), F.lit(last))  # one element per calendar day
+    cell = lambda x: F.coalesce(F.col("m")[x.cast("string")], F.lit(0)).cast("string")
+    line = F.concat_ws(",", F.col("o_custkey").cast("string"), F.lit('"cliente, grupo"'),
+                       F.array_join(F.transform(cal, cell), ","))
+    folder = scratch_path(spark, "wide")
+    header = ",".join(["codigo", "nombre", *days])
+    head = spark.range(1).select(F.lit(header).alias("value"))
+    head.unionByName(by_cust.select(line.alias("value"))).write.text(folder)
+    return wide_csv_to_long(spark, folder, 2, ["codigo", "nombre"]).select(
+        F.col("codigo").cast("bigint").alias("o_custkey"), "fecha", "n")
