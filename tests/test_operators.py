@@ -121,3 +121,35 @@ def test_fact_options(spark):
     default = H.fact_mortality_world(w, dtw, dp).fact.join(dtw, "id_tiempo").first()
     mapped = H.fact_mortality_world(w, dtw, dp, weeks_to_month=True).fact.join(dtw, "id_tiempo").first()
     assert default.mes == 0 and mapped.mes == 3
+
+
+def _write_wide(spark, n_dates):
+    import datetime as _dt
+    days = [(_dt.date(2020, 1, 1) + _dt.timedelta(k)).isoformat() for k in range(n_dates)]
+    header = ",".join(["codigo", "municipio", *days])
+    vals = ["2" if k % 3 == 0 else ("" if k % 3 == 1 else "0") for k in range(n_dates)]
+    lines = [header, "1,\"San Juan, Sac.\"," + ",".join(vals), "2,Mixco," + ",".join(vals)]
+    path = scratch_path(spark, "t-wide")
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    return path, days
+
+
+def test_wide_csv_to_long(spark):
+    path, days = _write_wide(spark, 10)
+    out = reshape.wide_csv_to_long(spark, path, 2).orderBy("codigo", "fecha").collect()
+    assert [(r.codigo, r.municipio, str(r.fecha), r.n) for r in out][:2] == [
+        ("1", "San Juan, Sac.", days[0], 2), ("1", "San Juan, Sac.", days[3], 2)]
+    assert len(out) == 2 * 4  # cells 0, 3, 6, 9 of each line
+
+
+def test_wide_csv_plan_does_not_grow(spark):
+    import io
+    from contextlib import redirect_stdout
+    sizes = []
+    for n in (10, 1000):
+        path, _ = _write_wide(spark, n)
+        buf = io.StringIO()
+        with redirect_stdout(buf):
+            reshape.wide_csv_to_long(spark, path, 2).explain()
+        sizes.append(len(buf.getvalue()))
+    assert sizes[1] < sizes[0] * 1.5
