@@ -64,28 +64,27 @@ def wide_csv_to_long(spark, path: str, n_ids: int, id_names: list[str] | None =
     broadcast table built from the header line: the plan has the same size for
     10 or 10,000 columns. Only the header line reaches the driver (files with
     different layouts are read separately). Zero, empty
-    and non-numeric cells are dropped; lines equal to the header (one per part
-    file) are skipped.
+    and non-numeric cells are dropped; header lines (any number of part files
+    may carry one) are skipped.
     """
     from pyspark.sql import functions as F
-    lines = spark.read.text(path)
-    # the header is the line whose last cell names a date column (any part file may hold it)
-    last = F.trim(F.element_at(F.regexp_extract_all(F.col("value"), F.lit(CSV_FIELD), 1), -1))
-    headers = (lines.where(F.regexp_replace(last, '"', "").rlike(DATE_COLUMN.pattern))
-               .select("value").distinct().limit(2).collect())
+    # each line tokenised once; a header line (one per part file, or one per file)
+    # is recognised by its last cell naming a date column
+    tok = spark.read.text(path).select(F.regexp_extract_all(F.col("value"), F.lit(CSV_FIELD), 1).alias("cells"))
+    is_header = F.regexp_replace(F.trim(F.element_at(F.col("cells"), -1)), '"', "").rlike(DATE_COLUMN.pattern)
+    headers = tok.where(is_header).select("cells").distinct().limit(2).collect()
     if len(headers) != 1:
         raise ValueError(f"expected one header layout in {path}, found {len(headers)}")
-    header = headers[0][0]
-    import csv
-    names = [n.strip().lstrip("\ufeff") for n in next(csv.reader([header]))]
+    names = [c.strip().strip('"').lstrip("\ufeff") for c in headers[0][0]]
     dates = [(i, n) for i, n in enumerate(names) if i >= n_ids and DATE_COLUMN.match(n)]
     date_map = spark.createDataFrame(dates, "pos int, col string").select(
         "pos", F.coalesce(F.try_to_date(F.col("col"), "yyyy-MM-dd"),
                           F.try_to_date(F.concat(F.col("col"), F.lit("-01")), "yyyy-MM-dd")).alias(date_name))
     ids = id_names or names[:n_ids]
-    cells = F.regexp_extract_all(F.col("value"), F.lit(CSV_FIELD), 1)
-    rows = (lines.where(F.col("value") != F.lit(header))
-            .select(*[F.regexp_replace(F.trim(cells[i]), '^"|"$', "").alias(ids[i]) for i in range(n_ids)],
+    cells = F.col("cells")
+    rows = (tok.where(~is_header)
+            .select(*[F.replace(F.regexp_replace(F.trim(cells[i]), '^"|"$', ""), F.lit('""'), F.lit('"'))
+                      .alias(ids[i]) for i in range(n_ids)],
                     F.posexplode(cells).alias("pos", "_cell")))
     n = F.trim(F.col("_cell")).try_cast("double").try_cast("bigint")
     return (rows.where(F.col("pos") >= n_ids)
