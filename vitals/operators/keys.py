@@ -3,17 +3,18 @@
 Rows are range-partitioned and sorted on the natural key, the lineage is cut
 by a reliable checkpoint (so partition contents are stable and survive
 executor loss), and each row's id is its partition's offset plus its position
-inside the partition. Only one count per partition reaches the offsets step.
+inside the partition. Only one count per partition reaches the driver.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitals.session import cut_lineage
 
 _LOW = (1 << 33) - 1  # monotonically_increasing_id: partition << 33 | row index
+ROWS_ATTR = "_vitals_rows"  # exact row count attached to frames built here
 
 
 def _with_positions(df: DataFrame) -> DataFrame:
@@ -24,25 +25,32 @@ def _with_positions(df: DataFrame) -> DataFrame:
             .drop("_mid"))
 
 
-def _offsets(positioned: DataFrame) -> DataFrame:
-    sizes = positioned.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per partition: the window runs over (number of partitions) rows
-    return sizes.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-
-
 def sequential_ids(df: DataFrame, id_col: str, order: list[str] | None = None,
-                   start: int = 1) -> DataFrame:
-    """Dense ids start, start+1, … in ``order`` (any stable order when None)."""
+                   start: int = 1, id_type: str = "bigint") -> DataFrame:
+    """Dense ids start, start+1, … in ``order`` (any stable order when None).
+
+    As ``RDD.zipWithIndex`` does, one job counts the rows of each partition of
+    the checkpointed frame and the offsets are computed from those counts (one
+    number per partition); they join back as a broadcast local table. The
+    returned frame knows its exact row count (``ROWS_ATTR``), which serves as
+    its size proof for later broadcast joins.
+    """
     staged = df
     if order:
         staged = df.repartitionByRange(*order).sortWithinPartitions(*order)
     staged = cut_lineage(staged)
     positioned = _with_positions(staged)
-    offs = F.broadcast(_offsets(positioned))  # ≤ number of partitions rows
-    out = positioned.join(offs, "_pid").withColumn(
-        id_col, (F.col("_off") + F.col("_pos") + F.lit(start)).cast("bigint"))
-    return out.select(id_col, *df.columns)
+    sizes = sorted((r["_pid"], r["_n"]) for r in
+                   positioned.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).collect())
+    offsets, total = [], 0
+    for pid, n in sizes:
+        offsets.append((pid, total))
+        total += n
+    offs = df.sparkSession.createDataFrame(offsets, "_pid long, _off long")
+    out = positioned.join(F.broadcast(offs), "_pid").select(
+        (F.col("_off") + F.col("_pos") + F.lit(start)).cast(id_type).alias(id_col), *df.columns)
+    setattr(out, ROWS_ATTR, total)
+    return out
 
 
 def max_id(df: DataFrame, id_col: str) -> int:

@@ -20,7 +20,11 @@ BROADCAST_MAX_ROWS = 2_000_000
 def bounded(side: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, proof: DataFrame | None = None) -> DataFrame:
     """Broadcast hint only when the side — or ``proof``, a frame it is a filter or
     projection of — is proven to hold ≤ max_rows rows."""
-    n = (proof if proof is not None else side).limit(max_rows + 1).count()
+    from vitals.operators.keys import ROWS_ATTR
+    p = proof if proof is not None else side
+    n = getattr(p, ROWS_ATTR, None)  # exact count known from building the frame
+    if n is None:
+        n = p.limit(max_rows + 1).count()
     return F.broadcast(side) if n <= max_rows else side
 
 
@@ -84,5 +88,5 @@ def foreign_key(df: DataFrame, dim: DataFrame, on: list[tuple[Column | str, str]
     for i, (fe, _) in enumerate(on):
         c = (F.col(fe) if isinstance(fe, str) else fe) == F.col(f"_fk_{i}")
         cond = c if cond is None else cond & c
-    out = df.join(bounded(d, max_rows), cond, "left")
+    out = df.join(bounded(d, max_rows, proof=dim), cond, "left")
     return out.drop(*[f"_fk_{i}" for i in range(len(on))])

@@ -51,7 +51,7 @@ def dim_time(members: DataFrame, covid_start: int = 2020, covid_end: int = 2021)
     """id_tiempo, anio, mes, trimestre, periodo."""
     d = members.select("anio", "mes", R.quarter_of(F.col("mes")).alias("trimestre"),
                        R.classify_period(F.col("anio"), covid_start, covid_end).alias("periodo"))
-    return sequential_ids(d, "id_tiempo", ["anio", "mes"]).withColumn("id_tiempo", F.col("id_tiempo").cast("int"))
+    return sequential_ids(d, "id_tiempo", ["anio", "mes"], id_type="int")
 
 
 def geo_members(deaths=None, cases=None, covid_local=None) -> DataFrame:
@@ -76,8 +76,7 @@ def dim_geo(members: DataFrame, valid_from: dt.date = dt.date.fromisoformat(C.GE
         F.lit(valid_from).cast("date").alias("fecha_inicio_vigencia"),
         F.lit(None).cast("date").alias("fecha_fin_vigencia"),
         F.lit(True).alias("es_version_actual"), F.lit(1).alias("version"))
-    return (sequential_ids(d, "id_geografia", ["nombre_departamento", "nombre_municipio"])
-            .withColumn("id_geografia", F.col("id_geografia").cast("int")))
+    return sequential_ids(d, "id_geografia", ["nombre_departamento", "nombre_municipio"], id_type="int")
 
 
 def dim_country(world=None, covid_world=None) -> DataFrame:
@@ -98,7 +97,7 @@ def dim_country(world=None, covid_world=None) -> DataFrame:
     one = dedup.union_with_priority(frames, ["iso3c"], tie=["nombre_pais", "iso2"])
     region = F.coalesce(F.element_at(R.literal_map(C.DIM_REGION_BY_ISO3), F.col("iso3c")), F.lit("Otro"))
     d = one.select("nombre_pais", "iso3c", "iso2", region.alias("region"))
-    return sequential_ids(d, "id_pais", ["iso3c"]).withColumn("id_pais", F.col("id_pais").cast("int"))
+    return sequential_ids(d, "id_pais", ["iso3c"], id_type="int")
 
 
 def dim_cause(spark: SparkSession, cases=None, deaths=None) -> DataFrame:
@@ -118,7 +117,7 @@ def dim_cause(spark: SparkSession, cases=None, deaths=None) -> DataFrame:
     d = one.select("codigo_cie10", "descripcion",
                    R.icd_chapter_dim(F.col("codigo_cie10")).alias("capitulo_cie10"),
                    R.icd_category(F.col("codigo_cie10")).alias("categoria"))
-    return sequential_ids(d, "id_causa", ["codigo_cie10"]).withColumn("id_causa", F.col("id_causa").cast("int"))
+    return sequential_ids(d, "id_causa", ["codigo_cie10"], id_type="int")
 
 
 def dim_static(spark: SparkSession) -> dict[str, DataFrame]:

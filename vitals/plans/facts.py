@@ -193,5 +193,5 @@ def denormalise(fact: DataFrame, dims: dict[str, tuple[DataFrame, str, list[str]
     """Fact ids → natural keys (inner joins on bounded dimensions)."""
     out = fact
     for _, (dim, id_col, natural) in dims.items():
-        out = out.join(lookup.bounded(dim.select(id_col, *natural)), id_col).drop(id_col)
+        out = out.join(lookup.bounded(dim.select(id_col, *natural), proof=dim), id_col).drop(id_col)
     return out
