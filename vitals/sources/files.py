@@ -100,8 +100,10 @@ def read_sheet(spark: SparkSession, paths, names: list[str], skip: int = 2,
     raw = spark.read.option("header", False).csv(paths)
     raw = raw.toDF(*names[:len(raw.columns)])
     pos = (raw.withColumn("_file", F.col("_metadata.file_path"))
+           .withColumn("_block", F.col("_metadata.file_block_start"))
            .withColumn("_row", F.monotonically_increasing_id()))
-    w = Window.partitionBy("_file").orderBy("_row")
+    # file order = split start, then position inside the split (a split is read in order)
+    w = Window.partitionBy("_file").orderBy("_block", "_row")
     ranked = pos.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") > skip)
     ranked = ranked.dropna(how="all", subset=names)
     for c in fill_down or []:
