@@ -67,22 +67,27 @@ def shared_root(spark: SparkSession) -> str:
     Read from ``spark.checkpoint.dir``; a private folder is made only when the
     setting is unset and the master is local (a cluster must name its own).
     """
-    sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a Spark Connect session has no SparkContext
+        sc = None
+    root = sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None
     if not root:
         try:
             root = spark.conf.get("spark.checkpoint.dir")
-        except Exception:
+        except Exception:  # noqa: BLE001 - unset
             root = None
     if not root:
-        if not (sc.master or "").startswith("local"):
+        master = (sc.master if sc is not None else spark.conf.get("spark.master", "")) or ""
+        if not master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        root = _LOCAL_ROOTS.get(id(sc))
+        key = id(sc) if sc is not None else id(spark)
+        root = _LOCAL_ROOTS.get(key)
         if root is None:
             root = tempfile.mkdtemp(prefix="vitals-shared-")
-            _LOCAL_ROOTS[id(sc)] = root
+            _LOCAL_ROOTS[key] = root
     root = root.rstrip("/")
-    if sc.getCheckpointDir() is None:
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root + "/checkpoints")
     return root
 
