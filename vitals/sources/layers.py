@@ -1,9 +1,12 @@
 """Warehouse layers as Parquet table folders.
 
-Layout: ``<root>/<layer>/<table>/v=<version>/`` plus ``_current`` (a one-line
-text dataset naming the live version). A load writes a new version and then
-switches ``_current``; readers never see a half-written table and a failed
-load leaves the previous version live. ``root`` must be a shared folder
+Layout: ``<root>/<layer>/<table>/v=<version>/`` plus ``_current``, an
+append-only log of one-line files naming committed versions. A load writes a
+new version, then appends its name (each file appears atomically at commit);
+readers take the greatest name (versions sort by a zero-padded nanosecond
+clock). Nothing is overwritten or deleted, so readers never see a
+half-written table or a missing pointer, and a failed load leaves the
+previous version live. ``root`` must be a shared folder
 (by default the one named by ``spark.checkpoint.dir``).
 """
 
@@ -23,7 +26,10 @@ def _table_dir(root: str, layer: str, name: str) -> str:
 
 
 def current_version(spark: SparkSession, root: str, layer: str, name: str) -> str:
-    return spark.read.text(f"{_table_dir(root, layer, name)}/_current").first()[0]
+    latest = spark.read.text(f"{_table_dir(root, layer, name)}/_current").agg(F.max("value")).first()[0]
+    if latest is None:
+        raise FileNotFoundError(f"no committed version of {layer}.{name}")
+    return latest
 
 
 def read_table(spark: SparkSession, root: str, layer: str, name: str, jdbc: dict | None = None) -> DataFrame:
@@ -42,12 +48,12 @@ def read_table(spark: SparkSession, root: str, layer: str, name: str, jdbc: dict
 def write_replace(df: DataFrame, root: str, layer: str, name: str, partition_by: list[str] | None = None) -> str:
     """K1/K2: replace-table load: write a new version folder, then switch to it."""
     spark = df.sparkSession
-    version = f"v={time.strftime('%Y%m%d%H%M%S')}-{uuid.uuid4().hex[:8]}"
+    version = f"v={time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{_table_dir(root, layer, name)}/{version}")
-    spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("overwrite").text(
+    spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("append").text(
         f"{_table_dir(root, layer, name)}/_current")
     return version
 
