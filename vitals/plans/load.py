@@ -28,10 +28,9 @@ def run_timestamp() -> str:
 
 
 def _existing(spark: SparkSession, root: str, name: str) -> DataFrame | None:
-    try:
-        return layers.read_table(spark, root, "dw", name)
-    except Exception:  # noqa: BLE001 - first load: the table does not exist yet
+    if not layers.table_exists(spark, root, "dw", name):  # first load
         return None
+    return layers.read_table(spark, root, "dw", name)
 
 
 def load_dimensions(spark: SparkSession, root: str,

@@ -32,6 +32,24 @@ def current_version(spark: SparkSession, root: str, layer: str, name: str) -> st
     return latest
 
 
+def table_exists(spark: SparkSession, root: str, layer: str, name: str) -> bool:
+    """Whether a table has a committed version: a metadata lookup (no Spark job) for
+    paths pyarrow understands, a read of the version log otherwise."""
+    path = f"{_table_dir(root, layer, name)}/_current"
+    try:
+        import os
+
+        import pyarrow.fs as pafs
+        fs, p = pafs.FileSystem.from_uri(path if "://" in path else "file://" + os.path.abspath(path))
+        return fs.get_file_info(p).type != pafs.FileType.NotFound
+    except Exception:  # noqa: BLE001 - scheme unknown to pyarrow: ask Spark
+        try:
+            current_version(spark, root, layer, name)
+            return True
+        except Exception:  # noqa: BLE001
+            return False
+
+
 def read_table(spark: SparkSession, root: str, layer: str, name: str, jdbc: dict | None = None) -> DataFrame:
     """Read a layer table (Parquet by default; JDBC when connection options are given).
 
