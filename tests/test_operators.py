@@ -153,3 +153,9 @@ def test_wide_csv_plan_does_not_grow(spark):
             reshape.wide_csv_to_long(spark, path, 2).explain()
         sizes.append(len(buf.getvalue()))
     assert sizes[1] < sizes[0] * 1.5
+
+
+def test_age_text_flags(spark):
+    df = spark.createDataFrame([("menor de 15",), ("< 1 año",), ("< 10",), ("45 a 49 años",), ("menor de 15",)], "g string")
+    got = {r.texto: r.n for r in quality.age_text_flags(df, "g").collect()}
+    assert got == {"menor de 15": 2, "< 10": 1}

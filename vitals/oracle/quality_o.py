@@ -25,3 +25,16 @@ UNION ALL SELECT 'toxic', CAST(COUNT(*) FILTER (WHERE toxic IS NULL) AS BIGINT)
 ORACLE["top_k_groups"] = """
 SELECT source, CAST(SUM(n_chars) AS BIGINT) AS total FROM documents GROUP BY source
 ORDER BY total DESC, source LIMIT 5"""
+
+from vitals.oracle.common import CASES_RAW  # noqa: E402
+
+ORACLE["age_text_flags"] = f"""
+WITH {CASES_RAW},
+t AS (SELECT CASE WHEN l_linenumber % 5 = 0 THEN 'menor de ' || CAST("Casos" AS VARCHAR)
+                  WHEN l_linenumber % 5 = 1 THEN '< ' || CAST("Casos" AS VARCHAR)
+                  ELSE "Grupo Etario" END AS grupo FROM cases_raw),
+s AS (SELECT grupo, lower(trim(grupo)) AS s FROM t)
+SELECT grupo AS texto, CAST(COUNT(*) AS BIGINT) AS n FROM s
+WHERE (contains(s, '< 1') OR contains(s, 'menor'))
+  AND list_max(list_transform(regexp_extract_all(s, '(\\d+)', 1), lambda x: TRY_CAST(x AS BIGINT))) >= 1
+GROUP BY grupo"""

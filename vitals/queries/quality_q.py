@@ -36,3 +36,14 @@ def q_null_counts(spark, d):
 def q_top_k_groups(spark, d):
     out = quality.top_k_groups(A.read(spark, d, "documents"), "source", "n_chars", 5)
     return out.withColumn("total", F.col("total").cast("bigint"))
+
+
+@query("age_text_flags")
+def q_age_text_flags(spark, d):
+    """Chronic-case age texts that the infant rule catches although they name older ages."""
+    raw = A.cases_raw(spark, d)
+    q = F.col("Casos").cast("string")
+    texts = raw.select(F.when(F.col("l_linenumber") % 5 == 0, F.concat(F.lit("menor de "), q))
+                       .when(F.col("l_linenumber") % 5 == 1, F.concat(F.lit("< "), q))
+                       .otherwise(F.col("Grupo Etario")).alias("grupo"))
+    return quality.age_text_flags(texts, "grupo")
