@@ -99,11 +99,11 @@ def contract_report(df: DataFrame, contract: list[tuple[str, str, bool, int | No
 
 def age_text_flags(df: DataFrame, col: str) -> DataFrame:
     """SURVEY quirk #9: age texts sent to "< 1" by the "< 1"/"menor" rule although they
-    carry a number ≥ 1 (e.g. "menor de 15", "< 10"); the rule is kept, the rows are
+    name a number above 1 (e.g. "menor de 15", "< 10"); the rule is kept, the rows are
     counted per text so the source can be corrected. Output: texto, n."""
     s = F.lower(F.btrim(F.col(col).cast("string"), F.lit(" \t\r\n\f\v")))
     infant = s.contains("< 1") | s.contains("menor")
     nums = F.regexp_extract_all(s, F.lit(r"(\d+)"), 1)
-    big = F.exists(nums, lambda x: x.try_cast("bigint") >= 1)
+    big = F.exists(nums, lambda x: x.try_cast("bigint") > 1)
     return (df.where(infant & big).groupBy(F.col(col).alias("texto"))
             .agg(F.count(F.lit(1)).cast("bigint").alias("n")))

@@ -36,5 +36,5 @@ t AS (SELECT CASE WHEN l_linenumber % 5 = 0 THEN 'menor de ' || CAST("Casos" AS
 s AS (SELECT grupo, lower(trim(grupo)) AS s FROM t)
 SELECT grupo AS texto, CAST(COUNT(*) AS BIGINT) AS n FROM s
 WHERE (contains(s, '< 1') OR contains(s, 'menor'))
-  AND list_max(list_transform(regexp_extract_all(s, '(\\d+)', 1), lambda x: TRY_CAST(x AS BIGINT))) >= 1
+  AND list_max(list_transform(regexp_extract_all(s, '(\\d+)', 1), lambda x: TRY_CAST(x AS BIGINT))) > 1
 GROUP BY grupo"""
