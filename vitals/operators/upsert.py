@@ -1,7 +1,7 @@
 """Idempotent dimension loads (K3) and slowly-changing history.
 
 Both are written as joins + unions; the caller writes the result to a new
-version folder and switches to it, so a failed load never leaves a half
+version folder and commits it to the table's version log, so a failed load never leaves a half
 table behind.
 """
 

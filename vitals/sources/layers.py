@@ -64,7 +64,7 @@ def read_table(spark: SparkSession, root: str, layer: str, name: str, jdbc: dict
 
 
 def write_replace(df: DataFrame, root: str, layer: str, name: str, partition_by: list[str] | None = None) -> str:
-    """K1/K2: replace-table load: write a new version folder, then switch to it."""
+    """K1/K2: replace-table load: write a new version folder, then commit its name to the log."""
     spark = df.sparkSession
     version = f"v={time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     writer = df.write.mode("errorifexists")
