@@ -159,3 +159,17 @@ def test_age_text_flags(spark):
     df = spark.createDataFrame([("menor de 15",), ("< 1 año",), ("< 10",), ("45 a 49 años",), ("menor de 15",)], "g string")
     got = {r.texto: r.n for r in quality.age_text_flags(df, "g").collect()}
     assert got == {"menor de 15": 2, "< 10": 1}
+
+
+def test_version_log(spark):
+    import os
+
+    from vitals.sources import layers
+    root = scratch_path(spark, "t-layers")
+    assert not layers.table_exists(spark, root, "dw", "t")
+    v1 = layers.write_replace(spark.range(3), root, "dw", "t")
+    v2 = layers.write_replace(spark.range(5), root, "dw", "t")
+    assert v1 < v2 and layers.table_exists(spark, root, "dw", "t")
+    assert layers.current_version(spark, root, "dw", "t") == v2
+    assert layers.read_table(spark, root, "dw", "t").count() == 5
+    assert os.path.isdir(f"{root}/dw/t/{v1}")  # history kept, nothing overwritten
