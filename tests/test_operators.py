@@ -173,3 +173,15 @@ def test_version_log(spark):
     assert layers.current_version(spark, root, "dw", "t") == v2
     assert layers.read_table(spark, root, "dw", "t").count() == 5
     assert os.path.isdir(f"{root}/dw/t/{v1}")  # history kept, nothing overwritten
+
+
+def test_parquet_parts_tolerant(spark):
+    root = scratch_path(spark, "t-parts")
+    spark.range(7).write.parquet(f"{root}/ok")
+    spark.createDataFrame([("<!DOCTYPE html><html><body>login</body></html>",)], "value string").write.text(f"{root}/html")
+    spark.createDataFrame([("not parquet at all",)], "value string").write.text(f"{root}/junk")
+    parts = files.data_files(spark, root)
+    good, bad = files.read_parquet_parts_tolerant(spark, parts)
+    assert good.count() == 7
+    reasons = sorted(why for _, why in bad)
+    assert "html" in reasons and "ilegible" in reasons
