@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from vitals.llm.line_dedup import LINE_DEDUP_SQL, op5_line_dedup
 from vitals.llm.packing import op6_packing
+from vitals.llm.quality_rules import op4_quality_rules
 
 QUERIES = {
+    "op4_quality_rules": op4_quality_rules,
     "op5_line_dedup": op5_line_dedup,
     "op6_packing": op6_packing,
 }
