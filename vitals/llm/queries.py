@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from vitals.llm.line_dedup import LINE_DEDUP_SQL, op5_line_dedup
+from vitals.llm.near_dedup import op9_near_dedup
 from vitals.llm.packing import op6_packing
 from vitals.llm.quality_rules import op4_quality_rules
 
@@ -10,6 +11,7 @@ QUERIES = {
     "op4_quality_rules": op4_quality_rules,
     "op5_line_dedup": op5_line_dedup,
     "op6_packing": op6_packing,
+    "op9_near_dedup": op9_near_dedup,
 }
 
 ORACLE = {
