@@ -6,8 +6,10 @@ from vitals.llm.line_dedup import LINE_DEDUP_SQL, op5_line_dedup
 from vitals.llm.near_dedup import op9_near_dedup
 from vitals.llm.packing import op6_packing
 from vitals.llm.quality_rules import op4_quality_rules
+from vitals.llm.toxicity import op2_toxicity
 
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
     "op4_quality_rules": op4_quality_rules,
     "op5_line_dedup": op5_line_dedup,
     "op6_packing": op6_packing,
