@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from vitals.llm.html_text import op8_html_extraction
 from vitals.llm.line_dedup import LINE_DEDUP_SQL, op5_line_dedup
 from vitals.llm.near_dedup import op9_near_dedup
 from vitals.llm.packing import op6_packing
@@ -13,6 +14,7 @@ QUERIES = {
     "op4_quality_rules": op4_quality_rules,
     "op5_line_dedup": op5_line_dedup,
     "op6_packing": op6_packing,
+    "op8_html_extraction": op8_html_extraction,
     "op9_near_dedup": op9_near_dedup,
 }
 
