@@ -5,6 +5,7 @@ from __future__ import annotations
 from vitals.llm.html_text import op8_html_extraction
 from vitals.llm.line_dedup import LINE_DEDUP_SQL, op5_line_dedup
 from vitals.llm.near_dedup import op9_near_dedup
+from vitals.llm.neighbours import op10_nearest_neighbours
 from vitals.llm.packing import op6_packing
 from vitals.llm.quality_rules import op4_quality_rules
 from vitals.llm.toxicity import op2_toxicity
@@ -16,6 +17,7 @@ QUERIES = {
     "op6_packing": op6_packing,
     "op8_html_extraction": op8_html_extraction,
     "op9_near_dedup": op9_near_dedup,
+    "op10_nearest_neighbours": op10_nearest_neighbours,
 }
 
 ORACLE = {
