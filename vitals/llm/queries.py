@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
+from vitals.llm.chat_format import op3_chat_format
 from vitals.llm.html_text import op8_html_extraction
 from vitals.llm.line_dedup import LINE_DEDUP_SQL, op5_line_dedup
 from vitals.llm.near_dedup import op9_near_dedup
 from vitals.llm.neighbours import op10_nearest_neighbours
 from vitals.llm.packing import op6_packing
 from vitals.llm.quality_rules import op4_quality_rules
+from vitals.llm.segmentation import op1_sentencepiece
+from vitals.llm.token_counts import op7_token_counts
 from vitals.llm.toxicity import op2_toxicity
 
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_toxicity": op2_toxicity,
+    "op3_chat_format": op3_chat_format,
     "op4_quality_rules": op4_quality_rules,
     "op5_line_dedup": op5_line_dedup,
     "op6_packing": op6_packing,
+    "op7_token_counts": op7_token_counts,
     "op8_html_extraction": op8_html_extraction,
     "op9_near_dedup": op9_near_dedup,
     "op10_nearest_neighbours": op10_nearest_neighbours,
