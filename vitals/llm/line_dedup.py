@@ -208,12 +208,13 @@ def drops(lines: DataFrame, index: DataFrame, shards: int, salts: int = SALTS) -
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, shard_keys: int = SHARD_KEYS) -> DataFrame:
     """``docs`` (doc_id, text, ...) with its columns, the text without the lines
-    that go, and ``n_lines`` and ``n_dropped`` beside it."""
+    that go, and ``n_lines`` and ``n_dropped`` beside it (in the place of columns
+    of these names)."""
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc")
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     lines = written(_lines(docs.select(doc, text), min_chars), "line-hashes")
     index, shards = build_index(lines, shard_keys)
-    rest = [c for c in docs.columns if c != "text"]
+    rest = [c for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
     rows = docs.select(doc, text, F.struct(*[F.col(f"`{c}`") for c in rest]).alias("rest")).withColumn("body", F.xxhash64("text"))
     out = (rows.join(drops(lines, index, shards), ["doc", "body"], "left")
            .withColumn("lines", F.split("text", "\n"))
@@ -221,7 +222,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, shard_keys: int = S
     kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "drop")
     text = F.when(F.col("n_dropped") == 0, F.col("text")).otherwise(
         F.array_join(F.transform(kept, lambda i: F.get("lines", i)), "\n"))
-    return out.select(*[text.alias(c) if c == "text" else F.col("rest").getField(c).alias(c) for c in docs.columns],
+    return out.select(*[text.alias(c) if c == "text" else F.col("rest").getField(c).alias(c)
+                        for c in docs.columns if c in rest or c == "text"],
                       F.size("lines").cast("long").alias("n_lines"), "n_dropped")
 
 

@@ -284,7 +284,8 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Mod
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with its columns and ``score``."""
+    """``docs`` with its columns and ``score`` (which takes the place of a column
+    of that name)."""
     key = (tuple(model.words), tuple(model.stems), model.weights.tobytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -296,7 +297,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").cast("string").alias("text"))
     kind = own.schema["row"].dataType.simpleString()
     return own.mapInArrow(run, f"row {kind}, score double").select(
-        *[F.col("row").getField(c).alias(c) for c in docs.columns], F.col("score"))
+        *[F.col("row").getField(c).alias(c) for c in docs.columns if c != "score"], F.col("score"))
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -308,4 +309,6 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that score below the threshold."""
-    return score(docs, train(docs, labels)).where(F.col("score") < threshold).select(*[F.col(f"`{c}`") for c in docs.columns])
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_own"), F.col("text").cast("string").alias("text"))
+    return (score(row, train(docs, labels)).where(F.col("score") < threshold)
+            .select(*[F.col("_own").getField(c).alias(c) for c in docs.columns]))
