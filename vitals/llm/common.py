@@ -57,15 +57,14 @@ _ONCE: dict = {}
 _LOCK = threading.Lock()
 
 
-def once(key, make):
-    """One object per Python worker (tokenizers, tries): made at first use."""
-    if key not in _ONCE:
+def once(key: tuple, make):
+    """One object of a kind (``key[0]``) per Python worker, such as a tokenizer or
+    a trie: made at first use, and replaced when another key of its kind comes."""
+    held = _ONCE.get(key[0])
+    if held is None or held[0] != key:
         with _LOCK:
-            if key not in _ONCE:
-                _ONCE[key] = make()
-    return _ONCE[key]
-
-
-def literal(name: str) -> str:
-    """A name usable in a path."""
-    return re.sub(r"\W+", "_", name)
+            held = _ONCE.get(key[0])
+            if held is None or held[0] != key:
+                _ONCE.pop(key[0], None)
+                held = _ONCE[key[0]] = (key, make())
+    return held[1]

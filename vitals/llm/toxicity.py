@@ -60,6 +60,7 @@ FEATURES = ("exact", "stem", "misspelled", "quoted", "hits", "density")
 #: bias first; prior means of the weights
 PRIOR = np.array([-4.0, 3.0, 3.0, 1.0, -1.5, 1.0, 0.5])
 WINDOW_WORDS = 5
+MAX_STATES = 20_000
 
 
 # --------------------------------------------------------------------- the automaton
@@ -136,7 +137,7 @@ class Lexicon:
 
     def kind(self, word: str) -> int:
         """3 exact, 2 begins with a stem, 1 misspelled, 0 none."""
-        if len(self.sets) > 200_000:  # bounded: made again when needed
+        if len(self.sets) > MAX_STATES:  # bounded: made again when needed
             self.states, self.sets, self.steps, self.kinds = {}, [], [], []
             self.begin = self._state(self._with_deletions({0: 0}))
         state, found = self.begin, 0
@@ -260,7 +261,8 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Mod
     known = (only(labels, doc_id="long", toxic="int").where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
              .where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
-    sample = written(only(docs, doc_id="long", text="string").join(known, "doc_id").dropDuplicates(["doc_id"]), "toxicity-sample")
+    # at most max_train ids: small enough to send to the documents
+    sample = written(only(docs, doc_id="long", text="string").join(F.broadcast(known), "doc_id").dropDuplicates(["doc_id"]), "toxicity-sample")
     sizes = {r[0]: r[1] for r in sample.groupBy("toxic").count().collect()}
     if not sizes.get(1) or not sizes.get(0):
         return Model(list(SEED_TERMS), [], PRIOR)
