@@ -53,7 +53,7 @@ def test_hot_key_dedup_reduced_map_side(spark):
     rows = {r.k: (r.pos, r.x) for r in out.collect()}
     assert rows[0] == (0, 0) and len(rows) == 1 + (n - n // 3)
     text = plan_text(out)
-    assert "partial_min_by" in text  # combined before the exchange
+    assert "partial_min" in text  # combined before the exchange
 
 
 def test_broadcast_only_after_size_check(spark):

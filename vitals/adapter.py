@@ -176,8 +176,8 @@ def world_mortality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def regional_panama(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Panama-layout annual table from finished orders."""
-    o = read(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "F")
+    """Panama-layout annual table from finished and partly finished orders."""
+    o = read(spark, sf_dir, "orders").where(~F.col("o_orderstatus").eqNullSafe("O"))
     return (o.groupBy(F.year("o_orderdate").cast("int").alias("anio"))
             .agg(F.count(F.lit(1)).cast("bigint").alias("defunciones_general"),
                  F.count_if(F.col("o_orderpriority") == "1-URGENT").cast("bigint")

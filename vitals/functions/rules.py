@@ -14,7 +14,12 @@ from pyspark.sql import functions as F
 
 from vitals import catalogues as C
 
-WS = " \t\r\n\f\v"  # characters removed by a Python-style strip
+# characters removed by a Python-style strip: the Unicode white space, which
+# spreadsheets leave behind as non-breaking spaces
+WS = ("\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200b)))
+      + "\u2028\u2029\u202f\u205f\u3000")
+# text that Python reads as a number (the cast alone would also take "45F", "3d", "0x1p3")
+NUMBER = r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)$"
 
 
 def _c(x) -> Column:
@@ -38,7 +43,8 @@ def blank_to_null(x) -> Column:
 
 def to_double(x) -> Column:
     """numeric coercion, bad text (and NaN) → NULL."""
-    d = _c(x).try_cast("double")
+    s = strip(_c(x).cast("string"))
+    d = F.when(s.rlike(NUMBER), s.try_cast("double"))
     return F.when(F.isnan(d), F.lit(None).cast("double")).otherwise(d)
 
 
@@ -180,9 +186,9 @@ def title_case(text) -> Column:
 
 
 def rate_per_100k(numerator, population) -> Column:
-    """F16: round(n / p * 100000, 4); NULL when population ≤ 0 or NULL."""
+    """F16: round(n / p * 100000, 4), ties to even; NULL when population ≤ 0 or NULL."""
     n, p = to_double(numerator), to_double(population)
-    return F.when(p > 0, F.round(n / p * 100000, 4)).otherwise(F.lit(None).cast("double"))
+    return F.when(p > 0, F.bround(n / p * 100000, 4)).otherwise(F.lit(None).cast("double"))
 
 
 def quarter_of(month) -> Column:

@@ -11,12 +11,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _orderable(df: DataFrame, columns: list[str]) -> bool:
+    """Whether Spark can compare the columns (maps and variants it cannot)."""
+    return not any(k in df.schema[c].dataType.simpleString() for c in columns for k in ("map<", "variant"))
+
+
 def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key: the one with the smallest ``order`` tuple (a total order)."""
     payload = [c for c in df.columns if c not in keys]
     if not payload:
         return df.select(*keys).distinct()
-    best = F.min_by(F.struct(*[F.col(c) for c in payload]), F.struct(*[F.col(c) for c in order]))
+    # one struct, the order first: each column is buffered once
+    rest = [c for c in payload if c not in order]
+    first = F.struct(*[F.col(c) for c in order if c in payload], *[F.col(c) for c in rest])
+    if all(c in payload or c in keys for c in order) and _orderable(df, rest):
+        best = F.min(first)
+    else:
+        best = F.min_by(F.struct(*[F.col(c) for c in payload]), F.struct(*[F.col(c) for c in order]))
     return (df.groupBy(*keys).agg(best.alias("_first"))
             .select(*keys, *[F.col(f"_first.{c}").alias(c) for c in payload])
             .select(*df.columns))

@@ -3,8 +3,8 @@
 Broadcast is used only behind a size check: ``bounded`` takes the exact row
 count a frame carries from being built (surrogate-key dimensions know theirs)
 or else counts at most ``max_rows + 1`` rows of the lookup side, and hints a
-broadcast when the side fits; otherwise the join is left to the planner
-(sort-merge, with AQE free to switch at run time).
+broadcast when the side fits; otherwise the join is a sort-merge join (the
+session sets the broadcast threshold to -1, so nothing else is broadcast).
 """
 
 from __future__ import annotations

@@ -12,18 +12,21 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vitals.operators.dedup import keep_first
 from vitals.operators.keys import max_id, sequential_ids
+from vitals.session import materialize
 
 
 def upsert_ignore(existing: DataFrame | None, incoming: DataFrame, natural_key: list[str],
                   id_col: str) -> DataFrame:
     """Insert-if-absent: existing rows and ids untouched, new members get max(id)+1….
 
-    New members are ordered by natural key, so loading the same input twice
-    yields the same rows and ids.
+    One member per natural key: of conflicting attributes the smallest row
+    counts. New members are ordered by natural key, so loading the same input
+    twice yields the same rows and ids.
     """
-    incoming = incoming.select(*natural_key, *[c for c in incoming.columns
-                                                if c not in natural_key and c != id_col]).distinct()
+    attributes = [c for c in incoming.columns if c not in natural_key and c != id_col]
+    incoming = keep_first(incoming.select(*natural_key, *attributes), natural_key, attributes)
     if existing is None:
         return sequential_ids(incoming, id_col, natural_key, start=1)
     fresh = incoming.join(existing.select(*natural_key), natural_key, "left_anti")
@@ -40,13 +43,14 @@ def scd2_merge(current: DataFrame, incoming: DataFrame, key: list[str], attrs: l
     fecha_fin_vigencia, es_version_actual, version. A changed attribute closes
     the open version the day before ``as_of`` and opens version+1 from
     ``as_of``; unseen keys open version 1; keys absent from ``incoming`` keep
-    their open version.
+    their open version. Of repeated incoming keys the smallest row counts; the
+    join is written once and read by each part of the result.
     """
     start = F.lit(as_of).cast("date")
     history = current.where(~F.col("es_version_actual"))
     open_rows = current.where(F.col("es_version_actual"))
-    inc = incoming.select(*key, *[F.col(a).alias(f"_new_{a}") for a in attrs], F.lit(True).alias("_in"))
-    joined = open_rows.join(inc, key, "full_outer")
+    inc = keep_first(incoming.select(*key, *attrs), key, attrs).select(*key, *[F.col(a).alias(f"_new_{a}") for a in attrs], F.lit(True).alias("_in"))
+    joined = materialize(open_rows.join(inc, key, "full_outer"), "scd2-join")
     same = None
     for a in attrs:
         c = F.col(a).eqNullSafe(F.col(f"_new_{a}"))

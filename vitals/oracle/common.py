@@ -122,7 +122,7 @@ REGIONAL = """pa AS (
          CAST(COUNT(*) FILTER (WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')) AS BIGINT) AS defunciones_menores_de_5_anios,
          CAST(COUNT(*) FILTER (WHERE o_orderpriority = '5-LOW') AS BIGINT) AS defunciones_materna,
          CAST(COUNT(*) FILTER (WHERE o_orderpriority = '3-MEDIUM') AS BIGINT) AS defunciones_de_mujeres_en_edad_fertil
-  FROM orders WHERE o_orderstatus = 'F' GROUP BY 1),
+  FROM orders WHERE o_orderstatus IS DISTINCT FROM 'O' GROUP BY 1),
 cr AS (
   SELECT CAST(year(o_orderdate) AS INTEGER) AS anio,
          CAST(COUNT(DISTINCT o_custkey) AS BIGINT) AS poblacion_total_al_30_de_junio,

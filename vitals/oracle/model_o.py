@@ -21,10 +21,27 @@ ORACLE["stratified_split"] = f"""{FEATURES},
 r AS (SELECT *, row_number() OVER (PARTITION BY exceso_mortalidad
                                    ORDER BY md5(municipio || '|' || CAST(anio AS VARCHAR) || '|' || CAST(mes AS VARCHAR))) AS rk,
              COUNT(*) OVER (PARTITION BY exceso_mortalidad) AS n
-      FROM f)
-SELECT municipio, anio, mes, exceso_mortalidad,
-       CASE WHEN rk <= ceil(n * 0.25) THEN 'test' ELSE 'train' END AS conjunto
-FROM r"""
+      FROM f),
+q AS (SELECT exceso_mortalidad, ceil((SELECT COUNT(*) FROM f) * 0.25) * COUNT(*) / (SELECT COUNT(*) FROM f) AS share
+      FROM f GROUP BY exceso_mortalidad),
+t AS (SELECT exceso_mortalidad, floor(share)
+             + CASE WHEN row_number() OVER (ORDER BY share - floor(share) DESC, exceso_mortalidad)
+                         <= ceil((SELECT COUNT(*) FROM f) * 0.25) - (SELECT SUM(floor(share)) FROM q) THEN 1 ELSE 0 END AS n_test
+      FROM q),
+split AS (SELECT municipio, region, anio, mes, r.exceso_mortalidad,
+                 CASE WHEN rk <= n_test THEN 'test' ELSE 'train' END AS conjunto
+          FROM r JOIN t ON r.exceso_mortalidad = t.exceso_mortalidad)
+SELECT municipio, anio, mes, exceso_mortalidad, conjunto FROM split"""
+
+ORACLE["model_artifacts"] = f"""{ORACLE["stratified_split"].rsplit("SELECT", 1)[0]}
+SELECT 'umbrales' AS artefacto, 'csv' AS formato, CAST({len(C.SWEEP_THRESHOLDS)} AS BIGINT) AS filas
+UNION ALL SELECT 'confusion', 'csv', CAST({len(C.SWEEP_THRESHOLDS)} AS BIGINT)
+UNION ALL SELECT 'configuracion', 'json', CAST(1 AS BIGINT)
+UNION ALL SELECT 'coeficientes', 'json', CAST(COUNT(DISTINCT municipio) + COUNT(DISTINCT region) + 4 + 1 AS BIGINT)
+          FROM split WHERE conjunto = 'train'
+UNION ALL SELECT 'linea_base', 'parquet', CAST(COUNT(*) AS BIGINT)
+          FROM (SELECT DISTINCT municipio, mes, promedio_pre_covid, desviacion_pre_covid FROM nlabelled)
+UNION ALL SELECT 'modelo', 'pipeline', CAST(COUNT(*) AS BIGINT) FROM split WHERE conjunto = 'test'"""
 
 THRESHOLDS = ", ".join(f"({t})" for t in C.SWEEP_THRESHOLDS)
 SCORED = """s AS (SELECT d.lang AS region, l.quality AS real, CAST(d.n_chars % 100 AS DOUBLE) / 100 AS score

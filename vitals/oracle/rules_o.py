@@ -132,7 +132,7 @@ WITH pop AS (SELECT c_nationkey AS nationkey, CAST(COUNT(*) FILTER (WHERE c_acct
 d AS (SELECT c.c_nationkey AS nationkey, CAST(year(o.o_orderdate) AS INTEGER) AS anio, CAST(COUNT(*) AS BIGINT) AS fallecidos
       FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1, 2)
 SELECT d.nationkey, d.anio, d.fallecidos, p.poblacion,
-       CASE WHEN p.poblacion > 0 THEN round(CAST(d.fallecidos AS DOUBLE) / p.poblacion * 100000, 4) END AS tasa_por_100k
+       CASE WHEN p.poblacion > 0 THEN round_even(CAST(d.fallecidos AS DOUBLE) / p.poblacion * 100000, 4) END AS tasa_por_100k
 FROM d JOIN pop p ON d.nationkey = p.nationkey"""
 
 ORACLE["numeric_coerce"] = """

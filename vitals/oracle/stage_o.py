@@ -89,7 +89,7 @@ d AS (SELECT * EXCLUDE (rn) FROM (
 SELECT fecha_fallecimiento, CAST(year(fecha_fallecimiento) AS INTEGER) AS anio,
        CAST(month(fecha_fallecimiento) AS INTEGER) AS mes, {title_sql('departamento')} AS departamento,
        codigo_departamento, {title_sql('municipio')} AS municipio, codigo_municipio, poblacion, fallecidos,
-       CASE WHEN poblacion > 0 THEN round(CAST(fallecidos AS DOUBLE) / poblacion * 100000, 4) END AS tasa_por_100k,
+       CASE WHEN poblacion > 0 THEN round_even(CAST(fallecidos AS DOUBLE) / poblacion * 100000, 4) END AS tasa_por_100k,
        CASE WHEN year(fecha_fallecimiento) <= 2000 THEN 'COVID' ELSE 'post-COVID' END AS periodo,
        'MSPAS_COVID_STAGE' AS fuente_origen
 FROM d"""

@@ -48,6 +48,8 @@ def _time_fk(df: DataFrame, dim_time: DataFrame) -> DataFrame:
 
 
 def _geo_fk(df: DataFrame, dim_geo: DataFrame) -> DataFrame:
+    if "es_version_actual" in dim_geo.columns:  # history (D7): only open versions take new facts
+        dim_geo = dim_geo.where("es_version_actual")
     return lookup.foreign_key(df, dim_geo, [("departamento", "nombre_departamento"),
                                             ("municipio", "nombre_municipio")], "id_geografia")
 

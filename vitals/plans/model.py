@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,16 +29,25 @@ def feature_table(labelled: DataFrame, features: list[str], target: str = "exces
 
 def stratified_split(df: DataFrame, label: str, order: Column, test_fraction: float = 0.25,
                      name: str = "conjunto") -> DataFrame:
-    """M5: exact per-class split: within each class rows are ranked by ``order``
-    (a deterministic pseudo-random key) and the first ceil(fraction · n_class)
-    go to test. Ranking is a range-partitioned sort with partition offsets
+    """M5: exact per-class split: ceil(fraction · n) rows go to test, each class
+    giving its proportional share rounded down, the largest remainders (then the
+    smallest label) giving one more. Within a class rows are ranked by
+    ``order`` (a deterministic pseudo-random key) and the first ones go to test. Ranking is a range-partitioned sort with partition offsets
     (``sequential_ids``), not a window holding a whole class in one task."""
     keyed = df.withColumn("_ord", order)
     pos = sequential_ids(keyed, "_pos", [label, "_ord"])
     stats = pos.groupBy(label).agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    out = pos.join(F.broadcast(stats), label)  # one row per class
+    # one row per class from here on
+    every = Window.partitionBy()
+    share = F.ceil(F.sum("_n").over(every) * F.lit(test_fraction)) * F.col("_n") / F.sum("_n").over(every)
+    stats = stats.withColumn("_down", F.floor(share)).withColumn("_part", share - F.floor(share))
+    wanted = F.ceil(F.sum("_n").over(every) * F.lit(test_fraction))
+    stats = (stats.withColumn("_left", wanted - F.sum("_down").over(every))
+             .withColumn("_test", F.col("_down") + (F.row_number().over(Window.partitionBy().orderBy(F.desc("_part"), label))
+                                                    <= F.col("_left")).cast("int")))
+    out = pos.join(F.broadcast(stats), label)
     rank = F.col("_pos") - F.col("_first") + 1
-    test = rank <= F.ceil(F.col("_n") * F.lit(test_fraction))
+    test = rank <= F.col("_test")
     return out.withColumn(name, F.when(test, F.lit("test")).otherwise(F.lit("train"))).select(*df.columns, name)
 
 
@@ -54,6 +63,11 @@ def with_balanced_weights(train: DataFrame, label: str, weight: str = "w") -> Da
             .withColumn(weight, F.col("_n") / (F.col("_k") * F.col("_nc"))).drop("_nc", "_n", "_k"))
 
 
+def predict(pipeline: PipelineModel, df: DataFrame, proba: str = "probabilidad_exceso") -> DataFrame:
+    """``df`` scored by a fitted or loaded pipeline."""
+    return pipeline.transform(df).withColumn(proba, vector_to_array(F.col("probability"))[1])
+
+
 @dataclass
 class FittedModel:
     pipeline: PipelineModel
@@ -62,17 +76,14 @@ class FittedModel:
     categorical: list[str]
     numeric: list[str]
 
-    def prepare(self, df: DataFrame) -> DataFrame:
-        """Population-std scaling (sklearn StandardScaler) with the training constants."""
-        out = df
-        for c in self.numeric:
-            sd = self.stds[c] or 1.0
-            out = out.withColumn(f"_z_{c}", (F.col(c).cast("double") - F.lit(self.means[c])) / F.lit(sd))
-        return out
+    def scaling(self) -> SQLTransformer:
+        """Population-std scaling (sklearn StandardScaler) with the training
+        constants, as a stage, so that a saved pipeline holds them."""
+        terms = [f"(CAST(`{c}` AS DOUBLE) - ({self.means[c]!r}D)) / ({self.stds[c] or 1.0!r}D) AS `_z_{c}`" for c in self.numeric]
+        return SQLTransformer(statement=f"SELECT *, {', '.join(terms)} FROM __THIS__")
 
     def transform(self, df: DataFrame, proba: str = "probabilidad_exceso") -> DataFrame:
-        scored = self.pipeline.transform(self.prepare(df))
-        return scored.withColumn(proba, vector_to_array(F.col("probability"))[1])
+        return predict(self.pipeline, df, proba)
 
     def feature_names(self) -> list[str]:
         names = []
@@ -102,8 +113,8 @@ def fit_logreg(train: DataFrame, categorical: list[str], numeric: list[str], lab
                             regParam=1.0 / (c_reg * float(row["_sw"])), elasticNetParam=0.0,
                             standardization=False, fitIntercept=True)
     fm = FittedModel(None, means, stds, categorical, numeric)  # type: ignore[arg-type]
-    model = Pipeline(stages=[*indexers, encoder, assembler, lr]).fit(
-        fm.prepare(weighted).withColumn(label, F.col(label).cast("double")))
+    model = Pipeline(stages=[*indexers, encoder, fm.scaling(), assembler, lr]).fit(
+        weighted.withColumn(label, F.col(label).cast("double")))
     # persist and reload: the reloaded model is what scoring ships to executors
     # (a freshly fitted one drags its training summary and session along)
     path = scratch_path(train.sparkSession, "logreg")
@@ -179,4 +190,24 @@ def classification_report(scored: DataFrame, label: str, score: str, threshold:
 
 
 def save(fm: FittedModel, path: str) -> None:
+    """K7: the whole pipeline, scaling constants included."""
     fm.pipeline.write().overwrite().save(path)
+
+
+def load(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
+def score(requests: DataFrame, pipeline: PipelineModel, baseline: DataFrame, keys: list[str],
+          threshold: float = 0.5) -> DataFrame:
+    """Request rows, the baseline of their ``keys`` looked up, scored by a
+    saved model; requests without a baseline keep NULL scores."""
+    looked = requests.join(baseline, keys, "left")
+    numeric = [c for c in baseline.columns if c not in keys]
+    known = looked.dropna(subset=numeric)
+    scored = predict(pipeline, known).withColumn("pred_exceso", (F.col("probabilidad_exceso") >= threshold).cast("int"))
+    out = scored.select(*looked.columns, "probabilidad_exceso", "pred_exceso")
+    missing = None
+    for c in numeric:
+        missing = F.col(c).isNull() if missing is None else missing | F.col(c).isNull()
+    return out.unionByName(looked.where(missing), allowMissingColumns=True)

@@ -76,11 +76,11 @@ def q_score_scenario(spark, d):
     requests = lab.select("municipio", "region", "mes", "promedio_pre_covid", "desviacion_pre_covid").distinct() \
         .withColumn("anio", F.lit(year))
     actual = lab.where(F.col("anio") == year).select("municipio", "mes", "muertes_observadas")
-    scen = requests.join(actual, ["municipio", "mes"], "left")
-    scored = fm.transform(scen)
+    base = requests.select("municipio", "region", "mes", "promedio_pre_covid", "desviacion_pre_covid")
+    asked = requests.select("municipio", "region", "mes", "anio").join(actual, ["municipio", "mes"], "left")
+    scored = ML.score(asked, fm.pipeline, base, ["municipio", "region", "mes"])
     return M.round_doubles(scored.select(
-        "municipio", "anio", "mes", "promedio_pre_covid", "muertes_observadas", "probabilidad_exceso",
-        (F.col("probabilidad_exceso") >= 0.5).cast("int").alias("pred_exceso")))
+        "municipio", "anio", "mes", "promedio_pre_covid", "muertes_observadas", "probabilidad_exceso", "pred_exceso"))
 
 
 @query("model_artifacts")
@@ -95,12 +95,20 @@ def q_model_artifacts(spark, d):
                                                "desviacion_pre_covid").distinct()
     base.write.parquet(f"{root}/linea_base")
     ML.save(fm, f"{root}/modelo")
-    from pyspark.ml import PipelineModel
-    stages = len(PipelineModel.load(f"{root}/modelo").stages)
+    ML.confusion_counts(test, "exceso_mortalidad", "probabilidad_exceso", C.SWEEP_THRESHOLDS).write.option(
+        "header", True).csv(f"{root}/confusion")
+    spark.createDataFrame([(CATEGORICAL, NUMERIC, "exceso_mortalidad", fm.means, fm.stds)],
+                          "categoricas array<string>, numericas array<string>, objetivo string, medias map<string,double>, "
+                          "desviaciones map<string,double>").coalesce(1).write.json(f"{root}/configuracion")
+    # the reloaded model scores the test rows on its own
+    again = ML.predict(ML.load(f"{root}/modelo"), split.where(F.col("conjunto") == "test"))
+    scored = again.where(F.col("probabilidad_exceso").between(0, 1)).count()
     counts = [("umbrales", "csv", spark.read.option("header", True).csv(f"{root}/umbrales").count()),
               ("coeficientes", "json", spark.read.json(f"{root}/coeficientes").count()),
               ("linea_base", "parquet", spark.read.parquet(f"{root}/linea_base").count()),
-              ("modelo", "pipeline", stages)]
+              ("confusion", "csv", spark.read.option("header", True).csv(f"{root}/confusion").count()),
+              ("configuracion", "json", spark.read.json(f"{root}/configuracion").count()),
+              ("modelo", "pipeline", scored)]
     return spark.createDataFrame(counts, "artefacto string, formato string, filas bigint")
 
 

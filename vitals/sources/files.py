@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vitals.operators.align import align, clean_header
+
 BOM = "\ufeff"
 SUPPORTED = {"json": "*.json", "csv": "*.csv"}
 
@@ -69,13 +71,27 @@ def read_json_array(spark: SparkSession, paths, schema: T.StructType) -> DataFra
     return spark.read.schema(schema).option("multiLine", True).json(paths)
 
 
+def split_json(spark: SparkSession, folder: str) -> tuple[list[str], list[str]]:
+    """JSON files of a folder by kind: whole-file arrays (also over many lines) and
+    one record per line, told apart by the first text of each file in one job."""
+    text = spark.read.option("pathGlobFilter", SUPPORTED["json"]).text(folder)
+    first = (text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
+                         F.monotonically_increasing_id().alias("row"), F.ltrim("value").alias("value"))
+             .where("value <> ''").groupBy("file").agg(F.min_by(F.substring("value", 1, 1), F.struct("at", "row")).alias("c")))
+    found = first.collect()
+    return [r.file for r in found if r.c == "["], [r.file for r in found if r.c != "["]
+
+
 def read_mixed(spark: SparkSession, folder: str, schema: T.StructType) -> tuple[DataFrame, list[str]]:
     """JSON and CSV files of one folder read by extension and unioned by name;
     files of any other extension are rejected and returned by name."""
     parts = []
-    for fmt, glob in SUPPORTED.items():
-        reader = spark.read.schema(schema).option("pathGlobFilter", glob)
-        parts.append(reader.json(folder) if fmt == "json" else reader.option("header", True).csv(folder))
+    arrays, lines = split_json(spark, folder)
+    if arrays:
+        parts.append(read_json_array(spark, arrays, schema))
+    if lines:
+        parts.append(spark.read.schema(schema).json(lines))
+    parts.append(spark.read.schema(schema).option("pathGlobFilter", SUPPORTED["csv"]).option("header", True).csv(folder))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
@@ -130,17 +146,32 @@ def _probe_header(spark: SparkSession, path: str) -> tuple[str, list[str] | None
 def read_tolerant(spark: SparkSession, files: list[str], expected: list[str],
                   schema: T.StructType, parallel: int = 16) -> tuple[DataFrame | None, list[tuple[str, str]]]:
     """Each file's header is probed (its first line only, probes submitted
-    concurrently); files whose header does not carry the expected columns are
-    rejected and listed; the good set is read in one scan. Fails only when no
-    file is readable."""
+    concurrently). Files with the expected header are read in one scan; a
+    drifted header (missing, extra, reordered or differently spaced columns) is
+    aligned to the schema, one scan per distinct header. Only unreadable files
+    and files without any expected column are rejected and listed. Fails only
+    when no file is readable."""
     from concurrent.futures import ThreadPoolExecutor
     with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(files)))) as pool:
         probes = list(pool.map(lambda f: _probe_header(spark, f), files))
     good = [p for p, cols, _ in probes if cols == expected]
-    bad = [(p, err or "cabecera_inesperada") for p, cols, err in probes if cols != expected]
-    if not good:
+    drifted: dict[tuple[str, ...], list[str]] = {}
+    bad = []
+    for p, cols, err in probes:
+        if cols is None or not set(map(clean_header, cols)) & set(expected):
+            bad.append((p, err or "cabecera_inesperada"))
+        elif cols != expected:
+            drifted.setdefault(tuple(cols), []).append(p)
+    scans = [spark.read.schema(schema).option("header", True).csv(good)] if good else []
+    for cols, paths in drifted.items():
+        own = T.StructType([T.StructField(c, T.StringType()) for c in cols])
+        scans.append(align(spark.read.schema(own).option("header", True).option("enforceSchema", True).csv(paths), schema))
+    if not scans:
         raise ValueError(f"no readable file among {len(files)}")
-    return spark.read.schema(schema).option("header", True).csv(good), bad
+    out = scans[0]
+    for s in scans[1:]:
+        out = out.unionByName(s)
+    return out, bad
 
 
 def _probe_parquet(spark: SparkSession, path: str) -> tuple[str, str | None]:

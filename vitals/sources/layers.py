@@ -12,11 +12,13 @@ previous version live. ``root`` must be a shared folder
 
 from __future__ import annotations
 
+import datetime as dt
 import time
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,7 +48,11 @@ def table_exists(spark: SparkSession, root: str, layer: str, name: str) -> bool:
         try:
             current_version(spark, root, layer, name)
             return True
-        except Exception:  # noqa: BLE001
+        except FileNotFoundError:
+            return False
+        except AnalysisException as e:  # any other failure is not "absent"
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return False
 
 
@@ -128,20 +134,26 @@ class Registry:
 
     def run(self, spark: SparkSession, root: str, names: list[str] | None = None,
             layer: str = "sandbox") -> DataFrame:
-        """Q4: one row per source: estado, filas, columnas, error (durations kept out)."""
+        """Q4: one row per source: estado ("diferencia" when fewer or more rows were
+        read back than written), filas, columnas, error, mensaje, inicio, fin, segundos."""
         names = list(self.sources) if names is None else names
         unknown = [n for n in names if n not in self.sources]
         if unknown:
             raise ValueError(f"unknown sources {unknown}; allowed: {sorted(self.sources)}")
         rows = []
         for n in names:
+            start = dt.datetime.now(dt.timezone.utc)
             try:
                 df = self.land(spark, n)
                 rep = write_verified(df, root, layer, n).first()
-                rows.append((n, "ok", rep.filas_escritas, len(df.columns), None))
+                told = None if rep.coincide else f"{rep.filas_escritas} escritas, {rep.filas_leidas} leidas"
+                row = (n, "ok" if rep.coincide else "diferencia", rep.filas_escritas, len(df.columns), None, told)
             except Exception as e:  # noqa: BLE001 - one failing source does not stop the others
-                rows.append((n, "error", 0, 0, type(e).__name__))
-        return spark.createDataFrame(rows, "fuente string, estado string, filas bigint, columnas int, error string")
+                row = (n, "error", 0, 0, type(e).__name__, str(e)[:500])
+            end = dt.datetime.now(dt.timezone.utc)
+            rows.append((*row, start, end, (end - start).total_seconds()))
+        return spark.createDataFrame(rows, "fuente string, estado string, filas bigint, columnas int, error string, "
+                                           "mensaje string, inicio timestamp, fin timestamp, segundos double")
 
 
 def run_summary(report: DataFrame) -> DataFrame:
