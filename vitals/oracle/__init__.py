@@ -8,8 +8,8 @@ from __future__ import annotations
 
 
 def load_all() -> dict[str, str]:
-    from vitals.oracle import marts, rules_o, sources_o, stage_o, warehouse_o, quality_o, model_o
+    from vitals.oracle import marts, rules_o, sources_o, stage_o, warehouse_o, quality_o, model_o, landing_o
     out: dict[str, str] = {}
-    for m in (marts, rules_o, sources_o, stage_o, warehouse_o, quality_o, model_o):
+    for m in (marts, rules_o, sources_o, stage_o, warehouse_o, quality_o, model_o, landing_o):
         out.update(m.ORACLE)
     return out

@@ -219,7 +219,7 @@ GROUP BY 1, 2, 3"""
 ORACLE["wide_to_long"] = f"""
 WITH {NATION_COUNTRIES}
 SELECT nationkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS fecha, CAST(COUNT(*) AS BIGINT) AS n
-FROM oc WHERE year(o_orderdate) BETWEEN 1995 AND 2001 GROUP BY 1, 2"""
+FROM oc WHERE o_orderdate IS NOT NULL GROUP BY 1, 2"""
 
 ORACLE["homologate_union"] = f"""
 WITH {REGIONAL}

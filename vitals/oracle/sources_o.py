@@ -84,5 +84,5 @@ FROM orders"""
 
 ORACLE["wide_csv_to_long"] = """
 SELECT o_custkey, CAST(o_orderdate AS DATE) AS fecha, CAST(COUNT(*) AS BIGINT) AS n
-FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1995-01-01' AND DATE '2001-08-31'
+FROM orders WHERE o_orderdate IS NOT NULL
 GROUP BY 1, 2"""

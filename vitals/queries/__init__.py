@@ -23,5 +23,5 @@ def query(name: str):
 
 
 def load_all() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from vitals.queries import marts, rules_q, sources_q, stage_q, warehouse_q, quality_q, model_q  # noqa: F401
+    from vitals.queries import marts, rules_q, sources_q, stage_q, warehouse_q, quality_q, model_q, landing_q  # noqa: F401
     return QUERIES

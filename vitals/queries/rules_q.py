@@ -269,9 +269,13 @@ def q_weekly_to_monthly(spark, d):
     return m
 
 
-def _calendar(first=(1995, 1), last=(2001, 12)) -> list[str]:
-    out, (y, m) = [], first
-    while (y, m) <= last:
+def _calendar(spark, d) -> list[str]:
+    """Every month from the first to the last order (two scalars)."""
+    lo, hi = A.read(spark, d, "orders").agg(F.min(F.to_date("o_orderdate")), F.max(F.to_date("o_orderdate"))).first()
+    if lo is None:
+        return []
+    out, (y, m) = [], (lo.year, lo.month)
+    while (y, m) <= (hi.year, hi.month):
         out.append(f"{y:04d}-{m:02d}")
         y, m = (y + 1, 1) if m == 12 else (y, m + 1)
     return out
@@ -280,8 +284,8 @@ def _calendar(first=(1995, 1), last=(2001, 12)) -> list[str]:
 @query("wide_to_long")
 def q_wide_to_long(spark, d):
     oc = A.order_countries(spark, d).withColumn("ym", F.date_format("o_orderdate", "yyyy-MM"))
-    # pivot values come from the calendar parameters, not from a distinct job over the data
-    wide = oc.groupBy("nationkey").pivot("ym", _calendar()).agg(F.count(F.lit(1)))
+    # pivot values are the data's own calendar, not a distinct job over its months
+    wide = oc.groupBy("nationkey").pivot("ym", _calendar(spark, d)).agg(F.count(F.lit(1)))
     return reshape.wide_to_long(wide, ["nationkey"], value_name="n", date_name="fecha")
 
 

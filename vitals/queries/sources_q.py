@@ -290,7 +290,7 @@ def q_wide_csv_to_long(spark, d):
     per customer, landed back to one row per customer × day with deaths > 0."""
     import datetime as _dt
     from vitals.operators.reshape import wide_csv_to_long
-    first, last = _dt.date(1995, 1, 1), _dt.date(2001, 8, 31)
+    first, last = A.read(spark, d, "orders").agg(F.min(F.to_date("o_orderdate")), F.max(F.to_date("o_orderdate"))).first()
     days = [(first + _dt.timedelta(k)).isoformat() for k in range((last - first).days + 1)]
     o = A.read(spark, d, "orders").select("o_custkey", F.to_date("o_orderdate").alias("dia"))
     per_day = o.groupBy("o_custkey", "dia").agg(F.count(F.lit(1)).alias("n"))

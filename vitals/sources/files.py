@@ -71,10 +71,10 @@ def read_json_array(spark: SparkSession, paths, schema: T.StructType) -> DataFra
     return spark.read.schema(schema).option("multiLine", True).json(paths)
 
 
-def split_json(spark: SparkSession, folder: str) -> tuple[list[str], list[str]]:
+def split_json(spark: SparkSession, folder: str, glob: str = SUPPORTED["json"]) -> tuple[list[str], list[str]]:
     """JSON files of a folder by kind: whole-file arrays (also over many lines) and
     one record per line, told apart by the first text of each file in one job."""
-    text = spark.read.option("pathGlobFilter", SUPPORTED["json"]).text(folder)
+    text = spark.read.option("pathGlobFilter", glob).text(folder)
     first = (text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
                          F.monotonically_increasing_id().alias("row"), F.ltrim("value").alias("value"))
              .where("value <> ''").groupBy("file").agg(F.min_by(F.substring("value", 1, 1), F.struct("at", "row")).alias("c")))
@@ -135,9 +135,17 @@ def with_file_name(df: DataFrame, name: str = "archivo_origen", level: str = "fo
     return df.withColumn(name, value)
 
 
-def _probe_header(spark: SparkSession, path: str) -> tuple[str, list[str] | None, str | None]:
+def probe_headers(spark: SparkSession, paths: list[str], sep: str = ",",
+                  parallel: int = 16) -> list[tuple[str, list[str] | None, str | None]]:
+    """(path, header, error) of each file, first lines only, probed concurrently."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(paths)))) as pool:
+        return list(pool.map(lambda p: _probe_header(spark, p, sep), paths))
+
+
+def _probe_header(spark: SparkSession, path: str, sep: str = ",") -> tuple[str, list[str] | None, str | None]:
     try:
-        cols = spark.read.option("header", True).csv(path).columns  # reads the first line only
+        cols = spark.read.option("header", True).option("sep", sep).csv(path).columns  # reads the first line only
         return path, [c.strip().lstrip(BOM) for c in cols], None
     except Exception as e:  # noqa: BLE001 - an unreadable file is a reported outcome
         return path, None, type(e).__name__
@@ -151,9 +159,7 @@ def read_tolerant(spark: SparkSession, files: list[str], expected: list[str],
     aligned to the schema, one scan per distinct header. Only unreadable files
     and files without any expected column are rejected and listed. Fails only
     when no file is readable."""
-    from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(files)))) as pool:
-        probes = list(pool.map(lambda f: _probe_header(spark, f), files))
+    probes = probe_headers(spark, files, parallel=parallel)
     good = [p for p, cols, _ in probes if cols == expected]
     drifted: dict[tuple[str, ...], list[str]] = {}
     bad = []
