@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vitals.functions.rules import within_years
 from vitals.session import table_path
 
 # Period cut-points and baseline window of the driver data (1995-01 … 2001-08).
@@ -65,14 +66,17 @@ def geo_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("n_name").alias("municipio")))
 
 
-def order_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """orders with their month and the customer's nation key (orders ⋈ customer).
+def order_nation(spark: SparkSession, sf_dir: str, years: tuple[int, int] | None = None) -> DataFrame:
+    """orders with their month and the customer's nation key (orders ⋈ customer);
+    ``years`` limits the scan to a range of order dates.
 
     Only integer keys travel through this shuffle join; place names are
     attached later by ``with_geo`` (a broadcast join after the big joins or
     after aggregation), so shuffled rows stay narrow.
     """
     orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    if years:
+        orders = orders.where(within_years("o_orderdate", *years))
     customer = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     return (orders.join(customer, orders.o_custkey == customer.c_custkey)
             .select("o_orderkey",
@@ -106,8 +110,8 @@ def deaths(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("l_quantity").alias("casos")))
 
 
-def monthly_death_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Deaths counted per (departamento, municipio, anio, mes).
+def monthly_death_counts(spark: SparkSession, sf_dir: str, years: tuple[int, int] | None = None) -> DataFrame:
+    """Deaths counted per (departamento, municipio, anio, mes), of ``years`` or all.
 
     Aggregate-before-join: lineitem is reduced to one count per order key
     (map-side partial aggregation) before it meets orders, so the big join
@@ -115,7 +119,7 @@ def monthly_death_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     per_order = (read(spark, sf_dir, "lineitem")
                  .groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n")))
-    on = order_nation(spark, sf_dir)
+    on = order_nation(spark, sf_dir, years)
     by_nation = (per_order.join(on, per_order.l_orderkey == on.o_orderkey)
                  .groupBy("nationkey", "anio", "mes").agg(F.sum("n").alias("n")))
     # names attached to the aggregated rows (nation × month), then rolled up by name

@@ -7,6 +7,7 @@ rule stays inside whole-stage code generation. Small fixed maps become literal
 
 from __future__ import annotations
 
+import datetime as dt
 from itertools import chain
 
 from pyspark.sql import Column
@@ -185,6 +186,12 @@ def title_case(text) -> Column:
     return F.when(s.isNull() | (s == ""), F.lit(None).cast("string")).otherwise(titled)
 
 
+def within_years(day, first: int, last: int) -> Column:
+    """A day within whole years, as a range on the column itself, which
+    reaches the scan (a predicate on ``year(day)`` does not)."""
+    return (_c(day) >= F.lit(dt.date(first, 1, 1))) & (_c(day) < F.lit(dt.date(last + 1, 1, 1)))
+
+
 def rate_per_100k(numerator, population) -> Column:
     """F16: round(n / p * 100000, 4), ties to even; NULL when population ≤ 0 or NULL."""
     n, p = to_double(numerator), to_double(population)

@@ -13,7 +13,7 @@ from vitals.queries import query
 # ---------------------------------------------------------------- marts
 
 def observed_by_department(spark, d) -> DataFrame:
-    return M.monthly_observed(A.monthly_death_counts(spark, d), years=A.TEST_YEARS)
+    return M.monthly_observed(A.monthly_death_counts(spark, d, A.TEST_YEARS), years=A.TEST_YEARS)
 
 
 def labelled_by_department(spark, d) -> DataFrame:
@@ -22,7 +22,7 @@ def labelled_by_department(spark, d) -> DataFrame:
 
 def labelled_by_nation(spark, d) -> DataFrame:
     """World-model grain: entity = nation (municipio column), region = its region."""
-    counts = A.monthly_death_counts(spark, d)
+    counts = A.monthly_death_counts(spark, d, A.TEST_YEARS)
     obs = M.monthly_observed(counts.withColumn("miembro", F.col("municipio")),
                              entity="municipio", member="miembro", years=A.TEST_YEARS)
     regions = A.geo_catalogue(spark, d).select("municipio", F.col("departamento").alias("region"))

@@ -200,7 +200,7 @@ def q_drop_critical_nulls(spark, d):
 @query("filter_year_range")
 def q_filter_year_range(spark, d):
     o = A.read(spark, d, "orders")
-    return o.where(F.year("o_orderdate").between(1996, 1999)).select(
+    return o.where(R.within_years("o_orderdate", 1996, 1999)).select(
         "o_orderkey", F.year("o_orderdate").cast("int").alias("anio"))
 
 

@@ -185,7 +185,7 @@ def q_dictionary_sheet(spark, d):
 def q_load_replace(spark, d):
     root = scratch_path(spark, "replace")
     o = A.read(spark, d, "orders")
-    layers.write_replace(o.where(F.year("o_orderdate") <= 1998), root, "dw", "orders")
+    layers.write_replace(o.where(F.col("o_orderdate") < F.lit("1999-01-01").cast("date")), root, "dw", "orders")
     layers.write_replace(o, root, "dw", "orders")  # full replace
     return layers.read_table(spark, root, "dw", "orders")
 
