@@ -45,6 +45,7 @@ class Pieces:
                 low = min(low, score)
                 self.text_of.append(piece)
                 self._add(piece, k, score)
+        self.data_of = [x if isinstance(x, bytes) else x.replace(META, " ").encode() for x in self.text_of]
         pieces = [x for x in self.text_of if isinstance(x, str) and x]
         self._units = _FINE if all(len(_FINE.findall(x)) == 1 for x in pieces) else _COARSE
         #: what a character without a piece scores
@@ -68,6 +69,5 @@ class Pieces:
 
     def decode(self, ids) -> str:
         """The text of ids; byte pieces join to characters."""
-        out = b"".join(x if isinstance(x, bytes) else x.replace(META, " ").encode() for x in map(self.text_of.__getitem__, ids))
-        text = out.decode("utf-8", "surrogatepass")
+        text = b"".join(map(self.data_of.__getitem__, ids)).decode("utf-8", "surrogatepass")
         return text[1:] if self.prefix and text.startswith(" ") else text

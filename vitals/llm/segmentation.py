@@ -100,13 +100,25 @@ def n_best(unit: str, pieces: Pieces, n: int) -> list[tuple[float, list[int]]]:
     return out
 
 
+class _Entries(dict):
+    """Pre-token -> (score, ids, loss of the second choice), made when first asked for."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, unit: str) -> tuple[float, bytes, float]:
+        entry = self[unit] = self.make(unit)
+        return entry
+
+
 class Segmenter:
     """Keeps, per pre-token, its best score and ids and the loss of its second
     choice; the lists of those few that a text's n best change are searched."""
 
     def __init__(self, pieces: Pieces, n: int = N_BEST, most: int = 400_000):
         self.pieces, self.n, self.most = pieces, n, most
-        self.table: dict[str, tuple[float, bytes, float]] = {}
+        self.table = _Entries(self._entry)
         self.lists: dict[str, list[tuple[float, bytes]]] = {}
 
     def _entry(self, unit: str) -> tuple[float, bytes, float]:
@@ -132,15 +144,16 @@ class Segmenter:
         units, table = self.pieces.units(text), self.table
         if len(table) > self.most:
             table.clear()
-        entries = []
-        for u in units:
-            e = table.get(u)
-            if e is None:
-                e = table[u] = self._entry(u)
-            entries.append(e)
-        score, parts = sum(e[0] for e in entries), [e[1] for e in entries]
-        open_ = heapq.nsmallest(self.n - 1, ((e[2], k) for k, e in enumerate(entries)))
-        ways = [[(d, k, a) for a, (d, _) in enumerate(self._list(units[k]))] for loss, k in open_ if loss < 1e200]
+        if not units:
+            return [(0.0, b"")]
+        scores, parts, losses = zip(*map(table.__getitem__, units), strict=True)
+        score, losses, open_ = sum(scores), list(losses), []
+        for _ in range(min(self.n - 1, len(units))):  # those whose second choice costs least
+            if (loss := min(losses)) >= 1e200:
+                break
+            open_.append(losses.index(loss))
+            losses[open_[-1]] = 1e300
+        ways = [[(d, k, a) for a, (d, _) in enumerate(self._list(units[k]))] for k in open_]
         choices = heapq.nsmallest(self.n, ((sum(x[0] for x in c), c) for c in itertools.product(*ways)))
         out = []
         for loss, choice in choices:
