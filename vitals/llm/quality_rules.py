@@ -11,7 +11,7 @@ if no rule rejects it, so the order moves only the work, never the verdict
 (``reason`` names the first rule in that order that rejects).
 
 Scale. One pass over the table without a shuffle, in JVM expressions only. The
-sample is bounded by ``sample_rows`` and only orders the rules.
+sample has about ``sample_rows`` rows whatever the input, and only orders the rules.
 
 Defined results: a null text has no words and fails the base rule, as an empty
 one does; repeated rows get equal rows; a null ``doc_id`` is kept as it is; an
@@ -130,7 +130,8 @@ def order(sample: DataFrame, conditions: Mapping[str, Column]) -> list[str]:
 def cascade(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Column:
     """The CASE over columns of ``with_counts``: the rule that rejects, or null."""
     conditions = rules()
-    sample = written(with_counts(only(docs, doc_id="long", text="string").limit(sample_rows)), "quality-sample")
+    share = min(1.0, sample_rows / max(1, docs.count()))  # rows of all parts, without a shuffle
+    sample = written(with_counts(only(docs, doc_id="long", text="string").sample(share, 17)), "quality-sample")
     reason = F.when(F.col("base_failed"), F.lit("base"))
     for name in order(sample, conditions):
         reason = reason.when(conditions[name], F.lit(name))
