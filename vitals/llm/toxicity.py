@@ -60,7 +60,7 @@ FEATURES = ("exact", "stem", "misspelled", "quoted", "hits", "density")
 #: bias first; prior means of the weights
 PRIOR = np.array([-4.0, 3.0, 3.0, 1.0, -1.5, 1.0, 0.5])
 WINDOW_WORDS = 5
-MAX_STATES = 20_000
+MAX_STATES = 120_000
 
 
 # --------------------------------------------------------------------- the automaton
@@ -91,7 +91,7 @@ class Lexicon:
             self.reach[node] = max([self.word_edits[node], 0, *(self.reach[k] for k in self.child[node].values())])
         start = self._with_deletions({0: 0})
         self.states: dict[frozenset, int] = {}
-        self.sets: list[dict[int, int]] = []
+        self.sets: list[frozenset] = []
         self.steps: list[dict[str, int]] = []
         self.kinds: list[int] = []
         self.begin = self._state(start)
@@ -117,7 +117,7 @@ class Lexicon:
                 if self.stem[node] and e == 0:
                     kind = max(kind, 2)
             self.states[key] = len(self.sets)
-            self.sets.append(at)
+            self.sets.append(key)
             self.steps.append({})
             self.kinds.append(kind)
         return self.states[key]
@@ -128,7 +128,7 @@ class Lexicon:
         def put(node: int, e: int) -> None:
             if e <= self.reach[node] and out.get(node, 99) > e:
                 out[node] = e
-        for node, e in self.sets[state].items():
+        for node, e in self.sets[state]:
             for letter, k in self.child[node].items():
                 put(k, e + (letter != c))  # same letter or another
             put(node, e + 1)  # a letter too many
