@@ -110,6 +110,23 @@ def test_neighbours(spark, sf_small):
     assert [v for _, v, _ in got[1000]][:9] == [0, *range(1001, 1009)]
 
 
+@pytest.mark.parametrize("n", [40, 600])
+def test_neighbours_beside_repeated_rows(spark, n):
+    """The nearest row stands twelve times in the table, and one id has twelve vectors."""
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((n, 8))
+    x[1] = x[0] + 0.01
+    rows = [(i, x[i].tolist()) for i in range(n)]
+    rows += rows[1:2] * 11 + [(2, (x[0] + 0.02 + 0.001 * k).tolist()) for k in range(12)]
+    d = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [r.vec_id for r in V.nearest(d, F.col("id") == 0).orderBy("rank").collect()]
+    best = {}
+    for i, v in rows[1:]:
+        best[i] = min(best.get(i, np.inf), np.sqrt(((np.array(v) - x[0]) ** 2).sum()))
+    want = sorted(best, key=lambda i: (best[i], i))[:10]
+    assert len(got) == 10 and got[:2] == [1, 2] and len(set(got) & set(want)) >= 9
+
+
 def test_neighbours_few_and_none(spark):
     d = spark.createDataFrame([(0, [1.0, 2.0]), (1, [2.0, 1.0]), (2, [1.0, 2.0])], "vec_id long, embedding array<float>")
     assert [(r.query_id, r.rank, r.vec_id) for r in V.nearest(d, F.col("id") == 0).orderBy("rank").collect()] == [(0, 1, 2), (0, 2, 1)]

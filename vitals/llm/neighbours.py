@@ -137,12 +137,16 @@ def _search(size: int, top: int):
                 ids = np.concatenate([i for i, _ in held])
                 x = np.concatenate([v for _, v in held])
                 q_ids, found, scores = [], [], []
+                several = len(np.unique(ids)) < len(ids)  # an id with several vectors counts by its nearest
                 for q_id, q in queries:
                     d = x - q
                     d = np.sqrt(np.einsum("ij,ij->i", d, d))
                     d[ids == q_id] = np.inf
                     some = np.arange(len(d))
-                    if len(d) > top:
+                    if several:
+                        some = np.lexsort((ids, d))
+                        some = some[np.unique(ids[some], return_index=True)[1]]
+                    elif len(d) > top:
                         some = np.flatnonzero(d <= np.partition(d, top - 1)[top - 1])
                     some = some[np.lexsort((ids[some], d[some]))][:top]
                     some = some[np.isfinite(d[some])]
@@ -195,8 +199,11 @@ def nearest(rows: DataFrame, is_query: Column, top: int = TOP, tables: int = TAB
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     size, n = sizes
     own = own.where(F.size("vector") == size)
+    # repeated rows are merged first, with map-side combine: a row repeated often is one row from here on
     copies = Window.partitionBy(F.xxhash64("vector"), F.xxhash64(F.lit(1), "vector")).orderBy("id")
-    stored = written(own.withColumn("_rank", F.dense_rank().over(copies)).where(F.col("_rank") <= top + 1).drop("_rank"), "vectors")
+    stored = written(own.groupBy("id", "vector").agg(F.count(F.lit(1)).alias("_count"))
+                     .withColumn("_rank", F.dense_rank().over(copies)).where(F.col("_rank") <= top + 1).select("id", "vector"), "vectors")
+    n = stored.count()
     queries = written(own.where(is_query).dropDuplicates(["id"]), "vector-queries")
 
     sample = np.array([r[0] for r in own.select("vector").limit(SAMPLE).collect()], dtype=float)
