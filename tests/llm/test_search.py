@@ -147,6 +147,29 @@ def test_neighbours_recall_on_the_table(spark, sf_small):
     assert np.mean(share) >= 0.9
 
 
+def exact_neighbours(ids, x, q):
+    dist = np.sqrt(((x - x[ids == q][0]) ** 2).sum(1))
+    dist[ids == q] = np.inf
+    return dist, ids[np.lexsort((ids, dist))[:10]].tolist()
+
+
+@pytest.mark.parametrize("noise", [0.3, 0.5])
+def test_neighbours_beside_a_loose_group(spark, noise):
+    """A third of the rows, the first ones, lie around one vector: the others' neighbours are farther."""
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((2400, 64))
+    x[:800] = x[0] + noise * rng.standard_normal((800, 64))
+    x /= np.sqrt((x ** 2).sum(1))[:, None]
+    ids = np.arange(2400)
+    d = spark.createDataFrame([(int(i), x[i].tolist()) for i in ids], "vec_id long, embedding array<double>")
+    got = collections.defaultdict(set)
+    for r in V.nearest(d, F.col("id") % 40 == 0).collect():
+        got[r.query_id].add(r.vec_id)
+    share = {q: len(got[q] & set(exact_neighbours(ids, x, q)[1])) / 10 for q in range(0, 2400, 40)}
+    assert np.mean([s for q, s in share.items() if q >= 800]) >= 0.9
+    assert np.mean([s for q, s in share.items() if q < 800]) >= 0.9
+
+
 def edits(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):

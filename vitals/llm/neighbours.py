@@ -8,12 +8,16 @@ of deviation r moves the query's place there; the product over the projections i
 a bucket's chance, and buckets are taken best first until their chances sum to
 ``TARGET``. Two tables of 0.8 each find a neighbour with probability 0.96. Each
 bucket returns its nearest rows for each query that visits it; the tables'
-candidates are merged and ranked by exact distance. A query with fewer results
-than asked for (tiny tables, empty buckets) searches all rows, in blocks.
+candidates are merged and ranked by exact distance.
 
-``r`` and ``W`` come from a sample of ``SAMPLE`` rows (the distance of the k-th
-neighbour, read off the sample's pair distances); ``K`` grows with the logarithm
-of the number of rows. All rows are indexed.
+``r`` is a matter of each query. At first it is estimated from a random sample of
+``SAMPLE`` rows (the query's k-th distance in the sample, drawn in by the local
+dimension where the table is larger than the sample). A query whose k-th result
+lies beyond that r visits again with r at its k-th result, which no true neighbour
+exceeds. A query whose chances stay below ``TARGET`` after ``MAX_PROBES`` visits,
+or that finds too few rows, searches all rows, in blocks. ``W`` comes from the
+median r of the sample's rows; ``K`` grows with the logarithm of the number of
+rows. All rows are indexed.
 
 Scale. Copies of a vector: only the k + 1 smallest ids of each can be among any
 answer, so the others leave early, with map-side combine. Buckets of more than
@@ -54,7 +58,7 @@ class Hashing:
     def __init__(self, size: int, rows: int, r: float, tables: int = TABLES, target: float = TARGET, seed: int = 7):
         rng = np.random.default_rng(seed)
         self.k = min(12, max(3, round(math.log2(max(2, rows)) / 3)))
-        self.r, self.width, self.tables, self.target = r, 1.8 * r, tables, target
+        self.width, self.tables, self.target = 1.8 * r, tables, target
         self.a = rng.standard_normal((tables, size, self.k))
         self.b = rng.uniform(0, self.width, (tables, self.k))
 
@@ -71,11 +75,13 @@ class Hashing:
                 out = out ^ (out >> np.uint64(29))
         return out.view(np.int64)
 
-    def probes(self, place: np.ndarray) -> np.ndarray:
-        """Bins to visit from a place, best first, until the target is reached."""
+    def probes(self, place: np.ndarray, r: float) -> np.ndarray:
+        """Bins to visit from a place, best first, until a neighbour at distance r
+        is met with the chance of the target; none if that takes too many."""
+        r = max(r, 1e-6 * self.width)
         home, options = np.floor(place), []
         for x in place - home:
-            edge = [0.5 * math.erf((d - x) * self.width / self.r / math.sqrt(2)) for d in range(-3, 5)]
+            edge = [0.5 * math.erf((d - x) * self.width / r / math.sqrt(2)) for d in range(-3, 5)]
             options.append(sorted(((hi - lo, d) for lo, hi, d in zip(edge, edge[1:], range(-3, 4), strict=False)), reverse=True))
         start = (0,) * len(place)
         heap, seen, out, sum_ = [(-math.prod(o[0][0] for o in options), start)], {start}, [], 0.0
@@ -89,7 +95,7 @@ class Hashing:
                     if nxt not in seen:
                         seen.add(nxt)
                         heapq.heappush(heap, (p * options[j][i + 1][0] / options[j][i][0], nxt))
-        return home + np.asarray(out)
+        return home + np.asarray(out) if sum_ >= self.target else np.zeros((0, len(place)))
 
 
 def usable(vector: Column) -> Column:
@@ -104,19 +110,33 @@ def _stack(column: pa.ChunkedArray | pa.Array, size: int) -> np.ndarray:
 _FILED = "table int, key long, id long, vector array<double>"
 
 
+def _radius(distances: np.ndarray, rows: int, top: int) -> float:
+    """The distance of the top-th neighbour among ``rows`` rows, estimated from the
+    distances to a sample of them."""
+    m = len(distances)
+    if not m:
+        return 1.0
+    near = np.sort(np.partition(distances, min(2 * top, m) - 1)[:2 * top])
+    r, apart = float(near[min(top, m) - 1]), near[near > 1e-9]
+    spread = float(np.mean(np.log(near[-1] / apart))) if len(apart) else 0.0  # one over the local dimension
+    return r * min(1.0, m / rows) ** min(1.0, spread)
+
+
 def _file(hashing: Hashing, size: int, probing: bool):
+    """Rows (id, vector) under their buckets; if probing, rows (id, vector, radius)
+    under the buckets they visit."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
-            x = _stack(b.column(1), size)
+            x, radii = _stack(b.column(1), size), b.column(2).to_numpy() if probing else None
             for t in range(hashing.tables):
                 places = hashing.places(x, t)
                 if not probing:
                     yield filed(t, Hashing.keys(np.floor(places)), b.column(0), b.column(1))
                     continue
                 for i in range(0, len(x), 64):
-                    bins = [hashing.probes(p) for p in places[i:i + 64]]
+                    bins = [hashing.probes(p, r) for p, r in zip(places[i:i + 64], radii[i:i + 64], strict=True)]
                     who = pa.array(np.repeat(np.arange(i, i + len(bins)), [len(p) for p in bins]))
                     yield filed(t, Hashing.keys(np.concatenate(bins)), b.column(0).take(who), b.column(1).take(who))
 
@@ -126,6 +146,16 @@ def _file(hashing: Hashing, size: int, probing: bool):
     return run
 
 
+def _estimated(ids: np.ndarray, sample: np.ndarray, size: int, rows: int, top: int):
+    """Queries (id, vector) with their first radius, a little widened."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            radii = [1.05 * _radius(np.sqrt(((sample[ids != i] - v) ** 2).sum(1)), rows, top)
+                     for i, v in zip(b.column(0).to_pylist(), _stack(b.column(1), size), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(radii, pa.float64())], names=["id", "vector", "radius"])
+    return run
+
+
 def _search(size: int, top: int):
     """Rows sorted by bucket part, its queries first: each query's nearest rows there."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,36 +236,60 @@ def nearest(rows: DataFrame, is_query: Column, top: int = TOP, tables: int = TAB
     n = stored.count()
     queries = written(own.where(is_query).dropDuplicates(["id"]), "vector-queries")
 
-    sample = np.array([r[0] for r in own.select("vector").limit(SAMPLE).collect()], dtype=float)
+    drawn = stored.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()
+    ids, sample = np.array([r["id"] for r in drawn]), np.array([r["vector"] for r in drawn], dtype=float)
     square = (sample ** 2).sum(1)
-    pairs = np.sqrt(np.maximum(0, square[:, None] + square - 2 * sample @ sample.T))[np.triu_indices(len(sample), 1)]
-    pairs = pairs[pairs > 1e-9]
-    r = float(np.quantile(pairs, min(0.5, top / n))) if len(pairs) else 1.0
-    hashing = Hashing(size, n, r, tables, target)
+    pairs = np.sqrt(np.maximum(0, square[:, None] + square - 2 * sample @ sample.T))
+    radii = [_radius(d[ids != i], n, top) for i, d in zip(ids, pairs, strict=True)]
+    radii = [r for r in radii if r > 1e-6]
+    hashing = Hashing(size, n, float(np.median(radii)) if radii else 1.0, tables, target)
 
     index = written(stored.mapInArrow(_file(hashing, size, False), _FILED), "vector-index")
-    visits = queries.mapInArrow(_file(hashing, size, True), _FILED)
     large = written(index.groupBy("table", "key").count().where(F.col("count") > BLOCK)
                     .select("table", "key", F.ceil(F.col("count") / BLOCK).cast("int").alias("parts")), "vector-buckets")
-    if large.isEmpty():
-        index, visits = (x.withColumn("part", F.lit(0)) for x in (index, visits))
-    else:
+    split = not large.isEmpty()
+    if split:
         index = (index.join(large, ["table", "key"], "left")
                  .withColumn("part", F.pmod(F.xxhash64("id"), F.coalesce("parts", F.lit(1))).cast("int")).drop("parts"))
-        visits = (visits.join(large, ["table", "key"], "left")
-                  .withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts"))
-    found = written(_meet(visits, index, size, top).groupBy("query_id", "vec_id").agg(F.min("score").alias("score")), "vector-found")
-
-    # queries that found too few rows search all of them, in blocks
-    enough = found.groupBy("query_id").count().where(F.col("count") >= top)
-    short = written(queries.join(enough, queries["id"] == enough["query_id"], "left_anti"), "vector-short")
-    if not short.isEmpty():
-        blocks = max(1, -(-n // BLOCK))
-        every = stored.select(F.lit(0).alias("table"), F.lit(0).cast("long").alias("key"),
-                              F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("part"), "id", "vector")
-        asked = short.select(F.lit(0).alias("table"), F.lit(0).cast("long").alias("key"),
-                             F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("part"), "id", "vector")
-        found = found.unionByName(_meet(asked, every, size, top)).groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    else:
+        index = index.withColumn("part", F.lit(0))
+
+    def visited(asked: DataFrame) -> DataFrame:
+        """What queries (id, vector, radius) find in the buckets they visit."""
+        visits = asked.select("id", "vector", "radius").mapInArrow(_file(hashing, size, True), _FILED)
+        if split:
+            visits = (visits.join(large, ["table", "key"], "left")
+                      .withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts"))
+        else:
+            visits = visits.withColumn("part", F.lit(0))
+        return written(merged(_meet(visits, index, size, top)), "vector-found")
+
+    def merged(some: DataFrame) -> DataFrame:
+        best = Window.partitionBy("query_id").orderBy("score", "vec_id")
+        return (some.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+                .withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= top).drop("_rank"))
+
+    queries = written(queries.select("id", "vector").mapInArrow(_estimated(ids, sample, size, n, top), "id long, vector array<double>, radius double"),
+                      "vector-radii")
+    found = visited(queries)
+    # queries whose last result lies beyond the radius they covered (or that found too few: null)
+    reached = found.groupBy("query_id").agg(F.max("score").alias("last"), F.count(F.lit(1)).alias("c")).where(F.col("c") >= top)
+    beyond = written(queries.join(reached, queries["id"] == reached["query_id"], "left").where("last IS NULL OR last > radius")
+                     .select("id", "vector", F.col("last").alias("radius")), "vector-beyond")
+    if not beyond.isEmpty():
+        wider = visited(beyond.where("radius IS NOT NULL"))
+        found = found.unionByName(wider)
+        # those that no number of visits covers search all rows, in blocks
+        enough = wider.groupBy("query_id").count().where(F.col("count") >= top)
+        short = written(beyond.join(enough, beyond["id"] == enough["query_id"], "left_anti").select("id", "vector"), "vector-short")
+        if not short.isEmpty():
+            blocks = max(1, -(-n // BLOCK))
+            every = stored.select(F.lit(0).alias("table"), F.lit(0).cast("long").alias("key"),
+                                  F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("part"), "id", "vector")
+            asked = short.select(F.lit(0).alias("table"), F.lit(0).cast("long").alias("key"),
+                                 F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("part"), "id", "vector")
+            found = found.unionByName(_meet(asked, every, size, top))
+        found = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
