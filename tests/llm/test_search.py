@@ -195,6 +195,20 @@ def test_automaton_against_edit_distance():
     assert [lexicon.kind(w) for w in ("loweixyz", "lowei", "lowe", "", "alowei")] == [2, 2, 0, 0, 0]
 
 
+def test_misspelled_stems_and_signs():
+    n = 100
+    counts = {"idiot"[:k]: (60, 0) for k in range(3, 6)} | {"idiots": (25, 0), "idioti": (15, 0), "idiot|": (30, 0)}
+    words, stems = T.choose_terms(counts, n, n)
+    assert "idiot" in words and stems == ["idiot"]
+    lexicon = T.Lexicon(words, stems)
+    kinds = {w: lexicon.kind(w) for w in ("idiot", "idiots", "idiotic", "iddiots", "id1ots", "idots", "idit", "adiot", "idiosyncratic", "idiom", "patriots")}
+    assert kinds == {"idiot": 3, "idiots": 2, "idiotic": 2, "iddiots": 1, "id1ots": 1, "idots": 1, "idit": 1, "adiot": 1,
+                     "idiosyncratic": 0, "idiom": 1, "patriots": 0}
+    lexicon = T.Lexicon(["stupid"], ["idiot"])
+    for text, hits in (("a st*pid id1ot", 2), ("ID!OTS", 1), ("x1stupid you@idiots", 2), ("id1ots, st$pid", 2), ("st-pid id ot", 0)):
+        assert abs(T.features(text, lexicon)[4] - np.log1p(hits)) < 1e-9, text
+
+
 def test_quotation_window():
     text = 'he said the word "idiot" is a word'
     spans = [m.span() for m in T._WORD.finditer(text)]

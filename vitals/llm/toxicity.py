@@ -5,13 +5,16 @@ Learning. From a bounded sample of labelled training documents, every word start
 documents that hold it. Entries that toxic documents hold far more often than
 clean ones become the lexicon: of a family of starts, the longest that keeps
 nearly all its toxic documents, as a whole word if the documents hold it as such,
-else as a stem.
+else as a stem, with the bare word beside it where that is strong by itself.
 
 Matching. The lexicon is a trie. A Levenshtein automaton (one edit for entries of
-five letters and more, two for ten and more; insertion, deletion, substitution)
-runs over the trie and over the word at once; its product is made deterministic
+five letters and more, two for ten and more; insertion, deletion, substitution, so
+that two letters changed about are two edits) runs over the trie and over the word at once; its product is made deterministic
 state by state when first needed, so that a word is read once, letter by letter,
-and most words die after two or three.
+and most words die after two or three. A stem allows its edits between its first and
+its last letter, which have to be there: a changed end would be another, shorter stem.
+One or two digits or signs between letters belong to the word; where such a word is no
+hit, its pieces are tried.
 
 Context. A hit counts as quoted or as abuse by a score of the window of words
 around it: quotation marks, reporting verbs and words about words speak for
@@ -55,7 +58,8 @@ QUOTING = frozenset("called calling quote quoted quotes said say says term word
 #: FIXED VALUES: words that address somebody
 ADDRESSING = frozenset("you your youre u du dich dein tu toi ton te eres usted".split())
 _QUOTES = "\"'`«»“”„‘’‹›"
-_WORD = re.compile(r"[^\W\d_]+")
+_WORD = re.compile(r"[^\W\d_]+(?:[\d@$!*#]{1,2}[^\W\d_]+)*")
+_PIECE = re.compile(r"[^\W\d_]+")
 FEATURES = ("exact", "stem", "misspelled", "quoted", "hits", "density")
 #: bias first; prior means of the weights
 PRIOR = np.array([-4.0, 3.0, 3.0, 1.0, -1.5, 1.0, 0.5])
@@ -66,43 +70,49 @@ MAX_STATES = 120_000
 # --------------------------------------------------------------------- the automaton
 
 class Lexicon:
-    """Trie of the entries with the product automaton over it."""
+    """Tries of the words (root 0) and of the stems (root 1) with the product
+    automaton over them."""
 
     def __init__(self, words: Iterable[str], stems: Iterable[str]):
-        self.child: list[dict[str, int]] = [{}]
-        self.word_edits: list[int] = [-1]  # edits an entry ending here allows
-        self.stem: list[bool] = [False]
-        for entries, stem in ((words, False), (stems, True)):
+        self.child: list[dict[str, int]] = [{}, {}]
+        self.edits: list[int] = [-1, -1]  # edits an entry ending here allows
+        self.stem: list[bool] = [False, True]
+        for root, entries in enumerate((words, stems)):
             for w in sorted(set(entries)):
-                node = 0
+                node = root
                 for c in w:
                     if c not in self.child[node]:
                         self.child[node][c] = len(self.child)
                         self.child.append({})
-                        self.word_edits.append(-1)
-                        self.stem.append(False)
+                        self.edits.append(-1)
+                        self.stem.append(root == 1)
                     node = self.child[node][c]
-                if stem:
-                    self.stem[node] = True
-                else:
-                    self.word_edits[node] = 0 if len(w) < 5 else 1 if len(w) < 10 else 2
-        self.reach = [0] * len(self.child)  # most edits any word entry below allows
+                self.edits[node] = 0 if len(w) < 5 else 1 if len(w) < 10 else 2
+        below = [0] * len(self.child)  # most edits any entry further down allows
         for node in range(len(self.child) - 1, -1, -1):
-            self.reach[node] = max([self.word_edits[node], 0, *(self.reach[k] for k in self.child[node].values())])
-        start = self._with_deletions({0: 0})
+            below[node] = max([0, *(max(self.edits[k], below[k]) for k in self.child[node].values())])
+        #: most edits with which a node can be of use, and with which an edit may lead there
+        self.reach = [max(e, d) for e, d in zip(self.edits, below, strict=True)]
+        self.bent = [d if stem else r for d, r, stem in zip(below, self.reach, self.stem, strict=True)]
+        self._forget()
+
+    def _forget(self) -> None:
         self.states: dict[frozenset, int] = {}
         self.sets: list[frozenset] = []
         self.steps: list[dict[str, int]] = []
-        self.kinds: list[int] = []
-        self.begin = self._state(start)
+        self.kinds: list[int] = []  # of a word that ends here
+        self.begun: list[int] = []  # of a word that goes on from here in any way
+        self.begin = self._state(self._with_deletions({0: 0, 1: 0}))
 
     def _with_deletions(self, at: dict[int, int]) -> dict[int, int]:
         """Letters of an entry that the word leaves out."""
         todo = list(at.items())
         while todo:
             node, e = todo.pop()
+            if node == 1:
+                continue
             for k in self.child[node].values():
-                if e + 1 <= self.reach[k] and at.get(k, 99) > e + 1:
+                if e + 1 <= self.bent[k] and at.get(k, 99) > e + 1:
                     at[k] = e + 1
                     todo.append((k, e + 1))
         return at
@@ -110,36 +120,41 @@ class Lexicon:
     def _state(self, at: dict[int, int]) -> int:
         key = frozenset(at.items())
         if key not in self.states:
-            kind = 0
+            kind = begun = 0
             for node, e in at.items():
-                if self.word_edits[node] >= e:
-                    kind = max(kind, 3 if e == 0 else 1)
-                if self.stem[node] and e == 0:
-                    kind = max(kind, 2)
+                if self.edits[node] >= e:
+                    if self.stem[node]:
+                        begun = max(begun, 2 if e == 0 else 1)
+                    else:
+                        kind = max(kind, 3 if e == 0 else 1)
             self.states[key] = len(self.sets)
             self.sets.append(key)
             self.steps.append({})
-            self.kinds.append(kind)
+            self.kinds.append(max(kind, begun))
+            self.begun.append(begun)
         return self.states[key]
 
     def _step(self, state: int, c: str) -> int:
         out: dict[int, int] = {}
 
-        def put(node: int, e: int) -> None:
-            if e <= self.reach[node] and out.get(node, 99) > e:
+        def put(node: int, e: int, most: int) -> None:
+            if e <= most and out.get(node, 99) > e:
                 out[node] = e
         for node, e in self.sets[state]:
             for letter, k in self.child[node].items():
-                put(k, e + (letter != c))  # same letter or another
-            put(node, e + 1)  # a letter too many
+                if letter == c:
+                    put(k, e, self.reach[k])
+                elif node != 1:
+                    put(k, e + 1, self.bent[k])  # another letter
+            if node != 1:
+                put(node, e + 1, self.bent[node])  # a letter too many
         self.steps[state][c] = nxt = self._state(self._with_deletions(out)) if out else -1
         return nxt
 
     def kind(self, word: str) -> int:
         """3 exact, 2 begins with a stem, 1 misspelled, 0 none."""
         if len(self.sets) > MAX_STATES:  # bounded: made again when needed
-            self.states, self.sets, self.steps, self.kinds = {}, [], [], []
-            self.begin = self._state(self._with_deletions({0: 0}))
+            self._forget()
         state, found = self.begin, 0
         for c in word:
             try:
@@ -148,8 +163,8 @@ class Lexicon:
                 state = self._step(state, c)
             if state < 0:
                 return found
-            if self.kinds[state] == 2:
-                found = 2
+            if self.begun[state] > found:
+                found = self.begun[state]
         return max(found, self.kinds[state])
 
 
@@ -163,7 +178,10 @@ def features(text: str, lexicon: Lexicon) -> list[float]:
         w = lower[a:b]
         k = known.get(w)
         if k is None:
-            k = known[w] = lexicon.kind(w)
+            k = lexicon.kind(w)
+            if not k and not w.isalpha():
+                k = max(map(lexicon.kind, _PIECE.findall(w)))
+            known[w] = k
         if k:
             hits.append((i, k))
     count = {1: 0, 2: 0, 3: 0}
@@ -218,6 +236,8 @@ def choose_terms(counts: dict[str, tuple[int, int]], n_toxic: int, n_clean: int,
             at = best = max(below, key=lambda x: starts[x])
         whole = good.get(best + "|", (0, 0))[0]
         (words if whole >= 0.95 * full else stems).append((full, best))
+        if whole < 0.95 * full and whole and len(best) >= 5:
+            words.append((whole, best))  # the stem's bare form, with edits anywhere
     # whole words whose starts are shared with clean words
     taken = {w for _, w in words}
     for k, v in good.items():
