@@ -73,6 +73,16 @@ def test_near_empty_and_drop(spark):
     assert {r.doc_id for r in kept.collect()} == {i for i, (_, c) in brute_groups(rows, 4).items() if i == c}
 
 
+def test_drop_near_keeps_rows_without_id(spark):
+    """Rows without an id and several texts under one id are documents of their own."""
+    a, b, c, e = (" ".join(f"{x}{k}" for k in range(60)) for x in "abce")
+    rows = [(None, a), (None, b), (None, b), (5, b + " more"), (7, c), (7, e + " and some more words here"), (9, c + " again"), (None, None), (8, c)]
+    kept = N.drop_near(frames.docs(spark, rows, clash=True).repartition(3))
+    assert kept.columns == frames.docs(spark, clash=True).columns
+    want = [(None, a), (5, b + " more"), (7, c), (7, e + " and some more words here"), (None, None)]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(want, key=str)
+
+
 def test_signature_distance_guarantee():
     """Signatures that differ in fewer than 2 * CHUNKS components share a key."""
     rng = np.random.default_rng(1)
