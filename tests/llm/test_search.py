@@ -268,6 +268,20 @@ def test_main_text():
     assert main_text("<article><p>Is.</p><p>" + "long " * 30_000 + "</p></article>").count("long") == 30_000
 
 
+@pytest.mark.parametrize("n", [2, 60])
+def test_main_text_keeps_a_layout_at_any_length(n):
+    prose = [f"Paragraph {k} of the text, with a comma, and enough words to count as prose." for k in range(n)]
+    body = "".join(f"<p>{p}</p>" for p in prose)
+    want = ["The title", *prose, "A short note at the end of it all."]
+    links = "".join(f"<li><a href=x>Somewhere else entirely {k}</a></li>" for k in range(9))
+    for tag in ("article", "main"):
+        page = f"<body><nav>Menu</nav><{tag}><h1>The title</h1><div>{body}</div><section><p>{want[-1]}</p></section></{tag}><footer>End</footer>"
+        assert main_text(page) == " ".join(want)
+    # without article or main: short sections beside a long one, and a heading beside the wrapper
+    page = f"<body><h1>The title</h1><div><div><section>{body}</section><section><p>{want[-1]}</p></section></div></div><ul>{links}</ul>"
+    assert main_text(page) == " ".join(want)
+
+
 def test_pages(spark):
     rows = [(1, "u", PAGE), (2, None, None), (None, "v", ""), (1, "u", PAGE)]
     d = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, text string")

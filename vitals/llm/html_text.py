@@ -7,8 +7,11 @@ parts, scripts, styles) are cut. Every run of text of some length gives points f
 itself, its commas and its length to the element around it, fully to a paragraph's
 parent and half to its grandparent; a container's score is its points, a bonus for
 ``article`` and ``main``, times the share of its text that lies outside links. The
-best container is kept with those of its siblings that score well or are
-paragraphs of prose. All text blocks in what is kept, short ones as well, make up
+best container gives way to the article or main around it, or else to its parents
+below the body as long as most of their text is prose, so that a layout keeps the
+same parts at any length. It is kept with those of its siblings that are headings,
+score well or are paragraphs of prose, and outside articles with all whose text lies
+mostly outside links. All text blocks in what is kept, short ones as well, make up
 the result: character references decoded, white space inside a block as one space,
 blocks joined in page order by one space.
 
@@ -43,6 +46,7 @@ _CUT = frozenset("aside button dialog footer form head iframe menu nav noscript
 _SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
          "option": {"option"}, "p": {"p"}, "body": {"head"}}
 _SCOPE = frozenset("ul ol dl table body html article main section div td th select".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 _TEXT = frozenset("article main section div body td center".split())
 #: FIXED VALUES: names of classes, ids and roles of what is no article
 _NAMES = re.compile(r"""(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|banner|promo\w*|sidebar|comments?|respond|disqus|notices?|alert|
@@ -137,8 +141,8 @@ class Page:
         return len(self.tag) - 1
 
 
-def _score(page: Page) -> tuple[list[float], list[bool], list[int]]:
-    """Scores, what is cut, and text lengths of the elements."""
+def _score(page: Page) -> tuple[list[float], list[bool], list[int], list[int]]:
+    """Scores, what is cut, and lengths of the elements' text and links."""
     n = len(page.tag)
     holds = [t in ("article", "main") for t in page.tag]
     size, inside, raw = [0] * n, [0] * n, [0.0] * n
@@ -177,29 +181,47 @@ def _score(page: Page) -> tuple[list[float], list[bool], list[int]]:
         if not cut[k] and kept[k]:
             bonus = 25 if page.tag[k] in ("article", "main") else 0
             score[k] = (raw[k] + bonus) * (1 - links[k] / kept[k])
-    return score, cut, kept
+    return score, cut, kept, links
 
 
 def main_text(source: str | None) -> str:
     page = Page(source or "")
-    score, cut, size = _score(page)
+    score, cut, size, links = _score(page)
     top = max(range(len(score)), key=lambda k: (score[k], -k))
     if score[top] <= 0:
         top = 0
-    chosen = [False] * len(score)
-    chosen[top] = True
+    chosen, dropped = [False] * len(score), [False] * len(score)
     if top > 0:
         bar = max(10.0, 0.2 * score[top])
         own = [0] * len(score), [0] * len(score)
-        for k, text, links in page.runs:
+        for k, text, in_links in page.runs:
             own[0][k] += len(text)
-            own[1][k] += links
+            own[1][k] += in_links
+        around = top
+        while around > 0 and page.tag[around] not in ("article", "main"):
+            around = page.parent[around]
+        if around > 0:
+            top = around  # nothing around the best element is cut
+        else:
+            prose = [0] * len(score)
+            for k, text, in_links in page.runs:
+                if not cut[k] and len(text) >= LEAST_RUN and 4 * in_links < len(text):
+                    prose[k] += len(text)
+            for k in range(len(score) - 1, 0, -1):
+                prose[page.parent[k]] += prose[k]
+            while (up := page.parent[top]) > 0 and page.tag[up] != "body" and 2 * prose[up] > size[up]:
+                for k in range(up + 1, len(score)):
+                    if k != top and page.parent[k] == up and page.tag[k] not in _HEADINGS:
+                        dropped[k] = 2 * links[k] > size[k]
+                top = up
         for k in range(1, len(score)):
             if k != top and page.parent[k] == page.parent[top] and not cut[k]:
-                prose = page.tag[k] == "p" and own[0][k] > 80 and own[1][k] < 0.25 * own[0][k]
-                chosen[k] = score[k] >= bar or prose
+                some = page.tag[k] == "p" and own[0][k] > 80 and own[1][k] < 0.25 * own[0][k]
+                plain = around == 0 and 4 * links[k] < size[k]
+                chosen[k] = score[k] >= bar or some or plain or page.tag[k] in _HEADINGS
+    chosen[top] = True
     for k in range(1, len(score)):
-        chosen[k] = chosen[k] or chosen[page.parent[k]]
+        chosen[k] = (chosen[k] or chosen[page.parent[k]]) and not dropped[k]
     return " ".join(text for k, text, _ in page.runs if chosen[k] and not cut[k])
 
 
