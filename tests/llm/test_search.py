@@ -180,6 +180,16 @@ def test_neighbours_beside_a_loose_group(spark, noise):
     assert np.mean([s for q, s in share.items() if q < 800]) >= 0.9
 
 
+@pytest.mark.parametrize("rows", [2**20, 2**28, 2**40])
+def test_probes_reach_the_target(rows):
+    """At any number of rows the visits reach the target, also a little beyond the median radius."""
+    h, rng = V.Hashing(4, rows, 1.0), np.random.default_rng(6)
+    for _ in range(5):
+        place = rng.uniform(0, 1, h.k)
+        assert all(0 < len(h.probes(place, r)) <= V.MAX_PROBES for r in (0.5, 1.0, 1.1))
+    assert len(h.probes(np.full(h.k, 0.5), 50.0)) == 0  # out of reach: left to the exact search
+
+
 def edits(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):

@@ -17,7 +17,8 @@ lies beyond that r visits again with r at its k-th result, which no true neighbo
 exceeds. A query whose chances stay below ``TARGET`` after ``MAX_PROBES`` visits,
 or that finds too few rows, searches all rows, in blocks. ``W`` comes from the
 median r of the sample's rows; ``K`` grows with the logarithm of the number of
-rows. All rows are indexed.
+rows up to ``MAX_K``, beyond which ``MAX_PROBES`` visits would not reach the target
+for an r a tenth above the median. All rows are indexed.
 
 Scale. Copies of a vector: only the k + 1 smallest ids of each can be among any
 answer, so the others leave early, with map-side combine. Buckets of more than
@@ -50,6 +51,7 @@ TARGET = 0.8
 SAMPLE = 2_000
 BLOCK = 4_096
 MAX_PROBES = 4_096
+MAX_K = 8
 
 
 class Hashing:
@@ -57,7 +59,7 @@ class Hashing:
 
     def __init__(self, size: int, rows: int, r: float, tables: int = TABLES, target: float = TARGET, seed: int = 7):
         rng = np.random.default_rng(seed)
-        self.k = min(12, max(3, round(math.log2(max(2, rows)) / 3)))
+        self.k = min(MAX_K, max(3, round(math.log2(max(2, rows)) / 3)))
         self.width, self.tables, self.target = 1.8 * r, tables, target
         self.a = rng.standard_normal((tables, size, self.k))
         self.b = rng.uniform(0, self.width, (tables, self.k))
