@@ -1,4 +1,4 @@
-"""Landing jobs (L1, L2, L4, L7): files of one source, whatever their drift, as one
+"""Landing jobs (L1, L2, L4): files of one source, whatever their drift, as one
 sandbox table with provenance.
 
 A job is: probe headers (S11) → read each distinct layout in one scan → align
