@@ -1,4 +1,5 @@
-"""Pieces of a SentencePiece model as a trie, and a text's pre-tokens.
+"""Pieces of a SentencePiece model as a trie, and a text's pre-tokens: its runs
+between neighbouring characters that no piece joins.
 
 Byte-pair models carry merge ranks in the place of log-probabilities; by Zipf's
 law a piece of rank r scores -ln(r + 2). Characters without a piece of their own
@@ -8,13 +9,10 @@ fall back to their bytes, as does the meta symbol itself where a text holds it.
 from __future__ import annotations
 
 import math
-import re
+
+import numpy as np
 
 META = "▁"
-#: a pre-token: meta symbols with what follows up to the next one
-_COARSE = re.compile(f"{META}*[^{META}]+|{META}+")
-#: the same, cut where letters, digits, line ends and other characters meet
-_FINE = re.compile(f"{META}*(?:[^\\W\\d_]+|[0-9]+|[\\n\\t\\r]+|[^\\w\\n\\t\\r{META}]+|[^{META}])|{META}+")
 #: stands for a meta symbol of the text itself while it is cut into pre-tokens
 _OWN_META = "﷐"
 
@@ -39,15 +37,20 @@ class Pieces:
             elif model.is_control(k) or model.is_unknown(k) or model.is_unused(k):
                 self.text_of.append("")
             else:
-                if META in piece.lstrip(META):
-                    raise ValueError(f"a piece crosses pre-tokens: {piece!r}")
                 score = -math.log(2 - model.get_score(k))
                 low = min(low, score)
                 self.text_of.append(piece)
                 self._add(piece, k, score)
         self.data_of = [x if isinstance(x, bytes) else x.replace(META, " ").encode() for x in self.text_of]
         pieces = [x for x in self.text_of if isinstance(x, str) and x]
-        self._units = _FINE if all(len(_FINE.findall(x)) == 1 for x in pieces) else _COARSE
+        #: class of a character (0: in no piece), and pairs that stand side by side in a piece
+        letters = sorted({c for x in pieces for c in x})
+        self._class = np.zeros(0x110000, np.uint16)
+        self._class[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        self._joined = np.zeros((len(letters) + 1, len(letters) + 1), bool)
+        for x in pieces:
+            k = self._class[[ord(c) for c in x]]
+            self._joined[k[:-1], k[1:]] = True
         #: what a character without a piece scores
         self.missing = low - 10.0
 
@@ -59,10 +62,16 @@ class Pieces:
         level[piece[-1]] = (below, k, score)
 
     def units(self, text: str) -> list[str]:
+        """The text cut wherever no piece holds the two characters side by side:
+        every segmentation has a border there."""
         if not text:
             return []
         text = text.replace(META, _OWN_META).replace(" ", META)
-        return self._units.findall(META + text if self.prefix else text)
+        if self.prefix:
+            text = META + text
+        k = self._class[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")]
+        cuts = [0, *(np.flatnonzero(~self._joined[k[:-1], k[1:]]) + 1).tolist(), len(text)]
+        return [text[i:j] for i, j in zip(cuts, cuts[1:])]
 
     def bytes_of(self, c: str) -> list[int]:
         return [self.byte_ids[b] for b in (META if c == _OWN_META else c).encode("utf-8", "surrogatepass")]
