@@ -1,6 +1,7 @@
 """Packing, segmentation, token counts and chat formatting."""
 
 import hashlib
+import itertools
 import random
 from array import array
 
@@ -117,10 +118,33 @@ def test_n_best_and_counts_against_all_segmentations():
         assert n in {len(x) for s, x in every if abs(s - every[0][0]) < 1e-9}
 
 
+def test_ties_of_one_letter():
+    """Equal ways by the thousand: as brute force on short runs, quick on long ones."""
+    import time
+    for letter in "a=-":
+        for k in range(1, 14):
+            every, found = brute_segmentations(letter * k), n_best(letter * k, PIECES, 5)
+            assert [round(s, 9) for s, _ in found] == [round(s, 9) for s, _ in every[:5]]
+            assert len({tuple(x) for _, x in found}) == len(found) == min(5, len(every))
+    start = time.perf_counter()
+    found = n_best("a" * 20_000, PIECES, 3)
+    assert time.perf_counter() - start < 5 and len(found) == 3
+    assert all(PIECES.decode(array("I", ids)).count("a") == 20_000 for _, ids in found)
+
+
+def test_cuts_lie_where_no_piece_holds_both_characters():
+    text = "the end.\n  of (all) things — 漢字 x_y"
+    units = PIECES.units(text)
+    assert "".join(units) == META + text.replace(" ", META)
+    pieces = [x for x in PIECES.text_of if isinstance(x, str)]
+    for a, b in zip(units, units[1:]):
+        assert not any(a[-1] + b[0] in x for x in pieces)
+
+
 def test_text_n_best_against_all_combinations():
     text = "the red cat"
     lists = [brute_segmentations(u) for u in PIECES.units(text)]
-    every = sorted(a[0] + b[0] + c[0] for a in lists[0] for b in lists[1] for c in lists[2])[::-1]
+    every = sorted(sum(x[0] for x in way) for way in itertools.product(*lists))[::-1]
     got = Segmenter(PIECES, 4).segment(text)
     assert [round(s, 9) for s, _ in got] == [round(s, 9) for s in every[:4]]
 

@@ -5,7 +5,9 @@ forward Viterbi pass gives each position the score of its best way from the
 start. The backward search starts at the end and expands partial paths in the
 order of (score to the end + Viterbi score of the position): as that forward
 score is exactly what the rest of the path can reach, the A* search pops complete
-paths best first and touches little else. No piece crosses pre-tokens, so a text's lattice is the
+paths best first and touches little else. Equal totals go to the path nearest the
+start, and a position that n paths have left needs no further ones, so a run of one
+letter costs n expansions a position at most. No piece crosses pre-tokens, so a text's lattice is the
 chain of theirs and its n best segmentations combine their lists: a combination among the
 n best changes only some of the n - 1 pre-tokens whose second choice costs least.
 
@@ -83,10 +85,10 @@ def n_best(unit: str, pieces: Pieces, n: int) -> list[tuple[float, list[int]]]:
         if not single:
             ends[i + 1].append((i, pieces.missing, -1))
     out: list[tuple[float, list[int]]] = []
-    heap = [(-best[size], 0, size, 0.0, None)]
-    made = 0
+    heap = [(-best[size], size, 0, 0.0, None)]
+    made, left = 0, [n] * (size + 1)
     while heap and len(out) < n:
-        total, _, j, after, path = heapq.heappop(heap)
+        total, j, _, after, path = heapq.heappop(heap)
         if j == 0:
             ids: list[int] = []
             while path is not None:
@@ -94,9 +96,12 @@ def n_best(unit: str, pieces: Pieces, n: int) -> list[tuple[float, list[int]]]:
                 ids.extend([k] if k >= 0 else pieces.bytes_of(unit[at]))
             out.append((-total, ids))
             continue
+        if not left[j]:
+            continue
+        left[j] -= 1
         for i, score, k in ends[j]:
             made += 1
-            heapq.heappush(heap, (-(best[i] + score + after), made, i, after + score, (k, i, path)))
+            heapq.heappush(heap, (-(best[i] + score + after), i, made, after + score, (k, i, path)))
     return out
 
 
