@@ -49,45 +49,41 @@ def weekly_to_monthly(weekly: DataFrame, keys: list[str], date_col: str, flows:
     return g.groupBy(*keys, "anio", "mes").agg(*aggs)
 
 
-# one CSV field after a line start or a comma: quoted (with "" escapes) or bare;
-# matched left to right, so tokenising a line is linear in its length
-CSV_FIELD = r'(?:^|,)("(?:[^"]|"")*"|[^,]*)'
-
-
-def wide_csv_to_long(spark, path: str, n_ids: int, id_names: list[str] | None = None,
-                     value_name: str = "n", date_name: str = "fecha"):
+def wide_csv_to_long(spark, paths, n_ids: int, id_names: list[str] | None = None,
+                     value_name: str = "n", date_name: str = "fecha", sep: str = ",", keep: list[str] | None = None) -> DataFrame:
     """S3/P14/P15 for very wide files (one column per date, ~1,000+ columns).
 
-    ``unpivot`` plans one projection per column, so planning and code
-    generation grow with the width. Here every line is split once (quote-aware),
-    its cells are ``posexplode``-d, and positions are mapped to dates through a
-    broadcast table built from the header line: the plan has the same size for
-    10 or 10,000 columns. Only the header line reaches the driver (files with
-    different layouts are read separately). Zero, empty
-    and non-numeric cells are dropped; header lines (any number of part files
-    may carry one) are skipped.
+    ``unpivot`` plans one projection per column. Here a record's date cells become one
+    array that is ``posexplode``-d against the dates of its file's header, so the plan
+    has one row source for any width. Files may carry different dates; every file
+    has its header (one without is left out). Line ends inside quotes are part of
+    a cell. Zero, empty and non-numeric cells are dropped. ``keep`` names columns of the
+    records (file, line) to pass on.
     """
-    from pyspark.sql import functions as F
-    # each line tokenised once; a header line (one per part file, or one per file)
-    # is recognised by its last cell naming a date column
-    tok = spark.read.text(path).select(F.regexp_extract_all(F.col("value"), F.lit(CSV_FIELD), 1).alias("cells"))
-    is_header = F.regexp_replace(F.trim(F.element_at(F.col("cells"), -1)), '"', "").rlike(DATE_COLUMN.pattern)
-    headers = tok.where(is_header).select("cells").distinct().limit(2).collect()
-    if len(headers) != 1:
-        raise ValueError(f"expected one header layout in {path}, found {len(headers)}")
-    names = [c.strip().strip('"').lstrip("\ufeff") for c in headers[0][0]]
-    dates = [(i, n) for i, n in enumerate(names) if i >= n_ids and DATE_COLUMN.match(n)]
-    date_map = spark.createDataFrame(dates, "pos int, col string").select(
-        "pos", F.coalesce(F.try_to_date(F.col("col"), "yyyy-MM-dd"),
-                          F.try_to_date(F.concat(F.col("col"), F.lit("-01")), "yyyy-MM-dd")).alias(date_name))
-    ids = id_names or names[:n_ids]
-    cells = F.col("cells")
-    rows = (tok.where(~is_header)
-            .select(*[F.replace(F.regexp_replace(F.trim(cells[i]), '^"|"$', ""), F.lit('""'), F.lit('"'))
-                      .alias(ids[i]) for i in range(n_ids)],
-                    F.posexplode(cells).alias("pos", "_cell")))
-    n = F.trim(F.col("_cell")).try_cast("double").try_cast("bigint")
-    return (rows.where(F.col("pos") >= n_ids)
-            .join(F.broadcast(date_map), "pos")  # one row per date column, fixed by the header
-            .select(*ids, date_name, n.alias(value_name))
+    from vitals.sources import lines
+
+    def hopeful(head):
+        return head.rlike(f"(^|[{sep}\"])(19|20)[0-9]{{2}}-")
+
+    found = lines.recognise(spark, paths, sep, hopeful, lambda cells: len(cells) > n_ids and any(map(DATE_COLUMN.match, cells[n_ids:])))
+    if not found.headers:
+        raise ValueError("no file with date columns")
+    layout = F.col("layout")
+    rows = found.rows.where(layout.isNotNull()).withColumns(
+        {f"_p{k}": F.when(layout == k, lines.cells_of(F.col("value"), len(h), sep)) for k, h in found.headers.items()})
+    names = id_names or [c.strip() for c in found.headers[0][:n_ids]]
+    ids = [F.coalesce(*[F.col(f"_p{k}._{i}") for k in found.headers]).alias(name) for i, name in enumerate(names)]
+    cells, days = F.lit(None), F.lit(None)
+    for k, h in found.headers.items():
+        at = [i for i in range(n_ids, len(h)) if DATE_COLUMN.match(h[i])]
+        cells = F.when(layout == k, F.array(*[F.col(f"_p{k}._{i}") for i in at])).otherwise(cells)
+        days = F.when(layout == k, F.split(F.lit(",".join(h[i] for i in at)), ",")).otherwise(days)
+    # outer: from a plain posexplode the optimiser infers a filter that parses every record again
+    long = (rows.select(*(keep or []), *ids, cells.alias("_cells"), days.alias("_days"))
+            .select(*(keep or []), *names, "_days", F.posexplode_outer("_cells").alias("_pos", "_cell")))
+    day = F.get("_days", F.col("_pos"))
+    fecha = F.coalesce(F.try_to_date(day, "yyyy-MM-dd"), F.try_to_date(F.concat(day, F.lit("-01")), "yyyy-MM-dd"))
+    n = F.trim("_cell").try_cast("double").try_cast("bigint")
+    return (long.where(F.col("_cell").isNotNull() & (F.col("_cell") != "0"))
+            .select(*(keep or []), *names, fecha.alias(date_name), n.alias(value_name))
             .where(F.col(value_name).isNotNull() & (F.col(value_name) > 0) & F.col(date_name).isNotNull()))

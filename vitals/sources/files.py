@@ -7,12 +7,10 @@ driver.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vitals.operators.align import align, clean_header
-
 BOM = "\ufeff"
 SUPPORTED = {"json": "*.json", "csv": "*.csv"}
 
@@ -66,6 +64,15 @@ def write_json_arrays(df: DataFrame, path: str) -> None:
     out.write.mode("overwrite").text(path)
 
 
+def write_text_files(df: DataFrame, key: str, header: str, path: str, order: str | None = None) -> None:
+    """Write lines (``value``) as text, one folder and file per value of ``key``, each
+    beginning with ``header``; ``order`` sorts the lines of a file."""
+    rows = df.select(key, F.lit(1).alias("_part"), (F.col(order) if order else F.lit(0)).alias("_order"), "value")
+    heads = df.select(key).distinct().select(key, F.lit(0).alias("_part"), F.lit(None).alias("_order"), F.lit(header).alias("value"))
+    (heads.unionByName(rows).repartition(key).sortWithinPartitions(key, "_part", "_order").select(key, "value")
+     .write.partitionBy(key).text(path))
+
+
 def read_json_array(spark: SparkSession, paths, schema: T.StructType) -> DataFrame:
     """Whole-file JSON arrays of records (one task per file)."""
     return spark.read.schema(schema).option("multiLine", True).json(paths)
@@ -105,27 +112,19 @@ def read_parquet_parts(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def read_sheet(spark: SparkSession, paths, names: list[str], skip: int = 2,
-               fill_down: list[str] | None = None) -> DataFrame:
-    """A spreadsheet exported as CSV with a title row above the header.
+               fill_down: list[str] | None = None, glob: str | None = None) -> DataFrame:
+    """Spreadsheets exported as CSV with a title row above the header.
 
-    Rows keep their file position; the first ``skip`` rows of each file
-    (title, header) are dropped, columns are named by position, all-NULL rows
-    are dropped and merged cells (``fill_down``) are forward-filled within a
-    file (a window per file: one sheet per task).
+    The first ``skip`` lines of each file (title, header) are dropped, columns are
+    named by position, rows without any value are dropped and merged cells
+    (``fill_down``) take the value above them, also across the splits of a file.
     """
-    raw = spark.read.option("header", False).csv(paths)
-    raw = raw.toDF(*names[:len(raw.columns)])
-    pos = (raw.withColumn("_file", F.col("_metadata.file_path"))
-           .withColumn("_block", F.col("_metadata.file_block_start"))
-           .withColumn("_row", F.monotonically_increasing_id()))
-    # file order = split start, then position inside the split (a split is read in order)
-    w = Window.partitionBy("_file").orderBy("_block", "_row")
-    ranked = pos.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") > skip)
-    ranked = ranked.dropna(how="all", subset=names)
-    for c in fill_down or []:
-        ranked = ranked.withColumn(c, F.last(F.col(c), ignorenulls=True).over(
-            w.rowsBetween(Window.unboundedPreceding, 0)))
-    return ranked.select(*names)
+    from vitals.sources import lines
+    rows = lines.numbered(lines.stage_lines(spark, paths, glob)).where(F.col("line") > skip)
+    cells = rows.withColumn("_c", lines.cells_of(F.col("value"), len(names), ","))
+    out = cells.select("file", "block", "row", "line", F.inline_outer(F.array("_c"))).drop("_bad").toDF("file", "block", "row", "line", *names)
+    out = out.dropna(how="all", subset=names)
+    return (lines.fill_down(out, fill_down) if fill_down else out).select("file", "line", *names)
 
 
 def with_file_name(df: DataFrame, name: str = "archivo_origen", level: str = "folder") -> DataFrame:
@@ -135,49 +134,15 @@ def with_file_name(df: DataFrame, name: str = "archivo_origen", level: str = "fo
     return df.withColumn(name, value)
 
 
-def probe_headers(spark: SparkSession, paths: list[str], sep: str = ",",
-                  parallel: int = 16) -> list[tuple[str, list[str] | None, str | None]]:
-    """(path, header, error) of each file, first lines only, probed concurrently."""
-    from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(paths)))) as pool:
-        return list(pool.map(lambda p: _probe_header(spark, p, sep), paths))
-
-
-def _probe_header(spark: SparkSession, path: str, sep: str = ",") -> tuple[str, list[str] | None, str | None]:
-    try:
-        cols = spark.read.option("header", True).option("sep", sep).csv(path).columns  # reads the first line only
-        return path, [c.strip().lstrip(BOM) for c in cols], None
-    except Exception as e:  # noqa: BLE001 - an unreadable file is a reported outcome
-        return path, None, type(e).__name__
-
-
-def read_tolerant(spark: SparkSession, files: list[str], expected: list[str],
-                  schema: T.StructType, parallel: int = 16) -> tuple[DataFrame | None, list[tuple[str, str]]]:
-    """Each file's header is probed (its first line only, probes submitted
-    concurrently). Files with the expected header are read in one scan; a
-    drifted header (missing, extra, reordered or differently spaced columns) is
-    aligned to the schema, one scan per distinct header. Only unreadable files
-    and files without any expected column are rejected and listed. Fails only
-    when no file is readable."""
-    probes = probe_headers(spark, files, parallel=parallel)
-    good = [p for p, cols, _ in probes if cols == expected]
-    drifted: dict[tuple[str, ...], list[str]] = {}
-    bad = []
-    for p, cols, err in probes:
-        if cols is None or not set(map(clean_header, cols)) & set(expected):
-            bad.append((p, err or "cabecera_inesperada"))
-        elif cols != expected:
-            drifted.setdefault(tuple(cols), []).append(p)
-    scans = [spark.read.schema(schema).option("header", True).csv(good)] if good else []
-    for cols, paths in drifted.items():
-        own = T.StructType([T.StructField(c, T.StringType()) for c in cols])
-        scans.append(align(spark.read.schema(own).option("header", True).option("enforceSchema", True).csv(paths), schema))
-    if not scans:
-        raise ValueError(f"no readable file among {len(files)}")
-    out = scans[0]
-    for s in scans[1:]:
-        out = out.unionByName(s)
-    return out, bad
+def read_tolerant(spark: SparkSession, paths, expected: list[str], schema: T.StructType) -> tuple[DataFrame, list[tuple[str, str]]]:
+    """The rows of all files with a header of the schema, missing, extra,
+    reordered or differently spaced columns aligned; and the files left out with the
+    reason. Fails only when no file is readable. A fixed number of jobs for any
+    number of files (``sources.lines``)."""
+    from vitals.sources import landing
+    landed = landing.read_files(spark, paths, landing.Layout(schema))
+    out = landed.files.where("layout IS NULL").orderBy("file").select("file", looks_like_html(F.col("head")).alias("html")).collect()
+    return landed.good().select(*expected), [(r["file"], "html" if r["html"] else "cabecera_inesperada") for r in out]
 
 
 def _probe_parquet(spark: SparkSession, path: str) -> tuple[str, str | None]:
@@ -194,19 +159,19 @@ def _probe_parquet(spark: SparkSession, path: str) -> tuple[str, str | None]:
         return path, "html" if html else "ilegible"
 
 
-def read_parquet_parts_tolerant(spark: SparkSession, paths: list[str],
-                                parallel: int = 16) -> tuple[DataFrame, list[tuple[str, str]]]:
-    """Parquet parts whose footer reads are scanned together; a part that
-    is an HTML page (a login form served instead of data) or unreadable is
-    rejected and listed. Probes are concurrent and touch footers / first lines only."""
-    from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(paths)))) as pool:
-        probes = list(pool.map(lambda p: _probe_parquet(spark, p), paths))
-    good = [p for p, why in probes if why is None]
-    bad = [(p, why) for p, why in probes if why is not None]
-    if not good:
-        raise ValueError(f"no readable part among {len(paths)}")
-    return spark.read.parquet(*good), bad
+def read_parquet_parts_tolerant(spark: SparkSession, paths) -> tuple[DataFrame, list[tuple[str, str]]]:
+    """Parquet parts read in one scan; a part that is an HTML page (a login
+    form served instead of data) or unreadable is left out and listed. One job reads all
+    footers, one the scan's file names (no column); only parts that gave no row are
+    looked at one by one."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    good = (spark.read.option("ignoreCorruptFiles", "true").option("mergeSchema", "true").option("recursiveFileLookup", "true")
+            .parquet(*paths))
+    seen = good.select(F.col("_metadata.file_path").alias("path")).distinct()
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths).select("path")
+              .where(~F.regexp_like(F.col("path"), F.lit(r".*/[._][^/]*$"))))
+    bad = [(r.path, why) for r in listed.join(seen, "path", "left_anti").collect() if (why := _probe_parquet(spark, r.path)[1])]
+    return good, bad
 
 
 def looks_like_html(text: Column) -> Column:
