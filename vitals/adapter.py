@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitals.functions.rules import within_years
+from vitals.operators.lookup import bounded
 from vitals.session import table_path
 
 # Period cut-points and baseline window of the driver data (1995-01 … 2001-08).
@@ -35,24 +36,17 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 SMALL_TABLE_ROWS = 100_000
-_SMALL: dict[str, bool] = {}
 
 
-def checked(key: str, df: DataFrame, max_rows: int = SMALL_TABLE_ROWS) -> DataFrame:
-    """``df`` as a broadcast side when it holds ≤ max_rows rows, else as is.
-
-    The count runs once per ``key`` (built from the read-only input folder),
-    so a reference frame used by many joins of a run is checked once.
-    """
-    if key not in _SMALL:
-        _SMALL[key] = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if _SMALL[key] else df
+def checked(df: DataFrame, max_rows: int = SMALL_TABLE_ROWS) -> DataFrame:
+    """``df`` as a broadcast side when its rows and bytes are proven small, else as is."""
+    return bounded(df, max_rows)
 
 
 def small(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A reference table (nation, region): broadcast only when its row count
     (answered from the Parquet footers) is within SMALL_TABLE_ROWS."""
-    return checked(table_path(sf_dir, name), read(spark, sf_dir, name))
+    return checked(read(spark, sf_dir, name))
 
 
 def geo_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,7 +81,7 @@ def order_nation(spark: SparkSession, sf_dir: str, years: tuple[int, int] | None
 
 def with_geo(spark: SparkSession, sf_dir: str, df: DataFrame) -> DataFrame:
     """Attach regionkey, departamento, municipio by nation key (size-checked broadcast, inner)."""
-    geo = checked(f"{sf_dir}#geo", geo_catalogue(spark, sf_dir))
+    geo = checked(geo_catalogue(spark, sf_dir))
     return df.join(geo, "nationkey")
 
 
@@ -160,7 +154,7 @@ def order_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate",
                                                   "o_orderstatus", "o_orderpriority")
     customer = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    nc = checked(f"{sf_dir}#countries", nation_countries(spark, sf_dir))
+    nc = checked(nation_countries(spark, sf_dir))
     return (orders.join(customer, orders.o_custkey == customer.c_custkey)
             .join(nc, F.col("c_nationkey") == nc.nationkey)
             .drop("c_custkey"))

@@ -19,8 +19,9 @@ from vitals import catalogues as C
 # spreadsheets leave behind as non-breaking spaces
 WS = ("\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200b)))
       + "\u2028\u2029\u202f\u205f\u3000")
-# text that Python reads as a number (the cast alone would also take "45F", "3d", "0x1p3")
-NUMBER = r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)$"
+# text that Python reads as a number, white space around it (the cast alone would also take "45F", "3d", "0x1p3")
+_BLANK = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in WS) + "]*"
+NUMBER = f"(?i)^{_BLANK}[+-]?(\\d+\\.?\\d*|\\.\\d+)(e[+-]?\\d+)?{_BLANK}$|^{_BLANK}[+-]?(inf|infinity){_BLANK}$"
 
 
 def _c(x) -> Column:
@@ -32,8 +33,15 @@ def literal_map(pairs) -> Column:
     return F.create_map(*[F.lit(v) for v in chain.from_iterable(pairs)])
 
 
+def _printable(c: Column) -> Column:
+    """The first character is printable ASCII, not a space."""
+    return F.ascii(c).between(33, 126)
+
+
 def strip(x) -> Column:
-    return F.btrim(_c(x), F.lit(WS))
+    """Unicode strip; text that begins and ends with printable ASCII is taken as it is."""
+    s = _c(x)
+    return F.when(_printable(s) & _printable(F.substring(s, -1, 1)), s).otherwise(F.btrim(s, F.lit(WS)))
 
 
 def blank_to_null(x) -> Column:
@@ -43,10 +51,13 @@ def blank_to_null(x) -> Column:
 
 
 def to_double(x) -> Column:
-    """numeric coercion, bad text (and NaN) → NULL."""
-    s = strip(_c(x).cast("string"))
-    d = F.when(s.rlike(NUMBER), s.try_cast("double"))
-    return F.when(F.isnan(d), F.lit(None).cast("double")).otherwise(d)
+    """numeric coercion, bad text (and NaN) → NULL. Numbers pass through: the type
+    of ``x`` is a constant of the plan, so only one branch is left of it."""
+    own = _c(x)
+    text = own.cast("string")
+    number = F.typeof(own).isin("tinyint", "smallint", "int", "bigint", "double") | F.typeof(own).startswith("decimal")
+    return F.nanvl(F.when(number, own.try_cast("double")).when(text.rlike(NUMBER), F.btrim(text, F.lit(WS)).try_cast("double")),
+                   F.lit(None).cast("double"))
 
 
 def to_long_or_zero(x) -> Column:
@@ -114,8 +125,11 @@ def age_label_to_dim(label) -> Column:
 
 
 def normalise_code(value) -> Column:
-    """F8: str(int(float(v))) when numeric, else the stripped text."""
-    return F.coalesce(truncated_int(value).cast("string"), strip(_c(value).cast("string")))
+    """F8: str(int(float(v))) when numeric, else the stripped text. Plain integers are
+    what they are."""
+    text = _c(value).cast("string")
+    return F.when(text.rlike("^(0|[1-9][0-9]{0,14})$"), text).otherwise(
+        F.coalesce(truncated_int(value).cast("string"), strip(text)))
 
 
 def icd_upper(code) -> Column:

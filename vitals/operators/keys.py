@@ -11,10 +11,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vitals.operators.lookup import SIZE_ATTR, row_bytes
 from vitals.session import cut_lineage
 
 _LOW = (1 << 33) - 1  # monotonically_increasing_id: partition << 33 | row index
-ROWS_ATTR = "_vitals_rows"  # exact row count attached to frames built here
 
 
 def _with_positions(df: DataFrame) -> DataFrame:
@@ -32,24 +32,24 @@ def sequential_ids(df: DataFrame, id_col: str, order: list[str] | None = None,
     As ``RDD.zipWithIndex`` does, one job counts the rows of each partition of
     the checkpointed frame and the offsets are computed from those counts (one
     number per partition); they join back as a broadcast local table. The
-    returned frame knows its exact row count (``ROWS_ATTR``), which serves as
-    its size proof for later broadcast joins.
+    returned frame knows its exact rows and bytes (``SIZE_ATTR``, summed in the
+    same job), which serve as its size proof for later broadcast joins.
     """
     staged = df
     if order:
         staged = df.repartitionByRange(*order).sortWithinPartitions(*order)
     staged = cut_lineage(staged)
     positioned = _with_positions(staged)
-    sizes = sorted((r["_pid"], r["_n"]) for r in
-                   positioned.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).collect())
-    offsets, total = [], 0
-    for pid, n in sizes:
+    sizes = sorted((r["_pid"], r["_n"], r["_b"]) for r in positioned.groupBy("_pid").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(row_bytes(staged)).alias("_b")).collect())
+    offsets, total, size = [], 0, 0
+    for pid, n, b in sizes:
         offsets.append((pid, total))
-        total += n
+        total, size = total + n, size + b + 16 * n
     offs = df.sparkSession.createDataFrame(offsets, "_pid long, _off long")
     out = positioned.join(F.broadcast(offs), "_pid").select(
         (F.col("_off") + F.col("_pos") + F.lit(start)).cast(id_type).alias(id_col), *df.columns)
-    setattr(out, ROWS_ATTR, total)
+    setattr(out, SIZE_ATTR, (total, size))
     return out
 
 

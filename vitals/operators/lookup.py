@@ -1,32 +1,66 @@
 """Lookup joins: code dictionaries, catalogues and dimension foreign keys.
 
-Broadcast is used only behind a size check: ``bounded`` takes the exact row
-count a frame carries from being built (surrogate-key dimensions know theirs)
-or else counts at most ``max_rows + 1`` rows of the lookup side, and hints a
-broadcast when the side fits; otherwise the join is a sort-merge join (the
-session sets the broadcast threshold to -1, so nothing else is broadcast).
+Broadcast is used only behind a size check in bytes: ``bounded`` takes the exact
+size a frame carries from being built (surrogate-key dimensions know theirs) or else
+measures the lookup side in one aggregate, and hints a broadcast when the side fits;
+otherwise the join is a shuffle join, which adaptive execution turns into a broadcast
+only by the size it has measured (``spark.sql.adaptive.autoBroadcastJoinThreshold``;
+the static threshold of the session is -1, so no estimate broadcasts anything).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vitals import catalogues as C
 from vitals.functions import rules as R
 
 BROADCAST_MAX_ROWS = 2_000_000
-
-
-def bounded(side: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, proof: DataFrame | None = None) -> DataFrame:
+BROADCAST_MAX_BYTES = 64 << 20
+#: exact (rows, bytes) attached to frames whose building counted them
+SIZE_ATTR = "_vitals_size"
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row as a hash relation holds it: text by its length, the rest by 16 a field."""
+    total = F.lit(32 + 16 * len(df.columns)).cast("bigint")
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            total = total + F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            total = total + F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`")))), F.lit(0))
+    return total
+
+
+_SIZES: dict[tuple, tuple[int, int]] = {}
+
+
+def size_of(df: DataFrame) -> tuple[int, int]:
+    """Exact (rows, bytes) of a frame, in one aggregate; kept per plan and input files,
+    so that new files are measured anew."""
+    try:
+        key = (df.semanticHash(), tuple(sorted(df.inputFiles())))
+    except Exception:  # noqa: BLE001 - a plan without a stable form is measured each time
+        key = None
+    if key is None or not key[1] or key not in _SIZES:
+        row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("b")).first()
+        if key is None or not key[1]:
+            return row["n"], row["b"]
+        if len(_SIZES) > 1000:
+            _SIZES.clear()
+        _SIZES[key] = row["n"], row["b"]
+    return _SIZES[key]
+
+
+def bounded(side: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, proof: DataFrame | None = None,
+            max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Broadcast hint only when the side — or ``proof``, a frame it is a filter or
-    projection of — is proven to hold ≤ max_rows rows."""
-    from vitals.operators.keys import ROWS_ATTR
+    projection of — is proven to hold ≤ max_rows rows and ≤ max_bytes bytes."""
     p = proof if proof is not None else side
-    n = getattr(p, ROWS_ATTR, None)  # exact count known from building the frame
-    if n is None:
-        n = p.limit(max_rows + 1).count()
-    return F.broadcast(side) if n <= max_rows else side
+    rows, size = getattr(p, SIZE_ATTR, None) or size_of(p)
+    return F.broadcast(side) if rows <= max_rows and size <= max_bytes else side
 
 
 def last_definition_wins(dictionary: DataFrame, keys: list[str], value: str, position: str) -> DataFrame:
@@ -56,21 +90,24 @@ def decode(df: DataFrame, dictionary: DataFrame, mapping: dict[str, tuple[str, s
     dictionary → "Código no encontrado: <code>". ``dictionary`` must already
     be unique per (variable, codigo) (see ``normalised_dictionary``).
     """
+    # the same side for every output: the dictionary is built and broadcast once and reused
+    side = bounded(dictionary.select(F.col("variable").alias("_variable"), F.col("codigo").alias("_codigo"), F.col("etiqueta").alias("_etiqueta")),
+                   max_rows)
     out = df
-    small = dictionary.limit(max_rows + 1).count() <= max_rows  # one check covers every slice
     for target, (source, variable) in mapping.items():
-        part = dictionary.where(F.col("variable") == variable).select(
-            F.col("codigo").alias(f"_k_{target}"), F.col("etiqueta").alias(f"_v_{target}"))
-        key = R.normalise_code(F.col(source))
-        out = out.withColumn(f"_c_{target}", key).join(
-            F.broadcast(part) if small else part, F.col(f"_c_{target}") == F.col(f"_k_{target}"), "left")
-        out = out.withColumn(target, F.when(F.col(source).isNull(), F.lit(C.NULL_CODE_LABEL))
-                             .otherwise(F.coalesce(F.col(f"_v_{target}"),
-                                                   F.concat(F.lit(C.MISSING_CODE_PREFIX), F.col(f"_c_{target}")))))
-        out = out.drop(f"_c_{target}", f"_k_{target}", f"_v_{target}")
+        key, d = f"_c_{target}", f"_d_{target}"
+        out = out.withColumn(key, R.normalise_code(F.col(source)))
+        rest = [c for c in out.columns if c.lower() not in (key.lower(), target.lower())]
+        out = out.join(side.alias(d), (F.lit(variable) == F.col(f"{d}._variable")) & (F.col(key) == F.col(f"{d}._codigo")), "left")
+        out = out.select(*[F.col(f"`{c}`") for c in rest], _decoded(F.col(source), F.col(key), F.col(f"{d}._etiqueta")).alias(target))
     return out
 
 
+def _decoded(source: Column, code: Column, label: Column) -> Column:
+    return (F.when(source.isNull(), F.lit(C.NULL_CODE_LABEL))
+            .otherwise(F.coalesce(label, F.concat(F.lit(C.MISSING_CODE_PREFIX), code))))
+
+
 def describe(df: DataFrame, catalogue: DataFrame, code_col: str, out_col: str,
              default: str, key: str = "codigo", value: str = "descripcion",
              max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:

@@ -27,7 +27,7 @@ def labelled_by_nation(spark, d) -> DataFrame:
                              entity="municipio", member="miembro", years=A.TEST_YEARS)
     regions = A.geo_catalogue(spark, d).select("municipio", F.col("departamento").alias("region"))
     labelled = M.excess_one_pass(obs, entity="municipio", years=A.TEST_BASELINE_YEARS)
-    return labelled.join(A.checked(f"{d}#geo", regions), "municipio", "left")
+    return labelled.join(A.checked(regions), "municipio", "left")
 
 
 @query("monthly_observed")

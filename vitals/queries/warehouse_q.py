@@ -21,12 +21,27 @@ from vitals.session import materialize
 FACT_CASES_MIN_YEAR = 1997
 
 
+#: what dimensions and facts read of each stage table
+READ = {
+    "deaths": ["anio_ocurrencia", "mes_ocurrencia", "nombre_depto_ocurrencia", "nombre_muni_ocurrencia", "sexo", "grupo_etario",
+               "codigo_cie10", "descripcion_causa", "periodo"],
+    "cases": ["anio", "departamento", "municipio", "codigo_cie10", "diagnostico", "grupo_etario", "sexo", "casos", "periodo"],
+    "covid_local": None, "world": None, "covid_world": None,
+}
+BUILD = {"deaths": SQ.stage_deaths_df, "cases": SQ.stage_cases_df, "covid_local": SQ.stage_covid_local_df,
+         "world": SQ.stage_mortality_world_df, "covid_world": SQ.stage_covid_world_df}
+
+
+def _lazy(spark, d, *names):
+    """Stage frames that a query reads once: nothing is written, and the columns it
+    does not read are never computed."""
+    return {n: BUILD[n](spark, d) for n in names}
+
+
 def _stages(spark, d, *names):
-    """Stage tables, each written once to the shared folder (as the stage layer is)
-    and read back, so dimensions and facts do not recompute the stage jobs."""
-    build = {"deaths": SQ.stage_deaths_df, "cases": SQ.stage_cases_df, "covid_local": SQ.stage_covid_local_df,
-             "world": SQ.stage_mortality_world_df, "covid_world": SQ.stage_covid_world_df}
-    return {n: materialize(build[n](spark, d), f"stage-{n}") for n in names}
+    """Stage tables read by several plans of a query, each written once with the columns
+    that are read, so dimensions and facts do not recompute the stage jobs."""
+    return {n: materialize(f.select(*(READ[n] or f.columns)), f"stage-{n}") for n, f in _lazy(spark, d, *names).items()}
 
 
 def _dim_time(st):
@@ -35,23 +50,23 @@ def _dim_time(st):
 
 @query("dim_time")
 def q_dim_time(spark, d):
-    return _dim_time(_stages(spark, d, "deaths", "cases", "covid_local", "world", "covid_world"))
+    return _dim_time(_lazy(spark, d, "deaths", "cases", "covid_local", "world", "covid_world"))
 
 
 @query("dim_geo")
 def q_dim_geo(spark, d):
-    st = _stages(spark, d, "deaths", "cases", "covid_local")
+    st = _lazy(spark, d, "deaths", "cases", "covid_local")
     return D.dim_geo(D.geo_members(**st))
 
 
 @query("dim_country")
 def q_dim_country(spark, d):
-    return D.dim_country(**_stages(spark, d, "world", "covid_world"))
+    return D.dim_country(**_lazy(spark, d, "world", "covid_world"))
 
 
 @query("dim_cause")
 def q_dim_cause(spark, d):
-    return D.dim_cause(spark, **_stages(spark, d, "cases", "deaths"))
+    return D.dim_cause(spark, **_lazy(spark, d, "cases", "deaths"))
 
 
 @query("dim_static")
@@ -194,7 +209,7 @@ def q_fk_violations(spark, d):
 @query("unique_violations")
 def q_unique_violations(spark, d):
     """Country candidates (both sources, before the one-per-ISO3 rule) sharing a key."""
-    st = _stages(spark, d, "world", "covid_world")
+    st = _lazy(spark, d, "world", "covid_world")
     iso2_to_iso3 = R.literal_map([(r[0], r[1]) for r in C.SELECTED_COUNTRIES])
     a = st["world"].select("iso3c", "country_name").distinct()
     b = (st["covid_world"].select(F.element_at(iso2_to_iso3, F.col("country_code")).alias("iso3c"), "country_name")
@@ -216,7 +231,7 @@ CONTRACT_COVID_LOCAL = [
 
 @query("contract_check")
 def q_contract_check(spark, d):
-    return quality.contract_report(_stages(spark, d, "covid_local")["covid_local"], CONTRACT_COVID_LOCAL)
+    return quality.contract_report(_lazy(spark, d, "covid_local")["covid_local"], CONTRACT_COVID_LOCAL)
 
 
 @query("drill_across")
@@ -227,7 +242,8 @@ def q_drill_across(spark, d):
     dc = D.dim_cause(spark, deaths=st["deaths"])
     deaths = H.fact_deaths(st["deaths"], dt_, dg, dc, C.age_group_df(spark), C.source_df(spark)).fact
     covid = H.fact_covid_local(st["covid_local"], dt_, dg, dc, C.source_df(spark)).fact
-    keys = ["id_tiempo", "id_geografia"]  # the dimensions both facts share (H.shared_dimensions)
+    ids = {"dim_tiempo": "id_tiempo", "dim_geografia_gt": "id_geografia"}
+    keys = [ids[x] for x in H.shared_dimensions("fact_defunciones_gt", "fact_mortalidad_covid_gt") if x in ids]  # cause and source are constants of one of them
     both = H.drill_across(deaths, "total_casos", covid, "fallecidos", keys)
     return H.denormalise(both, {"t": _time_nat(dt_), "g": _geo_nat(dg)})
 
