@@ -3,9 +3,8 @@
 Broadcast is used only behind a size check in bytes: ``bounded`` takes the exact
 size a frame carries from being built (surrogate-key dimensions know theirs) or else
 measures the lookup side in one aggregate, and hints a broadcast when the side fits;
-otherwise the join is a shuffle join, which adaptive execution turns into a broadcast
-only by the size it has measured (``spark.sql.adaptive.autoBroadcastJoinThreshold``;
-the static threshold of the session is -1, so no estimate broadcasts anything).
+otherwise the join is a shuffle join (the session's threshold is -1, so no estimate
+broadcasts anything; skewed keys are split by adaptive execution).
 """
 
 from __future__ import annotations

@@ -53,9 +53,9 @@ def wide_csv_to_long(spark, paths, n_ids: int, id_names: list[str] | None = None
                      value_name: str = "n", date_name: str = "fecha", sep: str = ",", keep: list[str] | None = None) -> DataFrame:
     """S3/P14/P15 for very wide files (one column per date, ~1,000+ columns).
 
-    ``unpivot`` plans one projection per column. Here a record's date cells become one
-    array that is ``posexplode``-d against the dates of its file's header, so the plan
-    has one row source for any width. Files may carry different dates; every file
+    ``unpivot`` plans one projection per column. Here a record's cells become one array
+    that is ``posexplode``-d against the dates of its file's header, so the plan has the
+    same size for any width. Files may carry different dates; every file
     has its header (one without is left out). Line ends inside quotes are part of
     a cell. Zero, empty and non-numeric cells are dropped. ``keep`` names columns of the
     records (file, line) to pass on.
@@ -68,22 +68,19 @@ def wide_csv_to_long(spark, paths, n_ids: int, id_names: list[str] | None = None
     found = lines.recognise(spark, paths, sep, hopeful, lambda cells: len(cells) > n_ids and any(map(DATE_COLUMN.match, cells[n_ids:])))
     if not found.headers:
         raise ValueError("no file with date columns")
-    layout = F.col("layout")
-    rows = found.rows.where(layout.isNotNull()).withColumns(
-        {f"_p{k}": F.when(layout == k, lines.cells_of(F.col("value"), len(h), sep)) for k, h in found.headers.items()})
     names = id_names or [c.strip() for c in found.headers[0][:n_ids]]
-    ids = [F.coalesce(*[F.col(f"_p{k}._{i}") for k in found.headers]).alias(name) for i, name in enumerate(names)]
-    cells, days = F.lit(None), F.lit(None)
-    for k, h in found.headers.items():
-        at = [i for i in range(n_ids, len(h)) if DATE_COLUMN.match(h[i])]
-        cells = F.when(layout == k, F.array(*[F.col(f"_p{k}._{i}") for i in at])).otherwise(cells)
-        days = F.when(layout == k, F.split(F.lit(",".join(h[i] for i in at)), ",")).otherwise(days)
-    # outer: from a plain posexplode the optimiser infers a filter that parses every record again
-    long = (rows.select(*(keep or []), *ids, cells.alias("_cells"), days.alias("_days"))
+    layouts = spark.createDataFrame(
+        [(k, len(h), [c if DATE_COLUMN.match(c) else None for c in h[n_ids:]]) for k, h in found.headers.items()],
+        "layout int, _width int, _days array<string>")
+    # at most lines.MOST_LAYOUTS rows; a record with another number of cells than its header is left out
+    rows = (found.rows.join(F.broadcast(layouts), "layout").withColumn("_cells", lines.cell_array(F.col("value"), sep))
+            .where(F.size("_cells") == F.col("_width")))
+    long = (rows.select(*(keep or []), *[F.nullif(F.get("_cells", F.lit(i)), F.lit("")).alias(c) for i, c in enumerate(names)],
+                        F.slice("_cells", n_ids + 1, 1 << 30).alias("_cells"), "_days")
             .select(*(keep or []), *names, "_days", F.posexplode_outer("_cells").alias("_pos", "_cell")))
     day = F.get("_days", F.col("_pos"))
     fecha = F.coalesce(F.try_to_date(day, "yyyy-MM-dd"), F.try_to_date(F.concat(day, F.lit("-01")), "yyyy-MM-dd"))
     n = F.trim("_cell").try_cast("double").try_cast("bigint")
-    return (long.where(F.col("_cell").isNotNull() & (F.col("_cell") != "0"))
+    return (long.where(~F.col("_cell").isin("", "0"))
             .select(*(keep or []), *names, fecha.alias(date_name), n.alias(value_name))
             .where(F.col(value_name).isNotNull() & (F.col(value_name) > 0) & F.col(date_name).isNotNull()))

@@ -21,8 +21,6 @@ DEFAULT_CONF = {
     # broadcasts are explicit and size-checked (operators.lookup.bounded, fixed
     # catalogues); the planner's file-size estimate never broadcasts a big table
     "spark.sql.autoBroadcastJoinThreshold": "-1",
-    # what adaptive execution has measured may be broadcast (operators.lookup.BROADCAST_MAX_BYTES)
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
     "spark.sql.session.timeZone": "UTC",
     # generated code of wide projections is longer than what the JVM compiles by default;
     # interpreted, the stage jobs take two to three times as long

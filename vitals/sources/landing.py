@@ -28,8 +28,8 @@ ORIGIN, FILE, LOADED = "fuente_origen", "archivo_origen", "fecha_carga"
 @dataclass(frozen=True)
 class Layout:
     """What the files of a source are aligned to. ``strict``: records with another
-    number of cells than the header, or a cell that is not of its type, are
-    rejected instead of filled with NULL; ``strip``: text is trimmed."""
+    number of cells than the header, an open quote, or a cell that is not of its type
+    are rejected instead of filled with NULL; ``strip``: text is trimmed."""
     schema: T.StructType
     renames: dict[str, str] = field(default_factory=dict)
     drop: tuple[str, ...] = ()
@@ -123,7 +123,7 @@ def _parsed(rows: DataFrame, layout: Layout, headers: dict[int, list[str]]) -> D
     bad = F.coalesce(*[F.col(f"_p{k}._bad") for k in headers]).isNotNull()
     reason = F.when(~any_text, F.lit("vacia"))
     if layout.strict:
-        reason = F.when(bad, F.lit("columnas")).otherwise(F.coalesce(reason, wrong))
+        reason = F.when(lines.odd_quotes(F.col("value")), F.lit("comillas")).when(bad, F.lit("columnas")).otherwise(F.coalesce(reason, wrong))
     # as one struct through a generator: a filter on the outcome stays above the parsing
     return rows.select(F.inline_outer(F.array(F.struct(*fields, file_name(F.col("file")).alias(FILE), F.col("line").alias(LINE),
                                                        reason.alias(REASON), F.col("value").alias(RAW)))))

@@ -17,6 +17,7 @@ more than ``MOST_LINES`` lines is a stray quote; its lines stand alone and fail
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -39,10 +40,14 @@ def stage_lines(spark: SparkSession, paths, glob: str | None = None, quote: str
     reader = spark.read.option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    odd = F.pmod(F.length("value") - F.length(F.replace(F.col("value"), F.lit(quote), F.lit(""))), F.lit(2)) == 1
     return materialize(reader.text(paths).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"), "value", odd.alias("odd")), "lines")
+        F.monotonically_increasing_id().alias("row"), "value", odd_quotes(F.col("value"), quote).alias("odd")), "lines")
+
+
+def odd_quotes(text: Column, quote: str = '"') -> Column:
+    """The text holds an odd number of quotes."""
+    return F.pmod(F.length(text) - F.length(F.replace(text, F.lit(quote), F.lit(""))), F.lit(2)) == 1
 
 
 def chunked(lines: DataFrame) -> DataFrame:
@@ -144,6 +149,19 @@ def cells_of(value: Column, n: int, sep: str) -> Column:
     return F.from_csv(value, schema, {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
 
 
+def cell_array(value: Column, sep: str) -> Column:
+    """The cells of a record as one array, for records too wide for a struct: the plan
+    is the same for any width. Between quotes (the odd parts of a split at quotes) the
+    separator is masked; an empty part between two of them is a doubled quote."""
+    mask, by = "\x01", re.escape(sep)
+    parts = F.split(value, '"', -1)
+    n = F.size(parts)
+    text = F.array_join(F.transform(parts, lambda x, i: F.when(i % 2 == 1, F.replace(x, F.lit(sep), F.lit(mask)))
+                                    .when((x == "") & (i > 0) & (i < n - 1), F.lit('"')).otherwise(x)), "")
+    quoted = F.transform(F.split(text, by, -1), lambda x: F.replace(x, F.lit(mask), F.lit(sep)))
+    return F.when(F.contains(value, F.lit('"')), quoted).otherwise(F.split(value, by, -1))
+
+
 def fill_down(rows: DataFrame, columns: list[str]) -> DataFrame:
     """Each NULL of ``columns`` takes the last value above it in its file.
     ``rows`` carry (file, block, row); a chunk learns the last value of the chunks
