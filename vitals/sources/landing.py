@@ -110,23 +110,24 @@ def _parsed(rows: DataFrame, layout: Layout, headers: dict[int, list[str]]) -> D
         held = [F.when(number == k, F.col(f"_p{k}._{at[name]}")) for k, at in places.items() if name in at]
         return F.coalesce(*held) if held else F.lit(None).cast("string")
 
-    fields, wrong, any_text = [], F.lit(None).cast("string"), F.lit(False)
-    for f in layout.schema.fields:
-        text = R.blank_to_null(cell(f.name))
-        any_text = any_text | text.isNotNull()
-        if isinstance(f.dataType, T.StringType):
-            fields.append((R.strip(text) if layout.strip else text).alias(f.name))
-            continue
-        value = R.strip(text).try_cast(f.dataType)
-        fields.append(value.alias(f.name))
-        wrong = F.coalesce(wrong, F.when(text.isNotNull() & value.isNull(), F.lit(f"tipo:{f.name}")))
-    bad = F.coalesce(*[F.col(f"_p{k}._bad") for k in headers]).isNotNull()
-    reason = F.when(~any_text, F.lit("vacia"))
+    # step by step, so that each expression is evaluated once and the generated code stays short
+    own = layout.schema.fields
+    rows = rows.select("file", "line", "value", F.coalesce(*[F.col(f"_p{k}._bad") for k in headers]).isNotNull().alias("_bad"),
+                       *[cell(f.name).alias(f"_t{i}") for i, f in enumerate(own)])
+    rows = rows.withColumns({f"_t{i}": R.blank_to_null(f"_t{i}") for i in range(len(own))})
+    text = [isinstance(f.dataType, T.StringType) for f in own]
+    rows = rows.withColumns({f"_v{i}": (R.strip(f"_t{i}") if layout.strip else F.col(f"_t{i}")) if text[i]
+                             else R.strip(f"_t{i}").try_cast(f.dataType) for i, f in enumerate(own)})
+    reason = F.when(F.coalesce(*[F.col(f"_t{i}") for i in range(len(own))]).isNull(), F.lit("vacia"))
     if layout.strict:
-        reason = F.when(lines.odd_quotes(F.col("value")), F.lit("comillas")).when(bad, F.lit("columnas")).otherwise(F.coalesce(reason, wrong))
+        wrong = [F.when(F.col(f"_t{i}").isNotNull() & F.col(f"_v{i}").isNull(), F.lit(f"tipo:{f.name}")) for i, f in enumerate(own) if not text[i]]
+        reason = (F.when(lines.odd_quotes(F.col("value")), F.lit("comillas")).when(F.col("_bad"), F.lit("columnas"))
+                  .otherwise(F.coalesce(reason, *wrong)))
+    rows = rows.withColumn("_reason", reason)
     # as one struct through a generator: a filter on the outcome stays above the parsing
-    return rows.select(F.inline_outer(F.array(F.struct(*fields, file_name(F.col("file")).alias(FILE), F.col("line").alias(LINE),
-                                                       reason.alias(REASON), F.col("value").alias(RAW)))))
+    return rows.select(F.inline_outer(F.array(F.struct(
+        *[F.col(f"_v{i}").alias(f.name) for i, f in enumerate(own)], file_name(F.col("file")).alias(FILE), F.col("line").alias(LINE),
+        F.col("_reason").alias(REASON), F.col("value").alias(RAW)))))
 
 
 def read_files(spark: SparkSession, paths, layouts: Layout | list[Layout], least: float = 0.0, glob: str | None = None) -> Landed:
