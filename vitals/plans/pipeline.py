@@ -111,7 +111,7 @@ def run_dw(spark: SparkSession, root: str, covid_start: int, covid_end: int, min
     rows = []
     for name, (fb, id_col) in facts.items():
         fact = fb.fact
-        loaded = L.load_fact(fact, root, name, id_col, fact.schema, loaded_at)
+        loaded = L.load_fact(fact, root, name, id_col, loaded_at=loaded_at)
         rows.append((name, loaded.count()))
     facts_report = spark.createDataFrame(rows, "dimension string, filas_despues bigint")
     return report.unionByName(facts_report, allowMissingColumns=True)
