@@ -118,12 +118,18 @@ def describe(df: DataFrame, catalogue: DataFrame, code_col: str, out_col: str,
 
 
 def foreign_key(df: DataFrame, dim: DataFrame, on: list[tuple[Column | str, str]], id_col: str,
-                max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Attach a dimension id by a left join on (fact expr, dim column) pairs."""
-    d = dim.select(id_col, *[F.col(dc).alias(f"_fk_{i}") for i, (_, dc) in enumerate(on)])
+                max_rows: int = BROADCAST_MAX_ROWS, valid: tuple[Column, str, str] | None = None) -> DataFrame:
+    """Attach a dimension id by a left join on (fact expr, dim column) pairs.
+    ``valid``: (date of the fact, first day, last day of a version; NULL: open) for a
+    dimension with history, whose versions of a key do not overlap."""
+    cols = [dc for _, dc in on] + ([valid[1], valid[2]] if valid else [])
+    d = dim.select(id_col, *[F.col(dc).alias(f"_fk_{i}") for i, dc in enumerate(cols)])
     cond = None
     for i, (fe, _) in enumerate(on):
         c = (F.col(fe) if isinstance(fe, str) else fe) == F.col(f"_fk_{i}")
         cond = c if cond is None else cond & c
+    if valid:
+        first, last = F.col(f"_fk_{len(on)}"), F.col(f"_fk_{len(on) + 1}")
+        cond = cond & (first.isNull() | (valid[0] >= first)) & (last.isNull() | (valid[0] <= last))
     out = df.join(bounded(d, max_rows, proof=dim), cond, "left")
-    return out.drop(*[f"_fk_{i}" for i in range(len(on))])
+    return out.drop(*[f"_fk_{i}" for i in range(len(cols))])

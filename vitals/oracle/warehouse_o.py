@@ -304,3 +304,32 @@ SELECT CAST(COUNT(*) AS BIGINT) AS filas, CAST(1 AS BIGINT) AS id_min, CAST(COUN
        CAST(COUNT(*) AS BIGINT) AS ids_distintos, CAST(SUM(total_casos) AS BIGINT) AS total_casos,
        CAST(1 AS BIGINT) AS cargas
 FROM f"""
+
+
+def _contract_row(table: str, sql: str, named: int) -> str:
+    return f"SELECT '{table}' AS tabla, CAST(0 AS BIGINT) AS infracciones, CAST({_count(sql)} AS BIGINT) AS filas, CAST({named} AS BIGINT) AS avisos"
+
+
+_STATIC = "(SELECT COUNT(*) FROM ({}) s WHERE dimension = '{}')"
+
+ORACLE["contract_tables"] = " UNION ALL ".join([
+    _contract_row("dim_tiempo", ORACLE["dim_time"], 0), _contract_row("dim_geografia_gt", ORACLE["dim_geo"], 0),
+    _contract_row("dim_geografia_mundial", ORACLE["dim_country"], 0), _contract_row("dim_causa_cie10", ORACLE["dim_cause"], 0),
+    *[f"SELECT '{t}', 0, " + _STATIC.format(ORACLE["dim_static"], t) + ", 0" for t in ("dim_sexo", "dim_grupo_etario", "dim_fuente")],
+    _contract_row("fact_defunciones_gt", ORACLE["fact_deaths"], 1), _contract_row("fact_morbimortalidad_mec", ORACLE["fact_cases"], 1),
+    _contract_row("fact_mortalidad_covid_gt", ORACLE["fact_covid_local"], 1), _contract_row("fact_mortalidad_mundial", ORACLE["fact_mortality_world"], 1),
+    _contract_row("fact_covid_mundial", ORACLE["fact_covid_world"], 1)])
+
+ORACLE["geo_versions"] = f"""
+WITH f AS ({ORACLE['fact_deaths']})
+SELECT anio, CASE WHEN nombre_departamento LIKE 'A%' AND anio >= 1998 THEN 'Otra' ELSE 'Guatemala' END AS region,
+       CASE WHEN nombre_departamento LIKE 'A%' AND anio >= 1998 THEN 2 ELSE 1 END AS version,
+       CAST(SUM(total_casos) AS BIGINT) AS total_casos
+FROM f GROUP BY ALL"""
+
+ORACLE["replicate_verify"] = """
+SELECT 'region' AS tabla, CAST(COUNT(*) AS BIGINT) AS filas_origen, CAST(COUNT(*) - 1 AS BIGINT) AS filas_destino,
+       CAST(1 AS BIGINT) AS cubetas_distintas, CAST(0 AS BIGINT) AS claves_rotas, 'diferencia' AS estado FROM region
+UNION ALL SELECT 'nation', COUNT(*), COUNT(*), 0, COUNT(*) FILTER (WHERE n_regionkey = 1), 'diferencia' FROM nation
+UNION ALL SELECT 'orders', COUNT(*), COUNT(*), 1, 0, 'diferencia' FROM orders
+UNION ALL SELECT 'customer', COUNT(*), COUNT(*), 0, 0, 'ok' FROM customer"""

@@ -26,6 +26,9 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
+# ``numbered=False``: the members alone, for a load that gives the ids (plans.load)
+
+
 def time_members(cases=None, covid_local=None, deaths=None, world=None, covid_world=None) -> DataFrame:
     """D1 members: distinct (anio, mes) of every stage table, annual member mes = 0."""
     parts = []
@@ -47,11 +50,11 @@ def time_members(cases=None, covid_local=None, deaths=None, world=None, covid_wo
     return (_union(parts).select("anio", F.coalesce(F.col("mes"), F.lit(0)).alias("mes")).distinct())
 
 
-def dim_time(members: DataFrame, covid_start: int = 2020, covid_end: int = 2021) -> DataFrame:
+def dim_time(members: DataFrame, covid_start: int = 2020, covid_end: int = 2021, numbered: bool = True) -> DataFrame:
     """id_tiempo, anio, mes, trimestre, periodo."""
     d = members.select("anio", "mes", R.quarter_of(F.col("mes")).alias("trimestre"),
                        R.classify_period(F.col("anio"), covid_start, covid_end).alias("periodo"))
-    return sequential_ids(d, "id_tiempo", ["anio", "mes"], id_type="int")
+    return sequential_ids(d, "id_tiempo", ["anio", "mes"], id_type="int") if numbered else d
 
 
 def geo_members(deaths=None, cases=None, covid_local=None) -> DataFrame:
@@ -68,7 +71,7 @@ def geo_members(deaths=None, cases=None, covid_local=None) -> DataFrame:
                     R.strip(F.coalesce(F.col("m"), F.lit(C.GEO_MISS))).alias("nombre_municipio")).distinct()
 
 
-def dim_geo(members: DataFrame, valid_from: dt.date = dt.date.fromisoformat(C.GEO_VALID_FROM)) -> DataFrame:
+def dim_geo(members: DataFrame, valid_from: dt.date = dt.date.fromisoformat(C.GEO_VALID_FROM), numbered: bool = True) -> DataFrame:
     """National geography with SCD2 columns (version 1, open)."""
     d = members.select(
         "nombre_departamento", "nombre_municipio",
@@ -76,10 +79,10 @@ def dim_geo(members: DataFrame, valid_from: dt.date = dt.date.fromisoformat(C.GE
         F.lit(valid_from).cast("date").alias("fecha_inicio_vigencia"),
         F.lit(None).cast("date").alias("fecha_fin_vigencia"),
         F.lit(True).alias("es_version_actual"), F.lit(1).alias("version"))
-    return sequential_ids(d, "id_geografia", ["nombre_departamento", "nombre_municipio"], id_type="int")
+    return sequential_ids(d, "id_geografia", ["nombre_departamento", "nombre_municipio"], id_type="int") if numbered else d
 
 
-def dim_country(world=None, covid_world=None) -> DataFrame:
+def dim_country(world=None, covid_world=None, numbered: bool = True) -> DataFrame:
     """D3: one row per ISO3 (world-mortality source first), ISO codes completed both ways."""
     iso2_to_iso3 = R.literal_map([(r[0], r[1]) for r in C.SELECTED_COUNTRIES])
     iso3_to_iso2 = R.literal_map([(r[1], r[0]) for r in C.SELECTED_COUNTRIES])
@@ -97,10 +100,10 @@ def dim_country(world=None, covid_world=None) -> DataFrame:
     one = dedup.union_with_priority(frames, ["iso3c"], tie=["nombre_pais", "iso2"])
     region = F.coalesce(F.element_at(R.literal_map(C.DIM_REGION_BY_ISO3), F.col("iso3c")), F.lit("Otro"))
     d = one.select("nombre_pais", "iso3c", "iso2", region.alias("region"))
-    return sequential_ids(d, "id_pais", ["iso3c"], id_type="int")
+    return sequential_ids(d, "id_pais", ["iso3c"], id_type="int") if numbered else d
 
 
-def dim_cause(spark: SparkSession, cases=None, deaths=None) -> DataFrame:
+def dim_cause(spark: SparkSession, cases=None, deaths=None, numbered: bool = True) -> DataFrame:
     """Codes of both sources + seed codes, one row per code, chapter and category."""
     frames = []
     if cases is not None:
@@ -117,7 +120,7 @@ def dim_cause(spark: SparkSession, cases=None, deaths=None) -> DataFrame:
     d = one.select("codigo_cie10", "descripcion",
                    R.icd_chapter_dim(F.col("codigo_cie10")).alias("capitulo_cie10"),
                    R.icd_category(F.col("codigo_cie10")).alias("categoria"))
-    return sequential_ids(d, "id_causa", ["codigo_cie10"], id_type="int")
+    return sequential_ids(d, "id_causa", ["codigo_cie10"], id_type="int") if numbered else d
 
 
 def dim_static(spark: SparkSession) -> dict[str, DataFrame]:

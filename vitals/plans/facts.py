@@ -48,10 +48,18 @@ def _time_fk(df: DataFrame, dim_time: DataFrame) -> DataFrame:
 
 
 def _geo_fk(df: DataFrame, dim_geo: DataFrame) -> DataFrame:
-    if "es_version_actual" in dim_geo.columns:  # history (D7): only open versions take new facts
+    """Place by name; of a place with history (D7) the version valid on the fact's
+    first day. The first version also holds before its start."""
+    on = [("departamento", "nombre_departamento"), ("municipio", "nombre_municipio")]
+    if "fecha_inicio_vigencia" in dim_geo.columns and "anio" in df.columns:
+        day = F.make_date("anio", F.greatest(F.coalesce(F.col("mes"), F.lit(1)), F.lit(1)), F.lit(1))
+        versions = dim_geo.withColumn("_from", F.when(F.col("version") > 1, F.col("fecha_inicio_vigencia")))
+        if (size := getattr(dim_geo, lookup.SIZE_ATTR, None)) is not None:
+            setattr(versions, lookup.SIZE_ATTR, size)
+        return lookup.foreign_key(df, versions, on, "id_geografia", valid=(day, "_from", "fecha_fin_vigencia"))
+    if "es_version_actual" in dim_geo.columns:  # facts without a date take the open version
         dim_geo = dim_geo.where("es_version_actual")
-    return lookup.foreign_key(df, dim_geo, [("departamento", "nombre_departamento"),
-                                            ("municipio", "nombre_municipio")], "id_geografia")
+    return lookup.foreign_key(df, dim_geo, on, "id_geografia")
 
 
 def _geo_keys(df: DataFrame) -> DataFrame:

@@ -83,11 +83,11 @@ def run_dw(spark: SparkSession, root: str, covid_start: int, covid_end: int, min
     static = D.dim_static(spark)
     built = {
         "dim_tiempo": (D.dim_time(D.time_members(cases=sc, covid_local=cl, deaths=sd, world=mw, covid_world=cw),
-                                  covid_start, covid_end), ["anio", "mes"], "id_tiempo", False),
-        "dim_geografia_gt": (D.dim_geo(D.geo_members(deaths=sd, cases=sc, covid_local=cl)),
+                                  covid_start, covid_end, numbered=False), ["anio", "mes"], "id_tiempo", False),
+        "dim_geografia_gt": (D.dim_geo(D.geo_members(deaths=sd, cases=sc, covid_local=cl), numbered=False),
                              ["nombre_departamento", "nombre_municipio"], "id_geografia", False),
-        "dim_geografia_mundial": (D.dim_country(world=mw, covid_world=cw), ["iso3c"], "id_pais", False),
-        "dim_causa_cie10": (D.dim_cause(spark, cases=sc, deaths=sd), ["codigo_cie10"], "id_causa", False),
+        "dim_geografia_mundial": (D.dim_country(world=mw, covid_world=cw, numbered=False), ["iso3c"], "id_pais", False),
+        "dim_causa_cie10": (D.dim_cause(spark, cases=sc, deaths=sd, numbered=False), ["codigo_cie10"], "id_causa", False),
         "dim_sexo": (static["dim_sexo"], ["codigo"], "id_sexo", True),
         "dim_grupo_etario": (static["dim_grupo_etario"], ["rango"], "id_grupo_etario", True),
         "dim_fuente": (static["dim_fuente"], ["nombre"], "id_fuente", True),

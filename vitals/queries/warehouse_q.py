@@ -19,6 +19,7 @@ from vitals.queries import stage_q as SQ
 from vitals.session import materialize
 
 FACT_CASES_MIN_YEAR = 1997
+GEO_MOVED = "A"  # first letter of the departments that change
 
 
 #: what dimensions and facts read of each stage table
@@ -44,8 +45,8 @@ def _stages(spark, d, *names):
     return {n: materialize(f.select(*(READ[n] or f.columns)), f"stage-{n}") for n, f in _lazy(spark, d, *names).items()}
 
 
-def _dim_time(st):
-    return D.dim_time(D.time_members(**st), A.TEST_COVID_START, A.TEST_COVID_END)
+def _dim_time(st, numbered=True):
+    return D.dim_time(D.time_members(**st), A.TEST_COVID_START, A.TEST_COVID_END, numbered=numbered)
 
 
 @query("dim_time")
@@ -258,16 +259,19 @@ def q_star_observed(spark, d):
 
 
 def _built_dimensions(spark, d):
-    st = _stages(spark, d, "deaths", "cases", "covid_local", "world", "covid_world")
+    return _built_from(spark, _stages(spark, d, "deaths", "cases", "covid_local", "world", "covid_world"))
+
+
+def _built_from(spark, st):
     static = D.dim_static(spark)
     return {
-        "dim_tiempo": (_dim_time(st), ["anio", "mes"], "id_tiempo", False),
+        "dim_tiempo": (_dim_time(st, numbered=False), ["anio", "mes"], "id_tiempo", False),
         "dim_geografia_gt": (D.dim_geo(D.geo_members(deaths=st["deaths"], cases=st["cases"],
-                                                     covid_local=st["covid_local"])),
+                                                     covid_local=st["covid_local"]), numbered=False),
                              ["nombre_departamento", "nombre_municipio"], "id_geografia", False),
-        "dim_geografia_mundial": (D.dim_country(world=st["world"], covid_world=st["covid_world"]),
+        "dim_geografia_mundial": (D.dim_country(world=st["world"], covid_world=st["covid_world"], numbered=False),
                                   ["iso3c"], "id_pais", False),
-        "dim_causa_cie10": (D.dim_cause(spark, cases=st["cases"], deaths=st["deaths"]), ["codigo_cie10"],
+        "dim_causa_cie10": (D.dim_cause(spark, cases=st["cases"], deaths=st["deaths"], numbered=False), ["codigo_cie10"],
                             "id_causa", False),
         "dim_sexo": (static["dim_sexo"], ["codigo"], "id_sexo", True),
         "dim_grupo_etario": (static["dim_grupo_etario"], ["rango"], "id_grupo_etario", True),
@@ -302,3 +306,91 @@ def q_load_fact(spark, d):
                       F.countDistinct("id_defuncion").cast("bigint").alias("ids_distintos"),
                       F.sum("total_casos").cast("bigint").alias("total_casos"),
                       F.countDistinct("fecha_carga").cast("bigint").alias("cargas"))
+
+
+def _facts(st, dim):
+    t, g, c, p = dim("dim_tiempo"), dim("dim_geografia_gt"), dim("dim_causa_cie10"), dim("dim_geografia_mundial")
+    age, src = dim("dim_grupo_etario"), dim("dim_fuente")
+    return {"fact_defunciones_gt": H.fact_deaths(st["deaths"], t, g, c, age, src),
+            "fact_morbimortalidad_mec": H.fact_cases(st["cases"], t, g, c, age, min_year=FACT_CASES_MIN_YEAR),
+            "fact_mortalidad_covid_gt": H.fact_covid_local(st["covid_local"], t, g, c, src),
+            "fact_mortalidad_mundial": H.fact_mortality_world(st["world"], t, p),
+            "fact_covid_mundial": H.fact_covid_world(st["covid_world"], t, p)}
+
+
+@query("contract_tables")
+def q_contract_tables(spark, d):
+    """K6/K2: the twelve tables loaded through their contracts, then one bad load of each
+    fact (a row of an unknown time), which must leave the version that is current. Per
+    table: rows, violations, violations that the bad load names."""
+    from vitals.plans.contracts import CONTRACTS, ContractError, check
+    from vitals.plans.load import load_dimensions, load_fact
+    from vitals.session import scratch_path
+    from vitals.sources import layers
+    root = scratch_path(spark, "dw")
+    st = _stages(spark, d, "deaths", "cases", "covid_local", "world", "covid_world")
+    load_dimensions(spark, root, _built_from(spark, st))
+    held = {name: layers.read_table(spark, root, "dw", name) for name in CONTRACTS if name.startswith("dim_")}
+    rows = []
+    for name, fb in _facts(st, held.get).items():
+        loaded = load_fact(fb.fact, root, name, CONTRACTS[name].id_col)
+        lost = fb.fact.unionByName(fb.fact.limit(1).withColumn("id_tiempo", F.lit(-1)))
+        named = 0
+        try:
+            load_fact(lost, root, name, CONTRACTS[name].id_col)
+        except ContractError as e:
+            named = sum(n for _, _, n in e.violations)
+        held[name] = layers.read_table(spark, root, "dw", name)
+        if held[name].inputFiles() != loaded.inputFiles():
+            raise AssertionError("a bad load must leave the current version")
+        rows.append((name, named))
+    named = dict(rows)
+    out = None
+    for name, table in held.items():
+        one = check(table, CONTRACTS[name], held).agg(
+            F.lit(name).alias("tabla"), F.sum("infracciones").cast("bigint").alias("infracciones"))
+        one = one.crossJoin(table.agg(F.count(F.lit(1)).cast("bigint").alias("filas"))).withColumn("avisos", F.lit(named.get(name, 0)).cast("bigint"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("geo_versions")
+def q_geo_versions(spark, d):
+    """The geography loaded twice, the second time some departments are
+    of another region from 1998 on; a fact loaded afterwards keeps its rows and takes
+    the version of its date. Deaths per year and region as the fact sees them."""
+    from vitals.plans.load import load_dimensions, load_fact
+    from vitals.session import scratch_path
+    from vitals.sources import layers
+    root = scratch_path(spark, "dw")
+    sd = _stages(spark, d, "deaths")["deaths"]
+    members = D.dim_geo(D.geo_members(deaths=sd), dt.date(1990, 1, 1), numbered=False)
+    key = ["nombre_departamento", "nombre_municipio"]
+    load_dimensions(spark, root, {"dim_geografia_gt": (members, key, "id_geografia", False)})
+    moved = members.withColumn("region", F.when(F.col("nombre_departamento").startswith(GEO_MOVED), F.lit("Otra")).otherwise(F.col("region")))
+    load_dimensions(spark, root, {"dim_geografia_gt": (moved, key, "id_geografia", False)}, as_of=dt.date(1998, 1, 1))
+    geo = layers.read_table(spark, root, "dw", "dim_geografia_gt")
+    t, c = _dim_time({"deaths": sd}), D.dim_cause(spark, deaths=sd)
+    fact = load_fact(H.fact_deaths(sd, t, geo, c, C.age_group_df(spark), C.source_df(spark)).fact, root, "fact_defunciones_gt", "id_defuncion")
+    return (fact.join(geo.select("id_geografia", "region", "version"), "id_geografia").join(t.select("id_tiempo", "anio"), "id_tiempo")
+            .groupBy("anio", "region", "version").agg(F.sum("total_casos").cast("bigint").alias("total_casos")))
+
+
+@query("replicate_verify")
+def q_replicate_verify(spark, d):
+    """Three tables copied, one row of the copied orders altered and the regions
+    of the copy short of one: digests and keys tell which tables differ."""
+    from vitals.session import scratch_path
+    from vitals.sources import layers
+    src, dst = scratch_path(spark, "cloud"), scratch_path(spark, "local")
+    names = ["region", "nation", "orders", "customer"]
+    for name in names:
+        layers.write_replace(A.read(spark, d, name), src, "dw", name)
+    layers.replicate(spark, src, dst, "dw", dims=names[:2], facts=names[2:])
+    o = layers.read_table(spark, dst, "dw", "orders")
+    one = o.agg(F.max("o_orderkey")).first()[0]
+    layers.write_replace(o.withColumn("o_totalprice", F.when(F.col("o_orderkey") == one, F.col("o_totalprice") + 0.01).otherwise(F.col("o_totalprice"))), dst, "dw", "orders")
+    layers.write_replace(layers.read_table(spark, dst, "dw", "region").where("r_regionkey <> 1"), dst, "dw", "region")
+    report = layers.verify_replica(spark, src, dst, "dw", {"region": ["r_regionkey"], "nation": ["n_nationkey"], "orders": ["o_orderkey"], "customer": ["c_custkey"]},
+                                   {"nation": [("n_regionkey", "region", "r_regionkey")], "customer": [("c_nationkey", "nation", "n_nationkey")]})
+    return report.select("tabla", "filas_origen", "filas_destino", F.size("cubetas_distintas").cast("bigint").alias("cubetas_distintas"), "claves_rotas", "estado")
