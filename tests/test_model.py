@@ -30,6 +30,12 @@ def test_logreg_matches_sklearn_objective(spark):
     g_b0 = np.sum(w * (p - y))
     assert np.max(np.abs(g_beta)) < 1e-2 and abs(g_b0) < 1e-2
     assert np.max(np.abs(g_beta)) / np.max(np.abs(X.T @ (w * y))) < 1e-3
+    # and closely: the same gradient from the engine, feature by feature, far below the loose bounds above
+    told = {r.caracteristica: (r.filas, r.gradiente) for r in ML.optimality(fm, df, "y").collect()}
+    want = dict(zip([*fm.feature_names(), "intercepto"], [*g_beta, g_b0]))
+    assert set(told) == set(want) and all(abs(told[k][1] - want[k]) < 1e-9 for k in want)
+    assert max(abs(v) for v in want.values()) < 1e-5
+    assert told["c=a"][0] == int((cat == "a").sum()) and told["x1"][0] == n
 
 
 def test_sweep_and_report(spark):

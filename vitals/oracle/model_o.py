@@ -33,6 +33,18 @@ split AS (SELECT municipio, region, anio, mes, r.exceso_mortalidad,
           FROM r JOIN t ON r.exceso_mortalidad = t.exceso_mortalidad)
 SELECT municipio, anio, mes, exceso_mortalidad, conjunto FROM split"""
 
+# one row per feature: the rows of its one-hot column, or those with another value than the mean
+ORACLE["model_optimality"] = f"""{ORACLE["stratified_split"].rsplit("SELECT", 1)[0].replace(
+    "SELECT municipio, anio, mes, r.exceso_mortalidad,", "SELECT municipio, region, anio, mes, promedio_pre_covid, desviacion_pre_covid, r.exceso_mortalidad,")},
+train AS (SELECT * FROM split WHERE conjunto = 'train')
+SELECT 'municipio=' || municipio AS caracteristica, CAST(COUNT(*) AS BIGINT) AS filas, true AS optimo FROM train GROUP BY municipio
+UNION ALL SELECT 'region=' || region, COUNT(*), true FROM train GROUP BY region
+UNION ALL SELECT 'anio', COUNT(*) FILTER (WHERE anio <> (SELECT AVG(anio) FROM train)), true FROM train
+UNION ALL SELECT 'mes', COUNT(*) FILTER (WHERE mes <> (SELECT AVG(mes) FROM train)), true FROM train
+UNION ALL SELECT 'promedio_pre_covid', COUNT(*), true FROM train
+UNION ALL SELECT 'desviacion_pre_covid', COUNT(*), true FROM train
+UNION ALL SELECT 'intercepto', COUNT(*), true FROM train"""
+
 ORACLE["model_artifacts"] = f"""{ORACLE["stratified_split"].rsplit("SELECT", 1)[0]}
 SELECT 'umbrales' AS artefacto, 'csv' AS formato, CAST({len(C.SWEEP_THRESHOLDS)} AS BIGINT) AS filas
 UNION ALL SELECT 'confusion', 'csv', CAST({len(C.SWEEP_THRESHOLDS)} AS BIGINT)

@@ -93,7 +93,7 @@ class FittedModel:
 
 
 def fit_logreg(train: DataFrame, categorical: list[str], numeric: list[str], label: str = "exceso_mortalidad",
-               c_reg: float = 1.0, max_iter: int = 1000) -> FittedModel:
+               c_reg: float = 1.0, max_iter: int = 1000, tol: float = 1e-10) -> FittedModel:
     """M6/M7: one-hot (unknown → zeros) + standard scaling + L2 logistic regression,
     balanced class weights. sklearn minimises C·Σ wᵢ·lossᵢ + ½‖β‖²; Spark minimises
     (Σ wᵢ·lossᵢ)/Σw + ½·λ‖β‖², so λ = 1 / (C·Σw)."""
@@ -109,7 +109,7 @@ def fit_logreg(train: DataFrame, categorical: list[str], numeric: list[str], lab
                             dropLast=True)  # the unknown bucket (last index) is dropped → zeros
     assembler = VectorAssembler(inputCols=[f"_o_{c}" for c in categorical] + [f"_z_{c}" for c in numeric],
                                 outputCol="features")
-    lr = LogisticRegression(featuresCol="features", labelCol=label, weightCol="w", maxIter=max_iter,
+    lr = LogisticRegression(featuresCol="features", labelCol=label, weightCol="w", maxIter=max_iter, tol=tol,
                             regParam=1.0 / (c_reg * float(row["_sw"])), elasticNetParam=0.0,
                             standardization=False, fitIntercept=True)
     fm = FittedModel(None, means, stds, categorical, numeric)  # type: ignore[arg-type]
@@ -123,6 +123,21 @@ def fit_logreg(train: DataFrame, categorical: list[str], numeric: list[str], lab
     return fm
 
 
+def optimality(fm: FittedModel, train: DataFrame, label: str = "exceso_mortalidad", c_reg: float = 1.0) -> DataFrame:
+    """Per feature and for the intercept, the training rows in which it is not
+    zero and the gradient of C·Σ wᵢ·lossᵢ + ½‖β‖² at the fitted coefficients, which is
+    zero at the optimum; one pass, summed per feature in the engine."""
+    lr = fm.pipeline.stages[-1]
+    scored = fm.transform(with_balanced_weights(train, label), "_p")
+    pull = F.col("w") * (F.col("_p") - F.col(label).cast("double"))
+    parts = scored.select(pull.alias("_r"), F.posexplode(F.concat(vector_to_array("features"), F.array(F.lit(1.0)))).alias("_j", "_x"))
+    names = [*fm.feature_names(), "intercepto"]
+    known = train.sparkSession.createDataFrame(
+        [(j, n, float(b) / c_reg) for j, (n, b) in enumerate(zip(names, [*lr.coefficients.toArray(), 0.0], strict=True))], "_j int, caracteristica string, _b double")
+    sums = parts.groupBy("_j").agg(F.count_if(F.col("_x") != 0).cast("bigint").alias("filas"), F.sum(F.col("_r") * F.col("_x")).alias("_s"))
+    return sums.join(F.broadcast(known), "_j").select("caracteristica", "filas", (F.col("_s") + F.col("_b")).alias("gradiente"))
+
+
 def coefficients(spark, fm: FittedModel) -> DataFrame:
     """One row per model feature plus the intercept."""
     lr = fm.pipeline.stages[-1]

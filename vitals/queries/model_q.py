@@ -66,6 +66,15 @@ def q_coefficients(spark, d):
     return ML.coefficients(spark, fm)
 
 
+@query("model_optimality")
+def q_model_optimality(spark, d):
+    """Every feature of the fitted model with its training rows, and whether
+    the gradient of the objective vanishes there."""
+    fm, split = _trained(spark, d)
+    found = ML.optimality(fm, split.where(F.col("conjunto") == "train"))
+    return found.select("caracteristica", "filas", (F.abs("gradiente") < 1e-4).alias("optimo"))
+
+
 @query("score_scenario")
 def q_score_scenario(spark, d):
     """Scenario rows for the last data year: entity attributes + baseline looked up +
