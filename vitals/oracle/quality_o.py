@@ -38,3 +38,17 @@ SELECT grupo AS texto, CAST(COUNT(*) AS BIGINT) AS n FROM s
 WHERE (contains(s, '< 1') OR contains(s, 'menor'))
   AND list_max(list_transform(regexp_extract_all(s, '(\\d+)', 1), lambda x: TRY_CAST(x AS BIGINT))) > 1
 GROUP BY grupo"""
+
+
+def _profile(table: str, source: str, numbers: list[str], texts: list[str]) -> str:
+    rows = [f"SELECT '{table}' AS tabla, '{c}' AS columna, CAST(COUNT(*) AS BIGINT) AS filas, CAST(COUNT(*) - COUNT({c}) AS BIGINT) AS nulos, "
+            f"CAST(MIN({c}) AS DOUBLE) AS minimo, CAST(MAX({c}) AS DOUBLE) AS maximo, CAST(NULL AS VARCHAR) AS primero, CAST(NULL AS VARCHAR) AS ultimo FROM {source}"
+            for c in numbers]
+    rows += [f"SELECT '{table}', '{c}', COUNT(*), COUNT(*) - COUNT({c}), NULL, NULL, MIN(CAST({c} AS VARCHAR)), MAX(CAST({c} AS VARCHAR)) FROM {source}" for c in texts]
+    return " UNION ALL ".join(rows)
+
+
+ORACLE["profile_columns"] = " UNION ALL ".join([
+    _profile("orders", "(SELECT *, CASE WHEN o_orderkey % 3 = 0 THEN o_orderstatus END AS nota FROM orders) o",
+             ["o_orderkey", "o_custkey", "o_totalprice"], ["o_orderstatus", "o_orderdate", "o_orderpriority", "nota"]),
+    _profile("customer", "customer", ["c_custkey", "c_nationkey", "c_acctbal"], ["c_name", "c_mktsegment"])])

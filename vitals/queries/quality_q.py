@@ -47,3 +47,13 @@ def q_age_text_flags(spark, d):
                        .when(F.col("l_linenumber") % 5 == 1, F.concat(F.lit("< "), q))
                        .otherwise(F.col("Grupo Etario")).alias("grupo"))
     return quality.age_text_flags(texts, "grupo")
+
+
+@query("profile_columns")
+def q_profile_columns(spark, d):
+    """Q2: the profile of two whole tables, one of them merged from the profiles of its parts."""
+    o = A.read(spark, d, "orders").withColumn("nota", F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderstatus")))
+    parts = quality.profile_sketches(o.where("o_orderkey % 2 = 0")).unionByName(quality.profile_sketches(o.where("o_orderkey % 2 = 1")))
+    both = (quality.finished(quality.merge_profiles(parts)).withColumn("tabla", F.lit("orders"))
+            .unionByName(quality.profile(A.read(spark, d, "customer")).withColumn("tabla", F.lit("customer"))))
+    return both.select("tabla", "columna", "filas", "nulos", "minimo", "maximo", "primero", "ultimo")
