@@ -282,7 +282,8 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Mod
              .where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
     # at most max_train ids: small enough to send to the documents
-    sample = written(only(docs, doc_id="long", text="string").join(F.broadcast(known), "doc_id").dropDuplicates(["doc_id"]), "toxicity-sample")
+    sample = written(only(docs, doc_id="long", text="string").join(F.broadcast(known), "doc_id")
+                     .groupBy("doc_id", "toxic").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")), "toxicity-sample")
     sizes = {r[0]: r[1] for r in sample.groupBy("toxic").count().collect()}
     if not sizes.get(1) or not sizes.get(0):
         return Model(list(SEED_TERMS), [], PRIOR)
