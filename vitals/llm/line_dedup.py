@@ -43,7 +43,8 @@ from vitals.llm.common import ASCII_SPACE, only, read, written
 
 MIN_CHARS = 10
 SHARD_KEYS = 1 << 18
-SALTS = 16
+#: lines that ask one copy of a shard
+ASKED = 1 << 19
 _LAST = (1 << 63) - 1
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -171,7 +172,7 @@ _PROBED = "doc long, body long, drop array<int>"
 def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by shard, the index row of a shard before its probes."""
     shard, mph = None, None
-    prints = owners = np.zeros(0, "<i8")
+    prints = owners = counts = np.zeros(0, "<i8")
     for b in batches:
         docs, bodies, drop = [], [], []
         shards, sizes, own, body = (b.column(c).to_pylist() for c in ("shard", "sizes", "doc", "body"))
@@ -180,10 +181,11 @@ def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 shard, mph = shards[i], PerfectHash.from_bytes(b.column("bits")[i].as_py(), sizes[i])
                 prints = np.frombuffer(b.column("prints")[i].as_py(), "<i8")
                 owners = np.frombuffer(b.column("owners")[i].as_py(), "<i8")
+                counts = np.frombuffer(b.column("counts")[i].as_py(), "<i8")
             elif shard == shards[i] and len(prints):
                 h1, h2, at = (b.column(c)[i].values.to_numpy() for c in ("h1", "h2", "at"))
                 slot = mph.slots(h1.view(np.uint64))
-                hit = (slot >= 0) & (prints[slot] == h2) & (owners[slot] != own[i])
+                hit = (slot >= 0) & (prints[slot] == h2) & (counts[slot] > 1) & (owners[slot] != own[i])
                 if hit.any():
                     docs.append(own[i])
                     bodies.append(body[i])
@@ -192,16 +194,19 @@ def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           pa.array(drop, pa.list_(pa.int32()))], names=["doc", "body", "drop"])
 
 
-def drops(lines: DataFrame, index: DataFrame, shards: int, salts: int = SALTS) -> DataFrame:
-    """(doc, body, drop): the positions of the lines that go."""
+def drops(lines: DataFrame, index: DataFrame, shards: int, asked: int = ASKED) -> DataFrame:
+    """(doc, body, drop): the positions of the lines that go. A shard is copied to as
+    many tasks as its share of the lines needs, so that no task is asked for more than
+    about ``asked`` of them, however few shards there are."""
+    salts = max(1, -(-lines.count() // (shards * asked)))  # the count comes from the footers
     ask = (lines.withColumn("shard", _shard(F.col("h1"), shards))
            .groupBy("doc", "body", "shard").agg(F.collect_set(F.struct("at", "h1", "h2")).alias("x"))
            .select("shard", F.pmod(F.xxhash64("doc"), F.lit(salts)).cast("int").alias("salt"), "doc", "body",
                    F.col("x.at").alias("at"), F.col("x.h1").alias("h1"), F.col("x.h2").alias("h2")))
-    arrays = index.drop("counts").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    arrays = index.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     both = arrays.unionByName(ask, allowMissingColumns=True)
     return (both.repartition("shard", "salt").sortWithinPartitions("shard", "salt", F.col("sizes").isNull())
-            .select("shard", "bits", "sizes", "prints", "owners", "doc", "body", "at", "h1", "h2")
+            .select("shard", "bits", "sizes", "prints", "owners", "counts", "doc", "body", "at", "h1", "h2")
             .mapInArrow(_probe, _PROBED)
             .groupBy("doc", "body").agg(F.array_distinct(F.flatten(F.collect_list("drop"))).alias("drop")))
 
