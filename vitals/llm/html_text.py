@@ -159,8 +159,9 @@ def _score(page: Page) -> tuple[list[float], list[bool], list[int], list[int]]:
     cut = [False] * n
     for k in range(1, n):
         bad = page.unlike[k] or (page.tag[k] == "header" and not within[k])
-        # a name is no proof against the element that holds most of the page
-        if bad and page.tag[k] not in _CUT and (holds[k] or 2 * whole[k] > whole[0]):
+        # a name is no proof against the element that holds most of the page, nor is a form
+        # around the page (its controls are cut all the same)
+        if bad and (page.tag[k] not in _CUT or page.tag[k] == "form") and (holds[k] or 2 * whole[k] > whole[0]):
             bad = False
         cut[k] = bad or cut[page.parent[k]]
     for k, text, _ in page.runs:
