@@ -292,6 +292,15 @@ def test_main_text_keeps_a_layout_at_any_length(n):
     assert main_text(page) == " ".join(want)
 
 
+def test_main_text_of_a_page_inside_a_form():
+    long = "A long paragraph of the text, with a comma, and enough words to count as prose."
+    page = (f"<body><form id=aspnetForm><div><p>{long}</p><p>{long}</p></div><select><option>One</select><button>Send it now</button>"
+            f"<textarea>Your words</textarea></form></body>")
+    assert main_text(page) == f"{long} {long}"
+    small = f"<body><div><p>{long}</p><p>{long}</p></div><form><p>Write to us, please, with your name and your address.</p></form></body>"
+    assert main_text(small) == f"{long} {long}"
+
+
 def test_pages(spark):
     rows = [(1, "u", PAGE), (2, None, None), (None, "v", ""), (1, "u", PAGE)]
     d = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, text string")
@@ -306,7 +315,7 @@ def test_oracle(spark, sf_small, name):
 
 
 def test_registered():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(E.queries())
 
 

@@ -9,9 +9,8 @@ first character, and one more where backslashes stand already, which is undone
 exactly. The loss mask is the span of an assistant text; its place, like that of
 every segment, is a prefix sum of segment lengths.
 
-Scale. Turns are encoded where they are read. They are then ordered by ranges of
-(conversation, turn), so a conversation of any length is spread over tasks; each
-task sums the lengths of its rows, and what a conversation brings from earlier
+Scale. Turns are ordered by ranges of (conversation, turn), so a conversation of any
+length is spread over tasks, and encoded there; each task sums the lengths of its rows, and what a conversation brings from earlier
 ranges is added afterwards: at most one conversation continues into a range, so
 that table has no more rows than there are ranges and is broadcast. Reading the
 text of a conversation back for a digest is a stream in order: SHA-256 must see a
@@ -132,7 +131,8 @@ def format_turns(turns: DataFrame, file: str, ranks: str) -> DataFrame:
     own = only(turns, conv_id="long", turn="long", role="string", text="string").fillna("", ["role", "text"])
     own = own.withColumn("tie", F.xxhash64("role", "text"))
     order = ["conv_id", "turn", "tie"]
-    ranged = own.mapInArrow(_encode(file, ranks), _ENCODED).repartitionByRange(*order).sortWithinPartitions(*order)
+    # ranges first: drawing their bounds reads the turns once more, which must not encode them
+    ranged = own.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_encode(file, ranks), _ENCODED)
     placed = written(ranged.mapInArrow(_place, _PLACED).withColumn("part", F.spark_partition_id()), "chat-turns")
     earlier = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     carry = (placed.groupBy("conv_id", "part").agg(F.sum("n_ids").alias("t"), F.count(F.lit(1)).alias("c"))
@@ -200,3 +200,21 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     control = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-7, 0, "user", control), (-7, 1, "assistant", control)], turns.schema)
     return read_back(format_turns(turns.unionByName(extra), file, ranks), file, ranks)
+
+
+#: The rule in SQL, from the texts: what the ids must read back as.
+CHAT_FORMAT_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+sized AS (
+  SELECT *, length(regexp_replace(role || chr(10) || text, '([<\[])(\\*)(s>|/s>|INST\]|/INST\]|<SYS>>|</SYS>>|\|[A-Za-z_]\w*\|>)',
+                                  '\1\2\\\3', 'g')) - 1 AS chars
+  FROM turns)
+SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars) + 23 * count(*) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vitals.llm.chat_format import op3_chat_format
+from vitals.llm.chat_format import CHAT_FORMAT_SQL, op3_chat_format
 from vitals.llm.fill_middle import FILL_MIDDLE_SQL, op11_fill_middle
 from vitals.llm.html_text import op8_html_extraction
 from vitals.llm.line_dedup import LINE_DEDUP_SQL, op5_line_dedup
@@ -33,6 +33,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op3_chat_format": CHAT_FORMAT_SQL,
     "op5_line_dedup": LINE_DEDUP_SQL,
     "op11_fill_middle": FILL_MIDDLE_SQL,
     "op13_secret_scan": SECRET_SCAN_SQL,
