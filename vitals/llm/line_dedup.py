@@ -44,7 +44,7 @@ from vitals.llm.common import ASCII_SPACE, only, read, written
 MIN_CHARS = 10
 SHARD_KEYS = 1 << 18
 #: lines that ask one copy of a shard
-ASKED = 1 << 19
+ASKED = 1 << 17
 _LAST = (1 << 63) - 1
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
