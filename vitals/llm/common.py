@@ -68,3 +68,11 @@ def once(key: tuple, make):
                 _ONCE.pop(key[0], None)
                 held = _ONCE[key[0]] = (key, make())
     return held[1]
+
+
+def release(*keep: str) -> None:
+    """Drop what ``once`` keeps but for some kinds: a worker that goes on to another stage
+    of a pipeline does not hold the tries and tokenizers of the stages before."""
+    with _LOCK:
+        for kind in [k for k in _ONCE if k not in keep]:
+            del _ONCE[kind]

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitals.llm.common import ASCII_SPACE, only, read, written
+from vitals.llm.common import ASCII_SPACE, only, read, release, written
 
 MIN_CHARS = 10
 SHARD_KEYS = 1 << 18
@@ -171,6 +171,7 @@ _PROBED = "doc long, body long, drop array<int>"
 
 def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by shard, the index row of a shard before its probes."""
+    release()
     shard, mph = None, None
     prints = owners = counts = np.zeros(0, "<i8")
     for b in batches:

@@ -39,6 +39,7 @@ ids are never inputs of a score.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -97,8 +98,9 @@ class Lexicon:
         self._forget()
 
     def _forget(self) -> None:
-        self.states: dict[frozenset, int] = {}
-        self.sets: list[frozenset] = []
+        #: a state's (node, edits) as sorted 32-bit numbers: some 100 bytes in the place of sets of pairs
+        self.states: dict[bytes, int] = {}
+        self.sets: list[bytes] = []
         self.steps: list[dict[str, int]] = []
         self.kinds: list[int] = []  # of a word that ends here
         self.begun: list[int] = []  # of a word that goes on from here in any way
@@ -118,7 +120,7 @@ class Lexicon:
         return at
 
     def _state(self, at: dict[int, int]) -> int:
-        key = frozenset(at.items())
+        key = array("I", sorted(node << 3 | e for node, e in at.items())).tobytes()
         if key not in self.states:
             kind = begun = 0
             for node, e in at.items():
@@ -140,7 +142,8 @@ class Lexicon:
         def put(node: int, e: int, most: int) -> None:
             if e <= most and out.get(node, 99) > e:
                 out[node] = e
-        for node, e in self.sets[state]:
+        for pair in array("I", self.sets[state]):
+            node, e = pair >> 3, pair & 7
             for letter, k in self.child[node].items():
                 if letter == c:
                     put(k, e, self.reach[k])
