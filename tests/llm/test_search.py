@@ -137,6 +137,27 @@ def test_neighbours_beside_repeated_rows(spark, n):
     assert len(got) == 10 and got[:2] == [1, 2] and len(set(got) & set(want)) >= 9
 
 
+def test_neighbours_of_a_hot_bucket(spark, monkeypatch):
+    """Many queries and rows of one bucket: parts meet sides, and no pair is lost."""
+    monkeypatch.setattr(V, "BLOCK", 16)
+    rng = np.random.default_rng(11)
+    x = np.concatenate([1e-3 * rng.standard_normal((120, 6)) + 1, rng.standard_normal((180, 6))])
+    d = spark.createDataFrame([(i, x[i].tolist()) for i in range(len(x))], "vec_id long, embedding array<double>")
+    got = collections.defaultdict(list)
+    for r in V.nearest(d, F.col("id") % 2 == 0).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    assert sorted(got) == list(range(0, 300, 2)) and all(len(v) == 10 for v in got.values())
+    share = [len(set(v) & set(exact_neighbours(np.arange(300), x, q)[1])) / 10 for q, v in got.items()]
+    assert np.mean(share) >= 0.9
+
+
+def test_the_vector_that_asks_is_the_smallest(spark):
+    rows = [(0, [5.0, 5.0]), (0, [1.0, 1.0]), (1, [1.0, 1.1]), (2, [5.0, 5.1])]
+    d = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for part in (1, 3):
+        assert [r.vec_id for r in V.nearest(d.repartition(part), F.col("id") == 0, top=1).collect()] == [1]
+
+
 def test_neighbours_few_and_none(spark):
     d = spark.createDataFrame([(0, [1.0, 2.0]), (1, [2.0, 1.0]), (2, [1.0, 2.0])], "vec_id long, embedding array<float>")
     assert [(r.query_id, r.rank, r.vec_id) for r in V.nearest(d, F.col("id") == 0).orderBy("rank").collect()] == [(0, 1, 2), (0, 2, 1)]

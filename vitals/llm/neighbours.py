@@ -21,9 +21,12 @@ rows up to ``MAX_K``, beyond which ``MAX_PROBES`` visits would not reach the tar
 for an r a tenth above the median. All rows are indexed.
 
 Scale. Copies of a vector: only the k + 1 smallest ids of each can be among any
-answer, so the others leave early, with map-side combine. Buckets of more than
-``BLOCK`` rows are split, and their visitors go to every part. A task streams rows
-after the queries of the same bucket part; nothing is gathered.
+answer, so the others leave early, with map-side combine. Visits are (bucket, query)
+pairs without vectors until those of empty buckets are gone. Buckets of more than
+``BLOCK`` rows are split into parts and visitors of more than ``BLOCK`` queries into
+sides; every part meets every side in a task of its own, which streams the part's
+rows after the side's queries. The search of all rows is cut the same way, and the
+column ``exact`` names the queries that took it.
 
 Defined results: vectors that are null or zero, hold a null or non-finite
 component, or differ in size from the most frequent size take no part, nor do
@@ -44,6 +47,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vitals.llm.common import only, read, written
+from vitals.operators.lookup import bounded
 
 TOP = 10
 TABLES = 2
@@ -110,6 +114,8 @@ def _stack(column: pa.ChunkedArray | pa.Array, size: int) -> np.ndarray:
 
 
 _FILED = "table int, key long, id long, vector array<double>"
+_VISITS = "table int, key long, id long"
+_CELL = ["table", "key", "part", "side"]
 
 
 def _radius(distances: np.ndarray, rows: int, top: int) -> float:
@@ -124,27 +130,31 @@ def _radius(distances: np.ndarray, rows: int, top: int) -> float:
     return r * min(1.0, m / rows) ** min(1.0, spread)
 
 
-def _file(hashing: Hashing, size: int, probing: bool):
-    """Rows (id, vector) under their buckets; if probing, rows (id, vector, radius)
-    under the buckets they visit."""
+def _file(hashing: Hashing, size: int):
+    """Rows (id, vector) under their buckets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if not b.num_rows:
-                continue
-            x, radii = _stack(b.column(1), size), b.column(2).to_numpy() if probing else None
+            x = _stack(b.column(1), size)
+            for t in range(hashing.tables if len(x) else 0):
+                keys = Hashing.keys(np.floor(hashing.places(x, t)))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), t, np.int32)), pa.array(keys), b.column(0), b.column(1)],
+                                                 names=["table", "key", "id", "vector"])
+    return run
+
+
+def _visit(hashing: Hashing, size: int):
+    """The buckets that queries (id, vector, radius) visit."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x, radii = _stack(b.column(1), size), b.column(2).to_numpy()
             for t in range(hashing.tables):
                 places = hashing.places(x, t)
-                if not probing:
-                    yield filed(t, Hashing.keys(np.floor(places)), b.column(0), b.column(1))
-                    continue
                 for i in range(0, len(x), 64):
                     bins = [hashing.probes(p, r) for p, r in zip(places[i:i + 64], radii[i:i + 64], strict=True)]
                     who = pa.array(np.repeat(np.arange(i, i + len(bins)), [len(p) for p in bins]))
-                    yield filed(t, Hashing.keys(np.concatenate(bins)), b.column(0).take(who), b.column(1).take(who))
-
-    def filed(t: int, keys: np.ndarray, ids: pa.Array, vectors: pa.Array) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), t, np.int32)), pa.array(keys), ids, vectors],
-                                          names=["table", "key", "id", "vector"])
+                    keys = Hashing.keys(np.concatenate(bins))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), t, np.int32)), pa.array(keys), b.column(0).take(who)],
+                                                     names=["table", "key", "id"])
     return run
 
 
@@ -159,7 +169,8 @@ def _estimated(ids: np.ndarray, sample: np.ndarray, size: int, rows: int, top: i
 
 
 def _search(size: int, top: int):
-    """Rows sorted by bucket part, its queries first: each query's nearest rows there."""
+    """Rows sorted by cell (part and side of a bucket), its queries first: each query's
+    nearest rows there."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, queries, held, n_held = None, [], [], 0
 
@@ -192,11 +203,11 @@ def _search(size: int, top: int):
         for b in batches:
             if not b.num_rows:
                 continue
-            t, k, p, kind, ids = (b.column(c).to_numpy() for c in ("table", "key", "part", "kind", "id"))
+            *cell, kind, ids = (b.column(c).to_numpy() for c in (*_CELL, "kind", "id"))
             x = _stack(b.column("vector"), size)
-            new = np.flatnonzero((np.diff(t) != 0) | (np.diff(k) != 0) | (np.diff(p) != 0) | (np.diff(kind) != 0)) + 1
-            for lo, hi in zip([0, *new], [*new, len(t)], strict=True):
-                here = (t[lo], k[lo], p[lo])
+            new = np.flatnonzero(np.any([np.diff(c) != 0 for c in (*cell, kind)], axis=0)) + 1
+            for lo, hi in zip([0, *new], [*new, len(ids)], strict=True):
+                here = tuple(c[lo] for c in cell)
                 if here != part:
                     yield from flush()
                     part, queries = here, []
@@ -211,24 +222,38 @@ def _search(size: int, top: int):
     return run
 
 
+def _parts() -> Column:
+    """Blocks that the rows of a group fill."""
+    return F.ceil(F.count(F.lit(1)) / BLOCK).cast("int")
+
+
+def _one_of(blocks: str) -> Column:
+    return F.pmod(F.xxhash64("id"), F.col(blocks)).cast("int")
+
+
+def _all(blocks: str) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+
+
 def _meet(probes: DataFrame, index: DataFrame, size: int, top: int) -> DataFrame:
     """(query_id, vec_id, score): per visit, the nearest rows. probes and index:
-    (table, key, part, id, vector)."""
-    both = probes.withColumn("kind", F.lit(0)).unionByName(index.withColumn("kind", F.lit(1)))
-    return (both.repartition("table", "key", "part").sortWithinPartitions("table", "key", "part", "kind")
-            .select("table", "key", "part", "kind", "id", "vector")
+    (table, key, part, side, id, vector)."""
+    columns = [*_CELL, "id", "vector"]
+    both = probes.select(F.lit(0).alias("kind"), *columns).unionByName(index.select(F.lit(1).alias("kind"), *columns))
+    return (both.repartition(*_CELL).sortWithinPartitions(*_CELL, "kind")
             .mapInArrow(_search(size, top), "query_id long, vec_id long, score double"))
 
 
 def nearest(rows: DataFrame, is_query: Column, top: int = TOP, tables: int = TABLES, target: float = TARGET) -> DataFrame:
-    """(query_id, rank, vec_id, score) for the rows of ``rows`` (vec_id,
-    embedding) on which ``is_query`` holds, among all rows."""
+    """(query_id, rank, vec_id, score, exact) for the rows of ``rows`` (vec_id,
+    embedding) on which ``is_query`` holds, among all rows; of several vectors of an id
+    the smallest asks. ``exact``: the query searched all rows."""
     spark = rows.sparkSession
     own = only(rows, vec_id="long", embedding="array<double>").withColumnRenamed("vec_id", "id").withColumnRenamed("embedding", "vector")
     own = own.where(F.col("id").isNotNull() & usable(F.col("vector")))
     sizes = own.groupBy(F.size("vector").alias("size")).count().orderBy(F.desc("count"), "size").first()
     if sizes is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double, exact boolean")
     size, n = sizes
     own = own.where(F.size("vector") == size)
     # repeated rows are merged first, with map-side combine: a row repeated often is one row from here on
@@ -236,7 +261,7 @@ def nearest(rows: DataFrame, is_query: Column, top: int = TOP, tables: int = TAB
     stored = written(own.groupBy("id", "vector").agg(F.count(F.lit(1)).alias("_count"))
                      .withColumn("_rank", F.dense_rank().over(copies)).where(F.col("_rank") <= top + 1).select("id", "vector"), "vectors")
     n = stored.count()
-    queries = written(own.where(is_query).dropDuplicates(["id"]), "vector-queries")
+    queries = written(own.where(is_query).groupBy("id").agg(F.min("vector").alias("vector")), "vector-queries")
 
     drawn = stored.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()
     ids, sample = np.array([r["id"] for r in drawn]), np.array([r["vector"] for r in drawn], dtype=float)
@@ -246,25 +271,19 @@ def nearest(rows: DataFrame, is_query: Column, top: int = TOP, tables: int = TAB
     radii = [r for r in radii if r > 1e-6]
     hashing = Hashing(size, n, float(np.median(radii)) if radii else 1.0, tables, target)
 
-    index = written(stored.mapInArrow(_file(hashing, size, False), _FILED), "vector-index")
-    large = written(index.groupBy("table", "key").count().where(F.col("count") > BLOCK)
-                    .select("table", "key", F.ceil(F.col("count") / BLOCK).cast("int").alias("parts")), "vector-buckets")
-    split = not large.isEmpty()
-    if split:
-        index = (index.join(large, ["table", "key"], "left")
-                 .withColumn("part", F.pmod(F.xxhash64("id"), F.coalesce("parts", F.lit(1))).cast("int")).drop("parts"))
-    else:
-        index = index.withColumn("part", F.lit(0))
+    index = written(stored.mapInArrow(_file(hashing, size), _FILED), "vector-index")
+    buckets = written(index.groupBy("table", "key").agg(_parts().alias("parts")), "vector-buckets")
 
     def visited(asked: DataFrame) -> DataFrame:
         """What queries (id, vector, radius) find in the buckets they visit."""
-        visits = asked.select("id", "vector", "radius").mapInArrow(_file(hashing, size, True), _FILED)
-        if split:
-            visits = (visits.join(large, ["table", "key"], "left")
-                      .withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts"))
-        else:
-            visits = visits.withColumn("part", F.lit(0))
-        return written(merged(_meet(visits, index, size, top)), "vector-found")
+        visits = written(asked.select("id", "vector", "radius").mapInArrow(_visit(hashing, size), _VISITS)
+                         .join(bounded(buckets), ["table", "key"]), "vector-visits")
+        sides = bounded(written(visits.groupBy("table", "key").agg(F.max("parts").alias("parts"), _parts().alias("sides")), "vector-sides"))
+        probes = (visits.drop("parts").join(sides, ["table", "key"])
+                  .select("table", "key", _all("parts").alias("part"), _one_of("sides").alias("side"), "id").join(asked.select("id", "vector"), "id"))
+        rows = (index.join(sides, ["table", "key"])
+                .select("table", "key", _one_of("parts").alias("part"), _all("sides").alias("side"), "id", "vector"))
+        return written(merged(_meet(probes, rows, size, top)), "vector-found")
 
     def merged(some: DataFrame) -> DataFrame:
         best = Window.partitionBy("query_id").orderBy("score", "vec_id")
@@ -273,7 +292,7 @@ def nearest(rows: DataFrame, is_query: Column, top: int = TOP, tables: int = TAB
 
     queries = written(queries.select("id", "vector").mapInArrow(_estimated(ids, sample, size, n, top), "id long, vector array<double>, radius double"),
                       "vector-radii")
-    found = visited(queries)
+    found, short = visited(queries), None
     # queries whose last result lies beyond the radius they covered (or that found too few: null)
     reached = found.groupBy("query_id").agg(F.max("score").alias("last"), F.count(F.lit(1)).alias("c")).where(F.col("c") >= top)
     beyond = written(queries.join(reached, queries["id"] == reached["query_id"], "left").where("last IS NULL OR last > radius")
@@ -285,16 +304,19 @@ def nearest(rows: DataFrame, is_query: Column, top: int = TOP, tables: int = TAB
         enough = wider.groupBy("query_id").count().where(F.col("count") >= top)
         short = written(beyond.join(enough, beyond["id"] == enough["query_id"], "left_anti").select("id", "vector"), "vector-short")
         if not short.isEmpty():
-            blocks = max(1, -(-n // BLOCK))
-            every = stored.select(F.lit(0).alias("table"), F.lit(0).cast("long").alias("key"),
-                                  F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("part"), "id", "vector")
-            asked = short.select(F.lit(0).alias("table"), F.lit(0).cast("long").alias("key"),
-                                 F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("part"), "id", "vector")
+            whole = [F.lit(0).alias("table"), F.lit(0).cast("long").alias("key")]
+            blocks = {"parts": F.lit(max(1, -(-n // BLOCK))), "sides": F.lit(max(1, -(-short.count() // BLOCK)))}
+            every = stored.withColumns(blocks).select(*whole, _one_of("parts").alias("part"), _all("sides").alias("side"), "id", "vector")
+            asked = short.withColumns(blocks).select(*whole, _all("parts").alias("part"), _one_of("sides").alias("side"), "id", "vector")
             found = found.unionByName(_meet(asked, every, size, top))
         found = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
-            .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
+    ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
+    if short is None:
+        ranked = ranked.withColumn("exact", F.lit(False))
+    else:
+        ranked = ranked.join(short.select(F.col("id").alias("query_id"), F.lit(True).alias("exact")), "query_id", "left")
+    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score", F.coalesce("exact", F.lit(False)).alias("exact"))
 
 
 def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
