@@ -18,30 +18,16 @@ from vitals.plans import facts as H
 from vitals.plans import load as L
 from vitals.plans import marts as M
 from vitals.plans import stage as S
+from vitals.plans.sandbox import jobs, write_sources
+from vitals.session import scratch_path
 from vitals.sources import layers
 
 STEPS = ("sandbox", "stage", "dw", "marts")
 
 
-def sources(sf_dir: str) -> layers.Registry:
-    """The landing registry: one source per sandbox table."""
-    def src(name, build):
-        return layers.Source(name, lambda spark: build(spark, sf_dir))
-    return layers.Registry([
-        src("sandbox_ine", A.deaths_raw),
-        src("sandbox_ine_diccionario", A.ine_dictionary),
-        src("sandbox_ine_cie10", A.icd_catalogue_raw),
-        src("sandbox_mspas_mec", A.cases_raw),
-        src("sandbox_mspas_covid", A.covid_local_long),
-        src("sandbox_world_mortality", A.world_mortality),
-        src("sandbox_centroamerica", lambda spark, d: S.homologate_regional(
-            A.regional_panama(spark, d), A.regional_costa_rica(spark, d))),
-        src("sandbox_covid_mundial", A.covid_world_weekly),
-    ])
-
-
-def run_sandbox(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
-    return sources(sf_dir).run(spark, root, layer="sandbox")
+def run_sandbox(spark: SparkSession, folder: str, root: str) -> DataFrame:
+    """The landing jobs of all sources over a folder of files."""
+    return jobs(folder).run(spark, root, layer="sandbox")
 
 
 def _sb(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -64,9 +50,9 @@ def run_stage(spark: SparkSession, root: str, covid_start: int, covid_end: int,
         "stage_covid_mundial": S.stage_covid_world(_sb(spark, root, "sandbox_covid_mundial"),
                                                    covid_start, covid_end),
     }
-    out = {}
+    out, at = {}, L.run_timestamp()
     for name, df in t.items():
-        layers.write_replace(df, root, "stage", name)
+        layers.write_replace(S.loaded(df, at), root, "stage", name)
         out[name] = layers.read_table(spark, root, "stage", name).count()
     return out
 
@@ -134,11 +120,15 @@ def run_marts(spark: SparkSession, root: str, years: tuple[int, int],
 
 def run(spark: SparkSession, sf_dir: str, root: str, steps=STEPS, covid_start: int = A.TEST_COVID_START,
         covid_end: int = A.TEST_COVID_END, years: tuple[int, int] = (1996, 2001),
-        baseline_years: tuple[int, int] = A.TEST_BASELINE_YEARS) -> dict:
-    """Run the selected steps in order; returns each step's report."""
+        baseline_years: tuple[int, int] = A.TEST_BASELINE_YEARS, files: str | None = None) -> dict:
+    """Run the selected steps in order; returns each step's report. ``files``: the folder
+    of source files (``plans.sandbox``); by default one is laid down from ``sf_dir``."""
     out = {}
     if "sandbox" in steps:
-        report = run_sandbox(spark, sf_dir, root)
+        if files is None:
+            files = scratch_path(spark, "source-files")
+            write_sources(spark, sf_dir, files)
+        report = run_sandbox(spark, files, root)
         out["sandbox"] = [r.asDict() for r in report.collect()]
         out["sandbox_summary"] = layers.run_summary(report).first().asDict()
     if "stage" in steps:

@@ -7,13 +7,26 @@ checked broadcasts; fixed maps are literal map expressions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitals import catalogues as C
 from vitals.functions import rules as R
 from vitals.operators import dedup, lookup, reshape
 
+FILE, LOADED = "archivo_origen", "fecha_carga"
+
+
+def _file(raw: DataFrame) -> list[Column]:
+    """The landed file of each row, where the sandbox names it."""
+    return [F.col(FILE)] if FILE in raw.columns else []
+
+
+def loaded(stage: DataFrame, at: str) -> DataFrame:
+    """stage rows with the time of their load (one per run)."""
+    return stage.withColumn(LOADED, F.lit(at))
+
+
 # FIXED VALUES — dictionary variable of each decoded death-record column
 DEATH_CODES = {
     "nombre_depto_registro": ("Depreg", "Departamento de registro"),
@@ -53,7 +66,7 @@ def stage_deaths(raw: DataFrame, dictionary: DataFrame, icd_catalogue: DataFrame
         "nombre_depto_registro", "nombre_muni_registro", "nombre_depto_ocurrencia", "nombre_muni_ocurrencia",
         "pueblo_pertenencia", "sexo", "edad_anios", "grupo_etario", "codigo_cie10", "descripcion_causa",
         "asistencia_medica", "lugar_ocurrencia", "periodo",
-        F.lit(C.STAGE_TAG_DEATHS).alias("fuente_origen"))
+        F.lit(C.STAGE_TAG_DEATHS).alias("fuente_origen"), *_file(raw))
 
 
 def icd_catalogue(raw: DataFrame, code: str = "codigo_cie10", description: str = "descripcion",
@@ -93,7 +106,7 @@ def stage_cases(raw: DataFrame, years=(2012, 2024), order=("l_orderkey", "l_line
         R.sex_normalise(F.col("Sexo")).alias("sexo"),
         R.truncated_int(F.col("Casos")).alias("casos"),
         R.classify_period(F.col("Año"), covid_start, covid_end).alias("periodo"),
-        F.lit(C.STAGE_TAG_CASES).alias("fuente_origen"))
+        F.lit(C.STAGE_TAG_CASES).alias("fuente_origen"), *_file(raw))
 
 
 def covid_local_rules(years=(2020, 2024)):
@@ -126,7 +139,7 @@ def stage_covid_local(raw: DataFrame, years=(2020, 2024), covid_end: int = 2021,
         fall.alias("fallecidos"),
         R.rate_per_100k(fall, pob).alias("tasa_por_100k"),
         R.classify_period_covid(F.year("fecha_fallecimiento"), covid_end).alias("periodo"),
-        F.lit(C.STAGE_TAG_COVID_LOCAL).alias("fuente_origen"))
+        F.lit(C.STAGE_TAG_COVID_LOCAL).alias("fuente_origen"), *_file(raw))
 
 
 def homologate_regional(panama: DataFrame, costa_rica: DataFrame) -> DataFrame:
@@ -165,7 +178,7 @@ def stage_mortality_world(world: DataFrame, regional: DataFrame, min_year: int =
                   F.col("year").cast("int").alias("anio"), mes.alias("mes"), semana.alias("semana"),
                   F.col("deaths").cast("double").alias("deaths"), "time_unit",
                   R.classify_period(F.col("year"), covid_start, covid_end).alias("periodo"),
-                  F.lit(C.STAGE_TAG_WORLD).alias("fuente")))
+                  F.lit(C.STAGE_TAG_WORLD).alias("fuente"), *_file(world)))
     iso = F.element_at(R.literal_map(C.REGIONAL_NAME_TO_ISO3), F.col("pais"))
     ca = (regional.withColumn("iso3c", iso)
           .where(F.col("iso3c").isNotNull() & (F.col("anio") >= min_year)
@@ -176,8 +189,8 @@ def stage_mortality_world(world: DataFrame, regional: DataFrame, min_year: int =
                   F.col("defunciones_general").cast("double").alias("deaths"),
                   F.lit("annual").alias("time_unit"),
                   R.classify_period(F.col("anio"), covid_start, covid_end).alias("periodo"),
-                  F.col("fuente_origen").alias("fuente")))
-    return wm.unionByName(ca)
+                  F.col("fuente_origen").alias("fuente"), *_file(regional)))
+    return wm.unionByName(ca, allowMissingColumns=True)
 
 
 def stage_covid_world(weekly: DataFrame, covid_start: int = 2020, covid_end: int = 2021) -> DataFrame:

@@ -83,9 +83,11 @@ class Landed:
 
 
 def with_provenance(df: DataFrame, source: str, file_col: str | None = None) -> DataFrame:
-    """Source name, file of the row, load time (one instant per job)."""
+    """Source name (rows that name their own keep it), file of the row, load time
+    (one instant per job)."""
     name = F.col(file_col) if file_col else F.lit(None).cast("string")
-    return df.withColumns({ORIGIN: F.lit(source), FILE: name, LOADED: F.current_timestamp()})
+    origin = F.col(ORIGIN) if ORIGIN in df.columns else F.lit(source)
+    return df.withColumns({ORIGIN: origin, FILE: name, LOADED: F.current_timestamp()})
 
 
 def _aligned(df: DataFrame, layout: Layout) -> DataFrame:
@@ -206,17 +208,19 @@ def land_files(landed: Landed, source: str, root: str, name: str = "", layer: st
 
 def land_dictionary(spark: SparkSession, paths, root: str, source: str = "INE_DICCIONARIO") -> tuple[DataFrame, DataFrame]:
     """The sheet of codes: merged variable cells filled down, rows without code
-    or label (a variable's own header) left out, text trimmed."""
+    or label (a variable's own header) left out, text trimmed. ``pos``: the row's place,
+    by file and line."""
     names = ["variable", "codigo", "etiqueta"]
     rows = files.read_sheet(spark, paths, names, skip=2, fill_down=["variable"]).dropna(subset=["codigo", "etiqueta"])
-    return land(rows.select(*[R.strip(c).alias(c) for c in names], file_name(F.col("file")).alias(FILE)), source, root)
+    return land(rows.select(*[R.strip(c).alias(c) for c in names], F.struct("file", "line").alias("pos"), file_name(F.col("file")).alias(FILE)),
+                source, root)
 
 
 def land_cause_sheet(spark: SparkSession, paths, root: str, source: str = "INE_DICCIONARIO_CIE10") -> tuple[DataFrame, DataFrame]:
-    """The sheet of causes: code in upper case, description."""
+    """The sheet of causes: code in upper case, description, place (``pos``)."""
     rows = files.read_sheet(spark, paths, ["codigo_cie10", "descripcion"], skip=2).dropna(subset=["codigo_cie10"])
     return land(rows.select(F.upper(R.strip("codigo_cie10")).alias("codigo_cie10"), R.strip("descripcion").alias("descripcion"),
-                            file_name(F.col("file")).alias(FILE)), source, root)
+                            F.struct("file", "line").alias("pos"), file_name(F.col("file")).alias(FILE)), source, root)
 
 
 def land_wide(spark: SparkSession, paths, n_ids: int, ids: list[str], source: str, root: str,

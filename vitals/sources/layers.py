@@ -238,9 +238,12 @@ def verify_replica(spark: SparkSession, src_root: str, dst_root: str, layer: str
 
 @dataclass
 class Source:
-    """K5: one landing job of the registry: a function building the landed frame."""
+    """K5: one landing job of the registry: a function building the landed frame, or a
+    ``job`` (spark, root, table name) that lands its own table, verified and with provenance,
+    and returns it with its report."""
     name: str
-    build: Callable[[SparkSession], DataFrame]
+    build: Callable[[SparkSession], DataFrame] | None = None
+    job: Callable[[SparkSession, str, str], tuple[DataFrame, DataFrame]] | None = None
 
 
 class Registry:
@@ -268,10 +271,15 @@ class Registry:
         for n in names:
             start = dt.datetime.now(dt.timezone.utc)
             try:
-                df = self.land(spark, n)
-                rep = write_verified(df, root, layer, n).first()
-                told = None if rep.coincide else f"{rep.filas_escritas} escritas, {rep.filas_leidas} leidas"
-                row = (n, "ok" if rep.coincide else "diferencia", rep.filas_escritas, len(df.columns), None, told)
+                if self.sources[n].job:
+                    df, rep = self.sources[n].job(spark, root, n)
+                    lost = rep.first().asDict().get("filas_rechazadas")
+                    row = (n, "ok", df.count(), len(df.columns), None, f"{lost} rechazadas" if lost else None)
+                else:
+                    df = self.land(spark, n)
+                    rep = write_verified(df, root, layer, n).first()
+                    told = None if rep.coincide else f"{rep.filas_escritas} escritas, {rep.filas_leidas} leidas"
+                    row = (n, "ok" if rep.coincide else "diferencia", rep.filas_escritas, len(df.columns), None, told)
             except Exception as e:  # noqa: BLE001 - one failing source does not stop the others
                 row = (n, "error", 0, 0, type(e).__name__, str(e)[:500])
             end = dt.datetime.now(dt.timezone.utc)
