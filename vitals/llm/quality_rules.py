@@ -157,3 +157,43 @@ def keep_good(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(read(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+#: the counts and the rules over whole texts; a rule's place in the cascade changes no verdict
+QUALITY_SQL = r"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+cut AS (
+    SELECT r, doc_id, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words,
+           list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    FROM docs),
+placed AS (SELECT r, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM cut),
+near AS (
+    SELECT r, i, w, lag(w) OVER o AS before,
+           CASE WHEN lead(w, 4) OVER o IS NOT NULL
+                THEN concat_ws(' ', w, lead(w, 1) OVER o, lead(w, 2) OVER o, lead(w, 3) OVER o, lead(w, 4) OVER o) END AS g
+    FROM placed WINDOW o AS (PARTITION BY r ORDER BY i)),
+found AS (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FROM near WHERE g IS NOT NULL),
+repeats AS (SELECT r, count(DISTINCT i + k) AS n FROM found, range(5) AS five(k) WHERE c > 1 GROUP BY r),
+words AS (
+    SELECT r, count(*) FILTER (w = before) AS stutter, count(*) FILTER (ends_with(w, '!!')) AS shouted,
+           count(*) FILTER (regexp_matches(w, '\p{L}')) AS alphabetic
+    FROM near GROUP BY r),
+counted AS (
+    SELECT r, doc_id, CAST(len(words) AS BIGINT) AS n_words, array_to_string(words, '') AS bare, len(lines) AS n_lines,
+           CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines
+    FROM cut),
+base AS (
+    SELECT c.*, CAST(length(bare) AS BIGINT) AS word_chars,
+           CAST(length(regexp_replace(bare, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+           length(regexp_replace(bare, '[^A-Za-zÀ-ɏ]+', '', 'g')) AS letters,
+           length(regexp_replace(bare, '[^\p{Lu}]+', '', 'g')) AS capitals,
+           CAST(coalesce(p.n, 0) AS BIGINT) AS n_repeat_words,
+           coalesce(stutter, 0) AS stutter, coalesce(shouted, 0) AS shouted, coalesce(alphabetic, 0) AS alphabetic
+    FROM counted c LEFT JOIN repeats p USING (r) LEFT JOIN words USING (r)),
+judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM base)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR 10 * n_symbols > n_words OR word_chars < 2 * n_words OR word_chars > 15 * n_words
+            OR 2 * n_dup_lines > n_lines OR 10 * stutter > 3 * n_words OR 2 * shouted > n_words
+            OR (letters >= 20 AND 2 * capitals > letters) OR 10 * alphabetic < 3 * n_words) AS kept
+FROM judged
+"""

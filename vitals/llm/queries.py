@@ -9,7 +9,7 @@ from vitals.llm.line_dedup import LINE_DEDUP_SQL, op5_line_dedup
 from vitals.llm.near_dedup import op9_near_dedup
 from vitals.llm.neighbours import op10_nearest_neighbours
 from vitals.llm.packing import op6_packing
-from vitals.llm.quality_rules import op4_quality_rules
+from vitals.llm.quality_rules import QUALITY_SQL, op4_quality_rules
 from vitals.llm.secret_scan import SECRET_SCAN_SQL, op13_secret_scan
 from vitals.llm.segmentation import op1_sentencepiece
 from vitals.llm.token_counts import op7_token_counts
@@ -34,6 +34,7 @@ QUERIES = {
 
 ORACLE = {
     "op3_chat_format": CHAT_FORMAT_SQL,
+    "op4_quality_rules": QUALITY_SQL,
     "op5_line_dedup": LINE_DEDUP_SQL,
     "op11_fill_middle": FILL_MIDDLE_SQL,
     "op13_secret_scan": SECRET_SCAN_SQL,
