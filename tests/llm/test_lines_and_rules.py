@@ -6,6 +6,7 @@ import re
 import string
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,3 +96,16 @@ def test_rules_empty_and_native(spark):
     assert Q.judge(frames.empty(spark)).collect() == []
     plan = Q.judge(frames.docs(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_keys_that_share_a_first_hash():
+    """All of them are in the index, each with its own owner."""
+    rng = np.random.default_rng(4)
+    h1 = np.repeat(rng.integers(-2**63, 2**63 - 1, 40), 25)
+    h2 = rng.integers(-2**63, 2**63 - 1, len(h1))
+    rows = pd.DataFrame({"h1": h1, "h2": h2, "n": 2, "owner": np.arange(len(h1))})
+    row = L._build((0,), rows).iloc[0]
+    mph = L.PerfectHash.from_bytes(row["bits"], row["sizes"])
+    slot = mph.slots(h1.view(np.uint64), h2.view(np.uint64))
+    assert sorted(slot) == list(range(len(h1)))
+    assert (np.frombuffer(row["prints"], "<i8")[slot] == h2).all() and (np.frombuffer(row["owners"], "<i8")[slot] == rows["owner"]).all()

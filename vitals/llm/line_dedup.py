@@ -9,8 +9,7 @@ How it runs. (1) Every line gives two independent hashes of its key (two
 64-bit hashes, so 128 bits name a key); one aggregation with map-side combine
 keeps, per hash pair, the number of lines and the smallest ``doc_id``. Only
 pairs held by two documents go on. (2) The pairs are dealt into shards by hash;
-one task per shard builds a minimal perfect hash over its first hashes and, in
-its order, a fingerprint array (the second hash), a count array and an owner
+one task per shard builds a minimal perfect hash over its hash pairs and, in its order, a fingerprint array (the second hash), a count array and an owner
 array, written as one row of a table in the shared folder. (3) Documents send
 (hash pairs, line positions) to the shards, not their lines; a probe task loads
 the arrays of the shards it was dealt and answers with the positions to drop.
@@ -63,7 +62,8 @@ def _mix(x: np.ndarray, seed: int) -> np.ndarray:
 class PerfectHash:
     """Minimal perfect hash by levels of collision-free bits: a key sits at the
     first level where it meets no other; its slot is the rank of its bit. About
-    four bits a key; ``levels`` is all there is to store."""
+    four bits a key; ``levels`` is all there is to store. A key is one 64-bit value
+    or a pair of them; pairs that share a first value part at some level."""
 
     def __init__(self, levels: list[np.ndarray]):
         self.levels = levels
@@ -75,25 +75,33 @@ class PerfectHash:
             at += int(ones[-1]) if len(ones) else 0
         self.size = at
 
+    @staticmethod
+    def _at(keys: np.ndarray, seconds: np.ndarray | None, level: int, m: int) -> np.ndarray:
+        if seconds is not None:
+            with np.errstate(over="ignore"):  # of one first value, different seconds stay different
+                keys = keys + seconds * np.uint64(2 * level + 1)
+        return (_mix(keys, level) % np.uint64(m)).astype(np.int64)
+
     @classmethod
-    def build(cls, keys: np.ndarray, load: float = 1.5) -> PerfectHash:
-        """keys: distinct unsigned 64-bit values."""
+    def build(cls, keys: np.ndarray, load: float = 1.5, seconds: np.ndarray | None = None) -> PerfectHash:
+        """keys: distinct unsigned 64-bit values, or with ``seconds`` distinct pairs."""
         left, levels = keys.astype(np.uint64), []
         while len(left):
             m = max(8, int(len(left) * load))
-            at = (_mix(left, len(levels)) % np.uint64(m)).astype(np.int64)
+            at = cls._at(left, seconds, len(levels), m)
             hit = np.bincount(at, minlength=m)
             levels.append((hit == 1).astype(np.uint8))
-            left = left[hit[at] > 1]
+            met = hit[at] > 1
+            left, seconds = left[met], None if seconds is None else seconds[met]
         return cls(levels)
 
-    def slots(self, keys: np.ndarray) -> np.ndarray:
+    def slots(self, keys: np.ndarray, seconds: np.ndarray | None = None) -> np.ndarray:
         """The slot of each key; -1 or any slot for a key that is not in the set."""
         out = np.full(len(keys), -1, dtype=np.int64)
         todo = np.arange(len(keys))
         keys = keys.astype(np.uint64)
         for k, bits in enumerate(self.levels):
-            at = (_mix(keys[todo], k) % np.uint64(len(bits))).astype(np.int64)
+            at = self._at(keys[todo], None if seconds is None else seconds[todo], k, len(bits))
             found = bits[at] == 1
             out[todo[found]] = self.starts[k] + self.ranks[k][at[found]]
             todo = todo[~found]
@@ -138,14 +146,9 @@ _INDEX = "shard int, bits binary, sizes array<int>, prints binary, counts binary
 
 
 def _build(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    keys = rows["h1"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(keys, kind="stable")
-    keys, first = np.unique(keys[order], return_index=True)
-    # two keys with one first hash (one in 2^64 pairs): the second stays out of the
-    # index, and its lines stay in the text
-    rows = rows.iloc[order[first]]
-    mph = PerfectHash.build(keys)
-    at = mph.slots(keys)
+    keys, seconds = (rows[c].to_numpy(np.int64).view(np.uint64) for c in ("h1", "h2"))
+    mph = PerfectHash.build(keys, seconds=seconds)
+    at = mph.slots(keys, seconds)
 
     def placed(column: str, kind: str) -> bytes:
         values = np.empty(len(keys), dtype=kind)
@@ -185,7 +188,7 @@ def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 counts = np.frombuffer(b.column("counts")[i].as_py(), "<i8")
             elif shard == shards[i] and len(prints):
                 h1, h2, at = (b.column(c)[i].values.to_numpy() for c in ("h1", "h2", "at"))
-                slot = mph.slots(h1.view(np.uint64))
+                slot = mph.slots(h1.view(np.uint64), h2.view(np.uint64))
                 hit = (slot >= 0) & (prints[slot] == h2) & (counts[slot] > 1) & (owners[slot] != own[i])
                 if hit.any():
                     docs.append(own[i])
