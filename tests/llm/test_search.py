@@ -66,6 +66,34 @@ def test_near_groups(spark, width):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_near_keeps_links_at_the_limit(spark):
+    """A text within one a quarter longer (exactly four fifths alike), chains of those, and
+    many pairs of the least similarity that links."""
+    rng = random.Random(11)
+
+    def words(n):
+        return [f"w{rng.randint(0, 10**9)}" for _ in range(n)]
+    rows = []
+    for k in range(30):
+        base = words(83)  # 80 shingles of four words
+        rows += [(100 * k + 7, " ".join(base)), (100 * k + 3, " ".join(base + words(20))), (100 * k + 9, " ".join(base + words(21)))]
+        chain = words(53)
+        for step in range(4):
+            rows.append((100 * k + 50 + step, " ".join(chain)))
+            chain = chain[5:] + words(5)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in N.near_groups(frames.docs(spark, rows), shingle_words=4).collect()}
+    assert got == brute_groups(rows, 4)
+    assert all(got[100 * k + 7][1] == 100 * k + 3 and got[100 * k + 9][1] == 100 * k + 9 for k in range(30))
+
+
+def test_near_prefixes_find_what_signatures_miss(spark, monkeypatch):
+    """Without any bucket of signatures, the prefixes alone give all links."""
+    monkeypatch.setattr(N, "ROUNDS", 0)
+    rows = near_rows()
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in N.near_groups(frames.docs(spark, rows), shingle_words=4).collect()}
+    assert got == brute_groups(rows, 4)
+
+
 def test_near_empty_and_drop(spark):
     assert N.near_groups(frames.empty(spark)).collect() == []
     rows = near_rows()

@@ -1,37 +1,42 @@
-"""Near-duplicate documents by a multi-index Hamming join of b-bit signatures.
+"""Near-duplicate documents by an exact prefix-filtered similarity join.
 
 A document is the set of its distinct word shingles; without words it is the
 empty set and linked with nothing. Documents with Jaccard similarity of at least
 ``percent`` / 100 are linked; linked documents, taken transitively, are a group,
-named after its smallest ``doc_id``.
+named after its smallest ``doc_id``. No link is lost.
 
-Signature. ``CHUNKS`` x ``WIDTH`` minhashes, of each the lowest 16 bits. The
-signature distance counts differing components. By the pigeonhole, two signatures
-at a distance below 2 * CHUNKS have a chunk with at most one difference, and so
-agree on a chunk with some one component left out: every signature is filed under
-``CHUNKS * WIDTH`` keys (the chunk, the component left out, the rest), and all
-such pairs meet under a key. At a similarity of 0.8 a chunk has at most one
-difference with probability 0.74, so that eight chunks all fail in 2 of 100,000
-pairs; above, far less often.
+Prefixes. Linked sets share at least ``need`` = ceil(percent * n / 100) shingles of
+either (n its size). So in any one order of all shingles both hold a common
+shingle among their first n - need + 1: their first common one. More generally
+the first n - need + l shingles of one of them hold l common ones, which the
+other has in its own first.
+
+Signature, for speed alone. ``CHUNKS`` x ``WIDTH`` minhashes, of each the lowest
+16 bits, filed under ``CHUNKS * WIDTH`` keys: a chunk, the component left out, the
+rest. Two signatures at a distance below 2 * CHUNKS share a key, so most linked sets
+meet there; those that do not are found by their prefixes.
 
 Steps. (1) Equal sets are one class, represented by its smallest ``doc_id``; only
-representatives go on. A shingle that no other set under consideration holds can
-be shared by no pair, so a set in which those are too many links with nothing and
-leaves. (2) Every other representative is compared with one leader of its buckets
-(the one with the smallest share of such shingles, which is the least edited of a
+representatives go on. (2) By the order of the hashes, with l = n / ``SPARE``: a set
+of whose first shingles too few are among the first of another set links with
+nothing and leaves. (3) The sets that stay are counted out shingle by shingle and
+ordered by rarity; each is filed under the shingles of its prefix that others
+hold too. (4) Every one is compared with one leader of its buckets of signatures
+(the one with the smallest share of shingles of its own, which is the least edited of a
 group of copies; in later rounds among a quarter drawn by hash), on the full sets;
 links make components. Members of one component need no further comparison, so
-a bucket of n alike documents costs n comparisons, not n * n. (3) Rounds repeat
+a bucket of n alike documents costs n comparisons, not n * n. (5) Rounds repeat
 on the buckets that still hold several components, as long as they merge
-components (at most ``ROUNDS``; this saves work and decides nothing). (4) All
-pairs of different components that are left under a key are
-compared within the join's condition (sizes, own shingles and signatures first,
-then the full sets), so no link is lost that shares a key. (5) Components are closed by label propagation with
+components (at most ``ROUNDS``; this saves work and decides nothing). (6) All
+pairs of different components that are left under a shingle are compared: by sizes,
+by what can follow their first common shingle and by parity sketches (sets that
+differ in d shingles differ in at most d bits) within the join's condition, then
+on the full sets. (7) Components are closed by label propagation with
 pointer jumping.
 
 Scale. Buckets are never gathered: leaders come from an aggregation, comparisons
 are rows of a join. Sets are 64-bit hashes of shingles, written once for the
-representatives that share a key with another, and travel as arrays. Labels and
+representatives that step 2 leaves, and travel as arrays. Labels and
 links stay in tables. Every round is written to the shared folder.
 
 Defined results: a null or empty text gives an empty set; rows of one ``doc_id``
@@ -49,7 +54,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vitals.llm.common import once, only, read, release, written
@@ -57,6 +62,10 @@ from vitals.llm.common import once, only, read, release, written
 SHINGLE_WORDS = 5
 PERCENT = 80
 CHUNKS, WIDTH = 8, 5
+#: a tenth of a set more than its prefix tells which sets can have a link at all
+SPARE = 10
+#: words of 64 bits of a parity sketch
+SKETCH = 16
 ROUNDS = 8
 #: words whose hashes a worker keeps, some 200 bytes each
 MOST_WORDS = 200_000
@@ -101,6 +110,23 @@ def shingle_set(text: str | None, width: int) -> np.ndarray:
     return np.unique(out)
 
 
+def least_shared(n: int, percent: int) -> int:
+    """What a set of n shingles shares at least with any set it is linked to."""
+    return -(-percent * n // 100)
+
+
+def first_items(shingles: np.ndarray, percent: int) -> np.ndarray:
+    """The prefix by the order of hashes that step 2 compares."""
+    n = len(shingles)
+    return shingles[:min(n, n - least_shared(n, percent) + -(-n // SPARE))]
+
+
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """Of each of 64 * SKETCH classes of shingles, whether the set holds an odd number."""
+    odd = np.bincount((shingles >> np.uint64(20)).astype(np.int64) % (64 * SKETCH), minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _seeds() -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(20240229)
     return (rng.integers(0, 2**63, CHUNKS * WIDTH, np.uint64) * np.uint64(2) + np.uint64(1),
@@ -128,25 +154,31 @@ def bucket_keys(sig: np.ndarray) -> np.ndarray:
     return out.ravel().view(np.int64)
 
 
-_SETS = "doc long, n int, set1 long, set2 long, sig array<int>"
+_SETS = "doc long, n int, set1 long, set2 long, first array<long>"
+
 
+def _lists(rows: list[np.ndarray]) -> pa.ListArray:
+    """An array column of long; made from one buffer, not value by value."""
+    at = np.cumsum([0, *map(len, rows)], dtype=np.int32)
+    return pa.ListArray.from_arrays(at, pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int64), pa.int64()))
 
-def _summaries(width: int):
+
+def _summaries(width: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
-        release("words", "seeds")
+        release("words")
         for b in batches:
-            n, one, two, sigs = [], [], [], []
+            n, one, two, first = [], [], [], []
             for text in b.column(1):
                 s = shingle_set(text.as_py(), width)
                 data = s.tobytes()
                 n.append(len(s))
                 one.append(xxhash.xxh64_intdigest(data, 1) - 2**63)
                 two.append(xxhash.xxh64_intdigest(data, 2) - 2**63)
-                sigs.append(signature(s) if len(s) else None)
+                first.append(first_items(s, percent).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int32()), pa.array(one, pa.int64()), pa.array(two, pa.int64()),
-                 pa.array(sigs, pa.list_(pa.int32()))], names=["doc", "n", "set1", "set2", "sig"])
+                [b.column(0), pa.array(n, pa.int32()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), _lists(first)],
+                names=["doc", "n", "set1", "set2", "first"])
     return run
 
 
@@ -154,14 +186,18 @@ def _full_sets(width: int):
     """Sets of (doc, text, set1), of rows whose set is the one looked for."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
+        release("words", "seeds")
         for b in batches:
-            docs, sets = [], []
+            docs, sets, bits, keys = [], [], [], []
             for doc, text, name in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), strict=True):
                 s = shingle_set(text.as_py(), width)
                 if xxhash.xxh64_intdigest(s.tobytes(), 1) - 2**63 == name:
                     docs.append(doc)
                     sets.append(np.sort(s.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["doc", "items"])
+                    bits.append(sketch(s))
+                    keys.append(bucket_keys(signature(s)))
+            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), _lists(sets), _lists(bits), _lists(keys)],
+                                             names=["doc", "items", "bits", "keys"])
     return run
 
 
@@ -211,17 +247,6 @@ def closed(labels: DataFrame, links: DataFrame) -> DataFrame:
                          .select("doc", F.coalesce("y", "comp").alias("comp")), "components")
 
 
-def _mismatches(a: str, b: str) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x != y).cast("int")), F.lit(0), lambda t, x: t + x)
-
-
-def _possible(percent: int, own_a: str, n_a: str, own_b: str, n_b: str) -> Column:
-    """Whether sets of n shingles, ``own`` of them in no other set, can be similar
-    enough: what they share is at most what either shares with anything."""
-    most = F.least(F.col(n_a) - F.col(own_a), F.col(n_b) - F.col(own_b))
-    return (100 + percent) * most >= percent * (F.col(n_a) + F.col(n_b))
-
-
 def _leader_pairs(filed: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
     """(a, b): each document with one leader of its buckets that lies in another
     component: the first by the share of shingles of its own (copies of one text
@@ -235,60 +260,78 @@ def _leader_pairs(filed: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
             .groupBy("doc").agg(F.min("lead").alias("lead")).select(F.col("doc").alias("a"), F.col("lead.doc").alias("b")))
 
 
-def _rest_links(filed: DataFrame, labels: DataFrame, sets: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
+def _rest_links(filed: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The links among all pairs that share a key and lie in different components.
-    A pair is tried under its smallest common key, first by sizes and own
-    shingles, then by equal components of the signatures (more than a pair below
-    half the similarity shows by chance), then by the full sets, all within the
-    join's condition: only links come out. sigs: (doc, sig, keys)."""
+    Under the key that is their first common shingle, what both share is at most the
+    shorter of their rests; so a linked pair comes out under one key at least."""
     known = filed.join(labels, "doc")
     open_keys = known.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("key")
-    left = known.join(open_keys, "key").join(sigs, "doc").join(sets, "doc")
-    a, b = (left.select("key", *[F.col(c).alias(f"{c}_{k}") for c in ("doc", "comp", "n", "own", "sig", "keys", "items")]) for k in "ab")
-    shared = F.size(F.array_intersect("items_a", "items_b"))
-    linked = ((F.col("doc_a") < F.col("doc_b")) & (F.col("comp_a") != F.col("comp_b"))
-              & _possible(percent, "own_a", "n_a", "own_b", "n_b")
-              & (_mismatches("sig_a", "sig_b") < 2 * CHUNKS + WIDTH)
-              & (F.array_min(F.array_intersect("keys_a", "keys_b")) == F.col("key"))
-              & ((100 + percent) * shared >= percent * (F.col("n_a") + F.col("n_b"))))
-    return a.join(b.withColumnRenamed("key", "key_b"), (F.col("key") == F.col("key_b")) & linked).select(
-        F.col("doc_a").alias("a"), F.col("doc_b").alias("b"))
-
-
-def _filed(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(key, doc): representatives under the keys that several of them share; and
-    (doc, keys) of all."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keys = [bucket_keys(s.values.to_numpy()) for s in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(keys, pa.list_(pa.int64()))], names=["doc", "keys"])
-
-    keys = written(reps.select("doc", "sig").mapInArrow(run, "doc long, keys array<long>"), "near-keys")
-    every = keys.select("doc", F.explode("keys").alias("key"))
-    shared = every.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("key")
-    return written(every.join(shared, "key"), "near-buckets"), keys
-
-
-def components(docs: DataFrame, reps: DataFrame, shingle_words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    words = sets.select("doc", *[F.col("bits")[k].alias(f"w{k}") for k in range(SKETCH)])
+    left = known.join(open_keys, "key").join(words, "doc")
+    a, b = (left.select("key", *[F.col(c).alias(f"{c}_{k}") for c in ("doc", "comp", "n", "rest", *words.columns[1:])]) for k in "ab")
+    both = F.col("n_a") + F.col("n_b")
+    apart = sum((F.bit_count(F.col(f"w{k}_a").bitwiseXOR(F.col(f"w{k}_b"))) for k in range(1, SKETCH)),
+                F.bit_count(F.col("w0_a").bitwiseXOR(F.col("w0_b"))))
+    near = ((F.col("doc_a") < F.col("doc_b")) & (F.col("comp_a") != F.col("comp_b"))
+            & ((100 + percent) * F.least("n_a", "n_b", "rest_a", "rest_b") >= percent * both)
+            & ((100 + percent) * apart <= (100 - percent) * both))
+    pairs = (a.join(b.withColumnRenamed("key", "key_b"), (F.col("key") == F.col("key_b")) & near)
+             .select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b")).distinct())
+    return verified(pairs, sets, percent)
+
+
+def _able(summary: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """The representatives (doc, n, set1) that can have a link: enough of their first
+    shingles are among the first of another set. summary: (set1, first)."""
+    names = (summary.where("n > 0").select("set1", F.explode("first").alias("item"))
+             .groupBy("item").agg(F.min("set1").alias("set1"), F.max("set1").alias("last")))
+    own = names.where("set1 = last").groupBy("set1").agg(F.count(F.lit(1)).alias("own"))
+    need = f"(({percent} * n + 99) div 100)"
+    held = f"least(n, n - {need} + (n + {SPARE - 1}) div {SPARE})"
+    # the other set has ``need`` shingles at least, and a prefix that long
+    return reps.join(own, "set1", "left").where(F.expr(f"{held} - coalesce(own, 0) >= ({need} + {SPARE - 1}) div {SPARE}")).drop("own")
+
+
+def _shared(filed: DataFrame) -> DataFrame:
+    """The keys that several documents are filed under."""
+    return filed.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("key")
+
+
+def _filed(sets: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """(key, doc, n, own, rest): sets under the shingles of their prefixes that several
+    prefixes hold. Shingles are ordered by rarity, so those of one set alone
+    (``own`` of them) come first; ``rest`` counts the shingles from the key on."""
+    items = sets.select("doc", F.explode("items").alias("item"))
+    often = items.groupBy("item").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    of_doc = Window.partitionBy("doc")
+    prefix = (items.join(often, "item").join(reps.select("doc", "n"), "doc")
+              .select("doc", "n", F.col("item").alias("key"), (F.col("n") - F.count(F.lit(1)).over(of_doc)).alias("own"),
+                      F.row_number().over(of_doc.orderBy(F.col("c").desc(), F.col("item").desc())).alias("rest"))
+              .where(F.expr(f"100 * rest >= {percent} * n")))
+    prefix = written(prefix, "near-prefixes")
+    return written(prefix.join(_shared(prefix), "key"), "near-buckets")
+
+
+def components(docs: DataFrame, summary: DataFrame, reps: DataFrame, shingle_words: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(doc, comp) of the representatives that share a key, and the links found.
     docs: (doc, text)."""
-    filed, keys = _filed(reps)
-    sets = written(docs.join(reps.select("doc", "set1").join(filed.select("doc").distinct(), "doc", "left_semi"), "doc")
-                   .select("doc", "text", "set1").mapInArrow(_full_sets(shingle_words), "doc long, items array<long>"), "near-sets")
-    own = (sets.select("doc", F.explode("items").alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("c"), F.min("doc").alias("doc"))
-           .where("c = 1").groupBy("doc").agg(F.count(F.lit(1)).alias("own")))
-    able = (reps.join(own, "doc", "left").select("doc", "n", F.coalesce("own", F.lit(0)).alias("own"))
-            .where(_possible(percent, "own", "n", "own", "n")))
-    filed = written(filed.join(able, "doc"), "near-able")
-    labels = written(filed.select("doc").distinct().withColumn("comp", F.col("doc")), "components")
+    able = written(_able(summary, reps, percent), "near-able")
+    sets = written(docs.join(able.select("doc", "set1"), "doc").select("doc", "text", "set1")
+                   .mapInArrow(_full_sets(shingle_words), "doc long, items array<long>, bits array<long>, keys array<long>")
+                   .dropDuplicates(["doc"]), "near-sets")
+    filed = _filed(sets, able, percent)
+    members = written(filed.select("doc", "n", "own").distinct(), "near-members")
+    every = sets.join(members, "doc").select(F.explode("keys").alias("key"), "doc", "n", "own")
+    alike = written(every.join(_shared(every), "key"), "near-signatures")
+    labels = written(members.select("doc").withColumn("comp", F.col("doc")), "components")
     found = []
     for turn in range(ROUNDS):
-        links = written(verified(_leader_pairs(filed, labels, turn), sets, percent), "near-links")
+        links = written(verified(_leader_pairs(alike, labels, turn), sets, percent), "near-links")
         if links.isEmpty():
             break
         found.append(links)
         labels = closed(labels, links)
-    links = written(_rest_links(filed, labels, sets, reps.select("doc", "sig").join(keys, "doc"), percent), "near-links")
+    links = written(_rest_links(filed, labels, sets, percent), "near-links")
     found.append(links)
     labels = closed(labels, links)
     every = found[0]
@@ -302,16 +345,14 @@ def near_groups(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent: in
     class_id (smallest document with the same set), component_id, kept. Of
     several texts under one ``doc_id`` the one with the largest set counts."""
     own = only(docs, doc_id="long", text="string").where("doc_id IS NOT NULL").withColumnRenamed("doc_id", "doc")
-    summary = written(own.mapInArrow(_summaries(shingle_words), _SETS)
-                      .groupBy("doc").agg(F.max(F.struct("n", "set1", "set2", "sig")).alias("s"))
-                      .select("doc", "s.*"), "near-summaries")
-    classes = written(summary.where("n > 0").groupBy("n", "set1", "set2")
-                      .agg(F.min("doc").alias("rep"), F.min_by("sig", "doc").alias("sig")), "near-classes")
-    reps = classes.select(F.col("rep").alias("doc"), "n", "sig", "set1")
-    labels, _ = components(own, reps, shingle_words, percent)
-    named = (classes.drop("sig").join(labels, classes["rep"] == labels["doc"], "left")
+    every = written(own.mapInArrow(_summaries(shingle_words, percent), _SETS), "near-summaries")
+    summary = written(every.groupBy("doc").agg(F.max(F.struct("n", "set1", "set2")).alias("s")).select("doc", "s.*"), "near-sets-of")
+    classes = written(summary.where("n > 0").groupBy("n", "set1", "set2").agg(F.min("doc").alias("rep")), "near-classes")
+    reps = classes.select(F.col("rep").alias("doc"), "n", "set1")
+    labels, _ = components(own, every, reps, shingle_words, percent)
+    named = (classes.join(labels, classes["rep"] == labels["doc"], "left")
              .select("n", "set1", "set2", "rep", F.coalesce("comp", "rep").alias("comp")))
-    return (summary.drop("sig").join(named, ["n", "set1", "set2"], "left")
+    return (summary.join(named, ["n", "set1", "set2"], "left")
             .select(F.col("doc").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), F.coalesce("rep", "doc").alias("class_id"),
                     F.coalesce("comp", "doc").alias("component_id"))
             .withColumn("kept", F.col("doc_id") == F.col("component_id")))
