@@ -121,3 +121,16 @@ def test_wide_files_with_different_dates_and_quotes(spark, tmp_path, chunk):
 def test_an_unreadable_folder_fails(spark, tmp_path):
     with pytest.raises(ValueError, match="no readable file"):
         landing.read_files(spark, write(tmp_path / "u", {"p.csv": "<html>\n"}), landing.Layout(AB))
+
+
+def test_wide_file_in_parts(spark, tmp_path):
+    """A group of lines laid down as several files, each with the header, lands as one."""
+    from vitals.sources import files
+    head = "codigo,nombre,2020-01-01,2020-01-02,2020-01-03"
+    rows = spark.range(40).selectExpr("id % 2 AS grupo", "concat(id, ',\"a, b\",0,', id + 1, ',0') AS value")
+    folder = str(tmp_path / "wide")
+    files.write_text_files(rows, "grupo", head, folder, parts=3)
+    texts = [r.value.splitlines() for r in spark.read.option("recursiveFileLookup", "true").option("wholetext", "true").text(folder).collect()]
+    assert len(texts) == 6 and all(t[0] == head and head not in t[1:] for t in texts)
+    got = {(int(r.codigo), str(r.fecha), r.n) for r in wide_csv_to_long(spark, folder, 2).collect()}
+    assert got == {(i, "2020-01-02", i + 1) for i in range(40)}

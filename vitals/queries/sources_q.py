@@ -24,6 +24,9 @@ NATION = T.StructType([T.StructField("n_nationkey", T.IntegerType()), T.StructFi
 SUPPLIER = T.StructType([T.StructField("s_suppkey", T.LongType()), T.StructField("s_name", T.StringType()),
                          T.StructField("s_nationkey", T.IntegerType()), T.StructField("s_acctbal", T.DoubleType())])
 
+#: lines of one wide file, some 5 kB each
+WIDE_FILE_ROWS = 20_000
+
 
 @query("scan_csv_typed")
 def q_scan_csv_typed(spark, d):
@@ -288,19 +291,22 @@ def q_wide_csv_to_long(spark, d):
     per customer, landed back to one row per customer × day with deaths > 0."""
     import datetime as _dt
     from vitals.operators.reshape import wide_csv_to_long
-    first, last = A.read(spark, d, "orders").agg(F.min(F.to_date("o_orderdate")), F.max(F.to_date("o_orderdate"))).first()
+    first, last, customers = A.read(spark, d, "orders").agg(
+        F.min(F.to_date("o_orderdate")), F.max(F.to_date("o_orderdate")), F.approx_count_distinct("o_custkey")).first()
     days = [(first + _dt.timedelta(k)).isoformat() for k in range((last - first).days + 1)]
     o = A.read(spark, d, "orders").select("o_custkey", F.to_date("o_orderdate").alias("dia"))
     per_day = o.groupBy("o_custkey", "dia").agg(F.count(F.lit(1)).alias("n"))
-    # one line per customer: its days (≤ one per calendar day) as a map, laid out on the calendar
-    by_cust = per_day.groupBy("o_custkey").agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col("dia").cast("string"), F.col("n")))).alias("m"))
-    cal = F.sequence(F.lit(first), F.lit(last))  # one element per calendar day
-    cell = lambda x: F.coalesce(F.col("m")[x.cast("string")], F.lit(0)).cast("string")
-    line = F.concat_ws(",", F.col("o_custkey").cast("string"), F.lit('"cliente, grupo"'),
-                       F.array_join(F.transform(cal, cell), ","))
+    # one line per customer: its days in order (≤ one per calendar day), each after the zeros since the one before
+    at = F.coalesce(F.datediff("dia", F.lit(first)), F.raise_error(F.lit("an order without a day")).cast("int"))
+    by_cust = per_day.groupBy("o_custkey").agg(F.sort_array(F.collect_list(F.struct(at.alias("at"), "n"))).alias("m"))
+    zeros = lambda n: F.repeat(F.lit("0,"), n)
+    before = F.concat(F.array(F.lit(-1)), F.col("m.at"))
+    cells = F.zip_with("m", F.slice(before, 1, F.size("m")), lambda x, b: F.concat(zeros(x["at"] - b - 1), x["n"].cast("string"), F.lit(",")))
+    row = F.concat(F.array_join(cells, ""), zeros(F.lit(len(days) - 1) - F.element_at("m", -1)["at"]))
+    line = F.concat_ws(",", F.col("o_custkey").cast("string"), F.lit('"cliente, grupo"'), F.expr("left(fila, length(fila) - 1)"))
     folder = scratch_path(spark, "wide")
     header = ",".join(["codigo", "nombre", *days])
-    files.write_text_files(by_cust.select((F.col("o_custkey") % 8).alias("grupo"), line.alias("value")), "grupo", header, folder)
+    rows = by_cust.select("o_custkey", row.alias("fila")).select((F.col("o_custkey") % 8).alias("grupo"), line.alias("value"))
+    files.write_text_files(rows, "grupo", header, folder, parts=-(-customers // (8 * WIDE_FILE_ROWS)) or 1)
     return wide_csv_to_long(spark, folder, 2, ["codigo", "nombre"]).select(
         F.col("codigo").cast("bigint").alias("o_custkey"), "fecha", "n")

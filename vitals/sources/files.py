@@ -64,9 +64,18 @@ def write_json_arrays(df: DataFrame, path: str) -> None:
     out.write.mode("overwrite").text(path)
 
 
-def write_text_files(df: DataFrame, key: str, header: str, path: str, order: str | None = None) -> None:
-    """Write lines (``value``) as text, one folder and file per value of ``key``, each
-    beginning with ``header``; ``order`` sorts the lines of a file."""
+def write_text_files(df: DataFrame, key: str, header: str, path: str, order: str | None = None, parts: int = 1) -> None:
+    """Write lines (``value``) as text, one folder per value of ``key`` with one file, or a
+    subfolder of one file for each of ``parts``; every file begins with ``header`` and ``order``
+    sorts its lines."""
+    if parts > 1:
+        split = df.withColumn("parte", F.pmod(F.xxhash64("value"), F.lit(parts)).cast("int"))
+        rows = split.select(key, "parte", F.lit(1).alias("_part"), (F.col(order) if order else F.lit(0)).alias("_order"), "value")
+        heads = (df.select(key).distinct().select(key, F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("parte"), F.lit(0).alias("_part"),
+                                                  F.lit(None).alias("_order"), F.lit(header).alias("value")))
+        (heads.unionByName(rows).repartition(key, "parte").sortWithinPartitions(key, "parte", "_part", "_order").select(key, "parte", "value")
+         .write.partitionBy(key, "parte").text(path))
+        return
     rows = df.select(key, F.lit(1).alias("_part"), (F.col(order) if order else F.lit(0)).alias("_order"), "value")
     heads = df.select(key).distinct().select(key, F.lit(0).alias("_part"), F.lit(None).alias("_order"), F.lit(header).alias("value"))
     (heads.unionByName(rows).repartition(key).sortWithinPartitions(key, "_part", "_order").select(key, "value")

@@ -123,7 +123,9 @@ def recognise(spark: SparkSession, paths, sep: str, hopeful: Callable[[Column],
     for which ``hopeful`` (a condition on the text) holds come to the driver."""
     found = records(stage_lines(spark, paths, glob))
     found = found.where(F.trim("value") != "")
-    heads = materialize(found.groupBy("file").agg(F.min("line").alias("head_line"), F.min_by("value", "line").alias("head")), "heads")
+    # the numbers first: an aggregate over the texts themselves would sort all lines
+    first = materialize(found.groupBy("file").agg(F.min("line").alias("line")), "head-lines")
+    heads = materialize(found.join(bounded(first), ["file", "line"]).select("file", F.col("line").alias("head_line"), F.col("value").alias("head")), "heads")
     distinct = heads.where(hopeful(F.col("head"))).groupBy("head").agg(F.min("file").alias("file")).orderBy("file").limit(MOST_LAYOUTS + 1).collect()
     if len(distinct) > MOST_LAYOUTS:
         raise ValueError(f"more than {MOST_LAYOUTS} distinct headers")
