@@ -130,7 +130,20 @@ def test_wide_file_in_parts(spark, tmp_path):
     rows = spark.range(40).selectExpr("id % 2 AS grupo", "concat(id, ',\"a, b\",0,', id + 1, ',0') AS value")
     folder = str(tmp_path / "wide")
     files.write_text_files(rows, "grupo", head, folder, parts=3)
-    texts = [r.value.splitlines() for r in spark.read.option("recursiveFileLookup", "true").option("wholetext", "true").text(folder).collect()]
+    texts = [r.value.splitlines() for r in spark.read.option("recursiveFileLookup", "true").text(folder, wholetext=True).collect()]
     assert len(texts) == 6 and all(t[0] == head and head not in t[1:] for t in texts)
     got = {(int(r.codigo), str(r.fecha), r.n) for r in wide_csv_to_long(spark, folder, 2).collect()}
     assert got == {(i, "2020-01-02", i + 1) for i in range(40)}
+
+
+def test_parts_seen_are_one_row_each(spark, tmp_path, monkeypatch):
+    """The parts that gave rows are told apart from the bad ones by a table of parts, not by all their rows."""
+    from vitals.sources import files
+    held = []
+    monkeypatch.setattr(files, "materialize", lambda df, name, make=files.materialize: held.append(make(df, name)) or held[-1])
+    folder = tmp_path / "partes"
+    spark.range(5000).repartition(3).write.parquet(str(folder))
+    (folder / "login.txt").write_text("<!DOCTYPE html><html></html>")
+    good, bad = files.read_parquet_parts_tolerant(spark, str(folder))
+    assert good.count() == 5000 and [why for _, why in bad] == ["html"]
+    assert [t.count() for t in held] == [3]

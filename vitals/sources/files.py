@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vitals.session import materialize
+
 BOM = "\ufeff"
 SUPPORTED = {"json": "*.json", "csv": "*.csv"}
 
@@ -176,7 +178,8 @@ def read_parquet_parts_tolerant(spark: SparkSession, paths) -> tuple[DataFrame,
     paths = [paths] if isinstance(paths, str) else list(paths)
     good = (spark.read.option("ignoreCorruptFiles", "true").option("mergeSchema", "true").option("recursiveFileLookup", "true")
             .parquet(*paths))
-    seen = good.select(F.col("_metadata.file_path").alias("path")).distinct()
+    # written, one row per part: within the anti join the optimizer drops a distinct, and every row would be sorted
+    seen = materialize(good.select(F.col("_metadata.file_path").alias("path")).distinct(), "parts-seen")
     listed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths).select("path")
               .where(~F.regexp_like(F.col("path"), F.lit(r".*/[._][^/]*$"))))
     bad = [(r.path, why) for r in listed.join(seen, "path", "left_anti").collect() if (why := _probe_parquet(spark, r.path)[1])]
