@@ -116,3 +116,18 @@ def test_cluster_conf():
     conf = cluster_conf(100 * (1 << 40), 8000)  # 100 TB on 8000 cores
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
     assert int(cluster_conf(1 << 30, 8)["spark.sql.shuffle.partitions"]) == 24
+
+
+def test_rules_that_name_their_input_once(spark):
+    """Blank, ICD and code rules against strip and upper, on odd text."""
+    texts = [None, "", " ", "\u00a0\u2003", "\n a", "j18", " J189 ", "\u00a0u07:1", "\u0131123", "\u017f12", "\u212a12", "\u00df12",
+             "a1", "\u200bA12", "A12\nB", " 7.0 ", "007", "x\u3000", ":"]
+    df = spark.createDataFrame([(t,) for t in texts], "c string")
+    s = R.strip(F.col("c"))
+    got = df.select(
+        R.not_blank(F.col("c")).eqNullSafe(s != ""), R.icd_valid(F.col("c")).eqNullSafe(F.coalesce(F.upper(s).rlike("^[A-Z][0-9]{2,4}"), F.lit(False))),
+        R.icd_normalise(F.col("c")).eqNullSafe(F.when(s != "", F.replace(F.upper(s), F.lit(":"), F.lit("")))),
+        R.normalise_code(F.col("c")).eqNullSafe(F.coalesce(R.truncated_int(F.col("c")).cast("string"), s))).collect()
+    assert [t for t, r in zip(texts, got) if not all(r)] == []
+    plan = df.where(R.icd_valid(F.upper("c")) & R.not_blank(F.upper("c")))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("upper(") <= 3  # one of each rule, one for NULL

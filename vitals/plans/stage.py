@@ -47,26 +47,31 @@ def deaths_filter_rules():
 
 
 def stage_deaths(raw: DataFrame, dictionary: DataFrame, icd_catalogue: DataFrame,
-                 covid_start: int = 2020, covid_end: int = 2021) -> DataFrame:
-    """Valid ICD rows, dictionary labels, age in years/bands, period, cause text."""
+                 covid_start: int = 2020, covid_end: int = 2021, columns: list[str] | None = None) -> DataFrame:
+    """Valid ICD rows, dictionary labels, age in years/bands, period, cause text.
+    ``columns``: only these of the stage table; the planner does not drop a left join
+    whose output is not read, so labels that are not asked for are not looked up."""
     df = raw
     for _, keep in deaths_filter_rules():
         df = df.where(keep)
-    df = lookup.decode(df, lookup.normalised_dictionary(dictionary), DEATH_CODES)
+    codes = {k: v for k, v in DEATH_CODES.items() if columns is None or k in columns}
+    if codes:
+        df = lookup.decode(df, lookup.normalised_dictionary(dictionary), codes)
     age = R.age_in_years(F.col("Edadif"), F.col("Perdif"))
     df = (df.withColumn("edad_anios", age)
           .withColumn("grupo_etario", R.age_group(F.col("edad_anios")))
           .withColumn("periodo", R.classify_period(F.col("Añoocu"), covid_start, covid_end))
           .withColumn("codigo_cie10", R.icd_upper(F.col("Caudef"))))
-    df = lookup.describe(df, icd_catalogue, "codigo_cie10", "descripcion_causa", C.CAUSE_MISS)
-    return df.select(
-        "l_orderkey", "l_linenumber",
-        F.col("Añoocu").cast("int").alias("anio_ocurrencia"),
-        F.col("Mesocu").cast("int").alias("mes_ocurrencia"),
+    if columns is None or "descripcion_causa" in columns:
+        df = lookup.describe(df, icd_catalogue, "codigo_cie10", "descripcion_causa", C.CAUSE_MISS)
+    df = (df.withColumn("anio_ocurrencia", F.col("Añoocu").cast("int"))
+          .withColumn("mes_ocurrencia", F.col("Mesocu").cast("int"))
+          .withColumn("fuente_origen", F.lit(C.STAGE_TAG_DEATHS)))
+    return df.select(*(columns or [
+        "l_orderkey", "l_linenumber", "anio_ocurrencia", "mes_ocurrencia",
         "nombre_depto_registro", "nombre_muni_registro", "nombre_depto_ocurrencia", "nombre_muni_ocurrencia",
         "pueblo_pertenencia", "sexo", "edad_anios", "grupo_etario", "codigo_cie10", "descripcion_causa",
-        "asistencia_medica", "lugar_ocurrencia", "periodo",
-        F.lit(C.STAGE_TAG_DEATHS).alias("fuente_origen"), *_file(raw))
+        "asistencia_medica", "lugar_ocurrencia", "periodo", "fuente_origen"]), *([] if columns else _file(raw)))
 
 
 def icd_catalogue(raw: DataFrame, code: str = "codigo_cie10", description: str = "descripcion",
@@ -81,7 +86,7 @@ CASES_KEY = ["Año", "Departamento", "Municipio", "CIE-10", "Grupo Etario", "Sex
 
 
 def cases_filter_rules(years=(2012, 2024)):
-    return [("cie10_no_nulo", F.col("CIE-10").isNotNull() & (R.strip(F.col("CIE-10")) != "")),
+    return [("cie10_no_nulo", R.not_blank(F.col("CIE-10"))),
             ("anio_no_nulo", F.col("Año").isNotNull()),
             ("casos_no_nulos", F.col("Casos").isNotNull()),
             ("anio_en_rango", R.to_double(F.col("Año")).between(*years))]

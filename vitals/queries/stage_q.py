@@ -10,10 +10,10 @@ from vitals.queries import query
 STAGE_YEARS = (1996, 2001)
 
 
-def stage_deaths_df(spark, d):
+def stage_deaths_df(spark, d, columns=None):
     return S.stage_deaths(A.deaths_raw(spark, d), A.ine_dictionary(spark, d),
                           S.icd_catalogue(A.icd_catalogue_raw(spark, d)),
-                          A.TEST_COVID_START, A.TEST_COVID_END)
+                          A.TEST_COVID_START, A.TEST_COVID_END, columns)
 
 
 def stage_cases_df(spark, d):

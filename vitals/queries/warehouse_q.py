@@ -36,7 +36,7 @@ BUILD = {"deaths": SQ.stage_deaths_df, "cases": SQ.stage_cases_df, "covid_local"
 def _lazy(spark, d, *names):
     """Stage frames that a query reads once: nothing is written, and the columns it
     does not read are never computed."""
-    return {n: BUILD[n](spark, d) for n in names}
+    return {n: SQ.stage_deaths_df(spark, d, READ[n]) if n == "deaths" else BUILD[n](spark, d) for n in names}
 
 
 def _stages(spark, d, *names):
