@@ -98,8 +98,8 @@ def stage_cases(raw: DataFrame, years=(2012, 2024), order=("l_orderkey", "l_line
     df = raw
     for _, keep in cases_filter_rules(years):
         df = df.where(keep)
-    df = dedup.keep_first(df, CASES_KEY, list(order))
-    code = R.icd_normalise(F.col("CIE-10"))
+    df = dedup.keep_first(df, CASES_KEY, list(order)).withColumn("_codigo", R.icd_normalise(F.col("CIE-10")))
+    code = F.col("_codigo")  # a column of its own: its rule is generated once, not at each mention
     return df.select(
         R.truncated_int(F.col("Año")).cast("int").alias("anio"),
         R.title_case(F.col("Departamento")).alias("departamento"),

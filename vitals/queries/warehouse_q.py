@@ -33,16 +33,18 @@ BUILD = {"deaths": SQ.stage_deaths_df, "cases": SQ.stage_cases_df, "covid_local"
          "world": SQ.stage_mortality_world_df, "covid_world": SQ.stage_covid_world_df}
 
 
-def _lazy(spark, d, *names):
+def _lazy(spark, d, *names, read=READ):
     """Stage frames that a query reads once: nothing is written, and the columns it
     does not read are never computed."""
-    return {n: SQ.stage_deaths_df(spark, d, READ[n]) if n == "deaths" else BUILD[n](spark, d) for n in names}
+    return {n: SQ.stage_deaths_df(spark, d, read[n]) if n == "deaths" else BUILD[n](spark, d) for n in names}
 
 
-def _stages(spark, d, *names):
+def _stages(spark, d, *names, **own):
     """Stage tables read by several plans of a query, each written once with the columns
-    that are read, so dimensions and facts do not recompute the stage jobs."""
-    return {n: materialize(f.select(*(READ[n] or f.columns)), f"stage-{n}") for n, f in _lazy(spark, d, *names).items()}
+    that are read (``own``: by this query), so dimensions and facts do not recompute the stage jobs."""
+    read = READ | own
+    return {n: materialize(f.select(*(read[n] or f.columns)), f"stage-{n}")
+            for n, f in _lazy(spark, d, *names, read=read).items()}
 
 
 def _dim_time(st, numbered=True):
@@ -73,7 +75,7 @@ def q_dim_cause(spark, d):
 @query("dim_static")
 def q_dim_static(spark, d):
     """Static catalogues with the number of stage rows that use each member."""
-    st = _stages(spark, d, "deaths", "cases")
+    st = _stages(spark, d, "deaths", "cases", deaths=["sexo", "grupo_etario"], cases=["anio"])
     sd, sc = st["deaths"], st["cases"]
     s = D.dim_static(spark)
     sex_use = sd.groupBy(R.sex_id(F.col("sexo")).alias("id")).agg(F.count(F.lit(1)).alias("filas"))
@@ -188,7 +190,8 @@ def q_fact_covid_world(spark, d):
 @query("fk_null_report")
 def q_fk_null_report(spark, d):
     """NULL FKs of the deaths fact when the dimensions come from other sources."""
-    st = _stages(spark, d, "deaths", "cases", "covid_local")
+    st = _stages(spark, d, "deaths", "cases", "covid_local", cases=["anio", "codigo_cie10", "diagnostico"],
+                 deaths=[c for c in READ["deaths"] if c != "descripcion_causa"])
     dt_ = _dim_time({"cases": st["cases"]})
     dg = D.dim_geo(D.geo_members(covid_local=st["covid_local"]))
     dc = D.dim_cause(spark, cases=st["cases"])
