@@ -47,6 +47,13 @@ def _stages(spark, d, *names, **own):
             for n, f in _lazy(spark, d, *names, read=read).items()}
 
 
+def _causes(spark, d):
+    """The causes (code, text) of the cases and the deaths, each written once: a condition on a code
+    that is computed goes down to the scan, where it repeats the rule behind each mention for every row."""
+    read = {"cases": ["codigo_cie10", "diagnostico"], "deaths": ["codigo_cie10", "descripcion_causa"]}
+    return {n: materialize(f.select(*read[n]).distinct(), f"causes-{n}") for n, f in _lazy(spark, d, *read, read=read).items()}
+
+
 def _dim_time(st, numbered=True):
     return D.dim_time(D.time_members(**st), A.TEST_COVID_START, A.TEST_COVID_END, numbered=numbered)
 
@@ -69,7 +76,7 @@ def q_dim_country(spark, d):
 
 @query("dim_cause")
 def q_dim_cause(spark, d):
-    return D.dim_cause(spark, **_lazy(spark, d, "cases", "deaths"))
+    return D.dim_cause(spark, **_causes(spark, d))
 
 
 @query("dim_static")
