@@ -380,7 +380,9 @@ def q_geo_versions(spark, d):
     from vitals.sources import layers
     root = scratch_path(spark, "dw")
     sd = _stages(spark, d, "deaths")["deaths"]
-    members = D.dim_geo(D.geo_members(deaths=sd), dt.date(1990, 1, 1), numbered=False)
+    # the places are written: the loads' aggregates over them would otherwise read (and sort) all stage rows again
+    places = materialize(D.geo_members(deaths=sd), "places")
+    members = D.dim_geo(places, dt.date(1990, 1, 1), numbered=False)
     key = ["nombre_departamento", "nombre_municipio"]
     load_dimensions(spark, root, {"dim_geografia_gt": (members, key, "id_geografia", False)})
     moved = members.withColumn("region", F.when(F.col("nombre_departamento").startswith(GEO_MOVED), F.lit("Otra")).otherwise(F.col("region")))
